@@ -10,6 +10,7 @@ import importlib
 
 _MODULES = [
     "strata.catalog.metric_queries",
+    "strata.catalog.history_queries",
 ]
 
 
