@@ -11,6 +11,7 @@ import importlib
 _MODULES = [
     "strata.catalog.metric_queries",
     "strata.catalog.history_queries",
+    "strata.catalog.time_queries",
 ]
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.numeric import cents, money_sum
+from strata.functions.numeric import MONEY_SCALE, cents, divide, money_sum, ratio
 from strata.plans import metrics as M
 from strata.plans.star import Star
 
@@ -55,3 +55,213 @@ def metric_switch(star: Star, by: list[str], selected: str | None = None) -> Dat
     if selected is not None:
         out = out.where(F.col("metric") == selected)
     return out
+
+
+def _nsjoin(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    from strata.plans.timecalc import _nsjoin as j
+    return j(left, right, keys, how)
+
+
+# --- M10 / M11: same-store sales ---------------------------------------------------
+def _store_year(star: Star, where: Column | None, store_key: str = "store_id") -> DataFrame:
+    f = star.frame(M.LINE, ["year"], where)
+    return f.groupBy(store_key, "year").agg(money_sum("line_subtotal_cad").alias("s"))
+
+
+def same_store(star: Star, where: Column | None = None, store_key: str = "store_id") -> DataFrame:
+    """M10/M11 per year: sales of stores that sold in the year and the year
+    before (a semi-join of (store, year) with the shifted set), their prior
+    year sales, and the growth."""
+    sy = _store_year(star, where, store_key)
+    prev = sy.select(store_key, (F.col("year") + 1).alias("year"), F.col("s").alias("s_py"))
+    both = sy.join(prev, [store_key, "year"], "inner")
+    agg = both.groupBy("year").agg(F.sum("s").alias("cur"), F.sum("s_py").alias("prior"))
+    return agg.select("year", cents("cur").alias("same_store_sales"), cents("prior").alias("same_store_sales_py"),
+                      ratio(F.col("cur") - F.col("prior"), F.col("prior")).alias("same_store_growth"))
+
+
+# --- M12 / M42: shares over a released filter ---------------------------------------
+def share_of_total(star: Star, by: list[str], release: list[str], metric_base: str = "s_net",
+                   where: Column | None = None, name: str = "share") -> DataFrame:
+    """Metric over the metric with the ``release``
+    columns' filters removed: a window total partitioned by the remaining
+    grouping keys, over the aggregated rows (not the facts)."""
+    base = M.aggregate_bases(star, [metric_base], by, where)
+    keep = [c for c in by if c not in release]
+    w = Window.partitionBy(*keep) if keep else Window.partitionBy(F.lit(1))
+    return base.select(*by, cents(metric_base).alias("net_sales"),
+                       ratio(F.col(metric_base), F.sum(metric_base).over(w)).alias(name))
+
+
+# --- M40: dense rank of banners, blank at totals ----------------------------------------
+def sales_rank(star: Star, member: str, where: Column | None = None) -> DataFrame:
+    """Dense rank by net sales, desc; the ROLLUP total row has no rank.
+    The rank window runs over one row per member."""
+    agg = M.aggregate_bases(star, ["s_net"], [member], where, grouping="rollup")
+    detail = F.col("grouping_id") == 0
+    w = Window.partitionBy("grouping_id").orderBy(F.col("s_net").desc())
+    return agg.select(member, "grouping_id", cents("s_net").alias("net_sales"),
+                      F.when(detail, F.dense_rank().over(w)).alias("sales_rank"))
+
+
+# --- M43 / M56: top-N with ties ------------------------------------------------------
+def ranked_members(star: Star, member: str, by: list[str], limit: int, where: Column | None = None) -> DataFrame:
+    """Members ranked by net sales within ``by`` (rank: ties share a rank),
+    keeping rank <= limit. The filtered rank lets Spark cut each input
+    partition to its own top ``limit`` per group before the shuffle."""
+    agg = M.aggregate_bases(star, ["s_net"], list(by) + [member], where)
+    w = Window.partitionBy(*by).orderBy(F.col("s_net").desc()) if by else Window.orderBy(F.col("s_net").desc())
+    return agg.withColumn("rank", F.rank().over(w)).where(F.col("rank") <= limit)
+
+
+def top_n_sales(star: Star, member: str, by: list[str], n: int = 10, where: Column | None = None) -> DataFrame:
+    """Net sales of the top ``n`` members (ties kept) per group."""
+    r = ranked_members(star, member, by, n, where)
+    return r.groupBy(*by).agg(cents(F.sum("s_net")).alias("top_n_sales"),
+                              F.count(F.lit(1)).alias("members"))
+
+
+def top_n_curve(star: Star, member: str, ns: list[int], where: Column | None = None) -> DataFrame:
+    """Top-N sales for every N of a parameter series. Each ranked member
+    is emitted for the N values it qualifies for (N >= rank), then summed per
+    N: an explode, not a join on ``rank <= N``."""
+    r = ranked_members(star, member, [], max(ns), where)
+    nsarr = F.array(*[F.lit(int(x)) for x in sorted(ns)])
+    out = r.select("s_net", F.explode(F.filter(nsarr, lambda x: x >= F.col("rank"))).alias("top_n"))
+    return out.groupBy("top_n").agg(cents(F.sum("s_net")).alias("top_n_sales"),
+                                    F.count(F.lit(1)).alias("members"))
+
+
+# --- M44: Pareto (running share) ---------------------------------------------------
+def _bucket(v: Column) -> Column:
+    # Monotone, value-only bucket (about 16 per doubling of |value|): equal
+    # values share a bucket, so RANGE ties never straddle two buckets.
+    return F.signum(v) * F.floor(F.log2(F.abs(v) + F.lit(1)) * F.lit(16))
+
+
+def running_share(values: DataFrame, value_col: str) -> DataFrame:
+    """Cumulative share of ``value_col`` over rows with a value >= the row's own
+    (descending, ties share), divided by the grand total - as a distributed
+    prefix sum.
+
+    Rows are first reduced to distinct values (a hot tie collapses to one
+    row), prefix sums run inside value buckets, and each bucket is offset by
+    the totals of the buckets above it (a table of at most a few thousand
+    rows, broadcast by construction).
+    """
+    v = F.col(value_col)
+    vals = values.groupBy(value_col).agg(F.sum(v).alias("__tot")).withColumn("__b", _bucket(v))
+    w_in = Window.partitionBy("__b").orderBy(v.desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    vals = vals.withColumn("__cum_in", F.sum("__tot").over(w_in))
+    bt = vals.groupBy("__b").agg(F.sum("__tot").alias("__bt"))
+    w_b = Window.orderBy(F.col("__b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    bt = bt.select("__b", F.coalesce(F.sum("__bt").over(w_b), F.lit(0)).alias("__off"),
+                   F.sum("__bt").over(Window.partitionBy(F.lit(1))).alias("__all"))
+    vals = vals.join(F.broadcast(bt), "__b").select(
+        value_col, (F.col("__off") + F.col("__cum_in")).alias("__cum"), "__all")
+    return values.join(vals, value_col).withColumn(
+        "running_share", ratio(F.col("__cum"), F.col("__all"))).drop("__cum", "__all")
+
+
+def pareto(star: Star, member: str, where: Column | None = None) -> DataFrame:
+    """Running net-sales share of members ranked by net sales."""
+    agg = M.aggregate_bases(star, ["s_net"], [member], where)
+    return running_share(agg, "s_net").select(member, cents("s_net").alias("net_sales"), "running_share")
+
+
+# --- M45 / M46: cohorts -----------------------------------------------------------
+def cohort_size(star: Star) -> DataFrame:
+    """Distinct customers per enrollment month (other customer filters released)."""
+    c = star.table(M.CUST)
+    return c.groupBy("enrollment_month").agg(F.count_distinct("customer_business_key").alias("cohort_size"))
+
+
+def cohort_retention(star: Star, period: str = "year", where: Column | None = None) -> DataFrame:
+    """Active customers of a cohort in a period / cohort size."""
+    act = M.aggregate_bases(star, ["n_active"], ["enrollment_month", period], where)
+    size = cohort_size(star)
+    j = act.join(size, "enrollment_month", "left")
+    return j.select("enrollment_month", period, F.col("n_active").alias("active_customers"), "cohort_size",
+                    ratio(F.col("n_active"), F.col("cohort_size")).alias("cohort_retention"))
+
+
+# --- M47-M54: gross-margin bridge --------------------------------------------------
+BRIDGE_STEPS = [("GM PY", 0), ("Volume", 1), ("Mix", 2), ("Price", 3), ("Markdown", 4), ("Cost", 5)]
+
+
+def gm_bridge(star: Star, product_key: str = "product_id", where: Column | None = None) -> DataFrame:
+    """M47-M52, M54 per year against the year before.
+
+    Per (product, year) bases are aggregated once; the prior year is the same
+    table shifted by one year and full-outer joined per product; the bridge
+    sums run per year over that product table.
+    """
+    f = star.frame(M.LINE, ["year"], where)
+    py_ = f.groupBy(product_key, "year").agg(
+        F.sum("quantity").alias("q"), money_sum("line_subtotal_cad").alias("net"),
+        money_sum("line_cost_cad").alias("cost"),
+        money_sum(F.col("quantity") * F.col("unit_list_price_cad")).alias("lst"),
+        money_sum(F.col("quantity") * F.col("unit_discount_cad")).alias("dsc"))
+    years = py_.select("year").distinct()
+    cur = py_.select(product_key, "year", *[F.col(c).alias(f"{c}2") for c in ("q", "net", "cost", "lst", "dsc")])
+    prv = py_.select(product_key, (F.col("year") + 1).alias("year"),
+                     *[F.col(c).alias(f"{c}1") for c in ("q", "net", "cost", "lst", "dsc")])
+    t = cur.join(prv, [product_key, "year"], "full").join(F.broadcast(years), "year")
+    d = lambda c: F.col(c).cast("double")
+    q1, q2 = F.coalesce(d("q1"), F.lit(0.0)), F.coalesce(d("q2"), F.lit(0.0))
+    m1u = F.coalesce(divide(F.col("net1") - F.col("cost1"), F.col("q1")), F.lit(0.0))
+    unit = lambda a, q: F.coalesce(divide(F.col(a), F.col(q)), F.lit(0.0))
+    per = t.select("year", q1.alias("q1"), q2.alias("q2"), m1u.alias("m1u"),
+                   (F.col("net1") - F.col("cost1")).alias("gm1"), (F.col("net2") - F.col("cost2")).alias("gm2"),
+                   (q2 * (unit("lst2", "q2") - unit("lst1", "q1"))).alias("price"),
+                   (q2 * (unit("dsc2", "q2") - unit("dsc1", "q1"))).alias("markdown"),
+                   (q2 * (unit("cost2", "q2") - unit("cost1", "q1"))).alias("costfx"))
+    agg = per.groupBy("year").agg(
+        F.sum("q1").alias("Q1"), F.sum("q2").alias("Q2"), F.sum("gm1").alias("GM1"), F.sum("gm2").alias("GM2"),
+        F.sum(F.col("q2") * F.col("m1u")).alias("A"), F.sum(F.col("q1") * F.col("m1u")).alias("B"),
+        F.sum("price").alias("P"), F.sum("markdown").alias("MD"), F.sum("costfx").alias("C"),
+        F.count_if(F.col("gm1").isNotNull()).alias("n_py"))
+    has_py = F.col("n_py") > 0
+    Q1, Q2 = F.col("Q1"), F.col("Q2")
+    gm1 = F.when(has_py, F.col("GM1") / F.lit(MONEY_SCALE))
+    vol = F.when(has_py, divide(Q2 - Q1, Q1) * (F.col("GM1") / F.lit(MONEY_SCALE)))
+    mix = F.when(Q1 > 0, (F.col("A") - F.col("B") * divide(Q2, Q1)) / F.lit(MONEY_SCALE))
+    price = F.when(has_py, F.col("P") / F.lit(MONEY_SCALE))
+    mkd = F.when(has_py, -F.col("MD") / F.lit(MONEY_SCALE))
+    cst = F.when(has_py, -F.col("C") / F.lit(MONEY_SCALE))
+    gm = F.col("GM2") / F.lit(MONEY_SCALE)
+    out = agg.select("year", gm.alias("gm"), gm1.alias("gm_py"), vol.alias("volume"), mix.alias("mix"),
+                     price.alias("price"), mkd.alias("markdown"), cst.alias("cost"))
+    return out
+
+
+def _c2(x: Column) -> Column:
+    return F.round(x * F.lit(100.0)) / F.lit(100.0) + F.lit(0.0)
+
+
+def gm_bridge_rounded(star: Star, **kw) -> DataFrame:
+    b = gm_bridge(star, **kw)
+    return b.select("year", *[_c2(F.col(c)).alias(c) for c in
+                              ("gm", "gm_py", "volume", "mix", "price", "markdown", "cost")])
+
+
+def gm_bridge_steps(star: Star, **kw) -> DataFrame:
+    """The bridge as ordered steps (the waterfall's rows)."""
+    b = gm_bridge(star, **kw)
+    arr = F.array(*[F.struct(F.lit(s).alias("step"), F.lit(o).alias("step_order"), F.col(c).alias("v"))
+                    for (s, o), c in zip(BRIDGE_STEPS, ["gm_py", "volume", "mix", "price", "markdown", "cost"])])
+    return b.select("year", F.inline(arr)).select("year", "step", "step_order", _c2(F.col("v")).alias("value"))
+
+
+def gm_bridge_check(star: Star, **kw) -> DataFrame:
+    """GM - (PY + effects); ~0 wherever a prior year exists."""
+    b = gm_bridge(star, **kw)
+    res = F.col("gm") - F.col("gm_py") - F.col("volume") - F.col("mix") - F.col("price") - F.col("markdown") \
+        - F.col("cost")
+    return b.select("year", _c2(res).alias("residual"), (F.abs(res) < 0.005).alias("balanced"))
+
+
+# --- M57: segment classification --------------------------------------------------
+def segment_label(df: DataFrame, col: str, liquor_values: list[str], out: str = "segment") -> DataFrame:
+    """M57: 'Liquor' when the column is in the liquor list, else 'Cannabis'."""
+    return df.withColumn(out, F.when(F.col(col).isin(liquor_values), "Liquor").otherwise("Cannabis"))

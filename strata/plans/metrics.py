@@ -36,6 +36,9 @@ class Base:
     fact: str
     agg: Callable[[], Column]
     needs: tuple[str, ...] = ()
+    # for distinct counts: the counted expression (enables to-date running
+    # counts by first occurrence instead of re-scanning every window)
+    distinct: Callable[[], Column] | None = None
 
 
 def _c(n):
@@ -47,7 +50,7 @@ BASES: dict[str, Base] = {
     "s_net": Base(LINE, lambda: money_sum("line_subtotal_cad")),
     "s_cost": Base(LINE, lambda: money_sum("line_cost_cad")),
     "n_units": Base(LINE, lambda: F.sum("quantity")),
-    "n_skus": Base(LINE, lambda: F.count_distinct("product_id")),
+    "n_skus": Base(LINE, lambda: F.count_distinct("product_id"), distinct=lambda: _c("product_id")),
     "s_disc": Base(LINE, lambda: money_sum(_c("quantity") * _c("unit_discount_cad"))),
     "s_list": Base(LINE, lambda: money_sum(_c("quantity") * _c("unit_list_price_cad"))),
     "s_promo": Base(LINE, lambda: money_sum(F.when(_c("promotion_id").isNotNull(), _c("line_subtotal_cad")))),
@@ -55,10 +58,11 @@ BASES: dict[str, Base] = {
                   ("is_own_brand",)),
     # transactions
     "s_rev": Base(TXN, lambda: money_sum("total_amount_cad")),
-    "n_txn": Base(TXN, lambda: F.count_distinct("transaction_id")),
-    "n_active": Base(TXN, lambda: F.count_distinct("customer_id")),
+    "n_txn": Base(TXN, lambda: F.count_distinct("transaction_id"), distinct=lambda: _c("transaction_id")),
+    "n_active": Base(TXN, lambda: F.count_distinct("customer_id"), distinct=lambda: _c("customer_id")),
     "n_loyal": Base(TXN, lambda: F.count_distinct(
-        F.when(_c("is_loyalty_transaction") == 1, _c("transaction_id")))),
+        F.when(_c("is_loyalty_transaction") == 1, _c("transaction_id"))),
+        distinct=lambda: F.when(_c("is_loyalty_transaction") == 1, _c("transaction_id"))),
     # inventory
     "n_onhand": Base(INV, lambda: F.sum("on_hand_units")),
     "n_oos": Base(INV, lambda: F.count_if(_c("is_out_of_stock") == 1)),
