@@ -12,6 +12,7 @@ _MODULES = [
     "strata.catalog.metric_queries",
     "strata.catalog.history_queries",
     "strata.catalog.time_queries",
+    "strata.catalog.ops_queries",
 ]
 
 
