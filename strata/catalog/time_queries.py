@@ -366,3 +366,19 @@ SQL["segment_label"] = oracle("""
 SELECT banner_id, banner_name, banner_category,
        CASE WHEN banner_category IN ('EUROPE', 'AMERICA') THEN 'Liquor' ELSE 'Cannabis' END AS banner_segment
 FROM dim_banner""")
+
+
+# --- A11: the literal step table, with how many years each step has a value ------------
+def _bridge_steps(spark, sf):
+    steps = spark.createDataFrame(A.BRIDGE_STEPS, "step string, step_order int")
+    vals = A.gm_bridge_steps(star(spark, sf)).groupBy("step").agg(F.count("value").alias("years_with_value"))
+    return steps.join(vals, "step", "left").select("step", "step_order", "years_with_value")
+
+
+Q["bridge_steps"] = _bridge_steps
+SQL["bridge_steps"] = oracle("""
+SELECT s.step, s.step_order, count(v.v) AS years_with_value
+FROM (VALUES ('GM PY', 0), ('Volume', 1), ('Mix', 2), ('Price', 3), ('Markdown', 4), ('Cost', 5)) s(step, step_order)
+LEFT JOIN (SELECT step, v FROM br CROSS JOIN LATERAL (VALUES ('GM PY', gm_py), ('Volume', volume), ('Mix', mix),
+           ('Price', price), ('Markdown', markdown), ('Cost', cost)) AS x(step, v)) v USING (step)
+GROUP BY 1, 2""", _BR)

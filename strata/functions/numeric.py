@@ -48,7 +48,7 @@ def round6(x) -> Column:
 
 
 def divide(num, den) -> Column:
-    """DAX ``DIVIDE``: NULL when the denominator is 0 or NULL (DOUBLE result)."""
+    """Model-style DIVIDE: NULL when the denominator is 0 or NULL (DOUBLE result)."""
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 

@@ -8,8 +8,6 @@ DOUBLE at row level; anything aggregated inside a view is summed exactly
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -193,7 +191,7 @@ def retail_star(spark: SparkSession, sf_dir: str, materialize: bool = True) -> S
     sort-merge) instead of shuffling the fact first, and no query re-derives
     the star from the raw tables.
     """
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if materialize and key in _PUBLISHED:
         return _PUBLISHED[key]
     t = load_base(spark, sf_dir)
@@ -225,77 +223,12 @@ def retail_star(spark: SparkSession, sf_dir: str, materialize: bool = True) -> S
     return star
 
 
-@lru_cache(maxsize=16)
-def _count_cached(spark_id: int, path: str, spark_ref) -> int:  # noqa: ARG001
-    return spark_ref.read.parquet(path).count()
+_COUNTS: dict = {}
 
 
 def _store_count(spark: SparkSession, sf_dir: str) -> int:
     from strata.sources.tables import table_path
-    return _count_cached(id(spark), table_path(sf_dir, "supplier"), spark)
-
-
-# --- derived fixtures for the incremental operators ------------------------------
-# The bulk/increment boundary of the landed orders, and the
-# yearly spend cut-offs of the customer tier history.
-BULK_END = "2001-01-01"
-YEAR_TIER_CUTS = [(300000, "Bronze"), (600000, "Silver")]
-
-
-def order_batches(orders: DataFrame) -> DataFrame:
-    """Orders with the Processing_Date they land under: everything before
-    ``BULK_END`` in one bulk batch, then one batch per month."""
-    d = F.col("o_orderdate")
-    pd = F.when(d < F.lit(BULK_END).cast("timestamp_ntz"), F.lit("2000-12-31")) \
-        .otherwise(F.date_format(F.trunc(d.cast("date"), "month"), "yyyy-MM-dd"))
-    return orders.withColumn("Processing_Date", pd.cast("date"))
-
-
-def upsert_source(orders: DataFrame) -> DataFrame:
-    """Increment orders plus re-sent bulk orders of status P whose price
-    changed (urgent ones re-sent with a NULL price, a status change too)."""
-    inc = orders.where(F.col("o_orderdate") >= F.lit(BULK_END).cast("timestamp_ntz"))
-    resent = (orders.where((F.col("o_orderdate") < F.lit(BULK_END).cast("timestamp_ntz"))
-                           & (F.col("o_orderstatus") == "P"))
-              .withColumn("o_totalprice", F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(None))
-                          .otherwise(F.col("o_totalprice") + F.lit(1.0)))
-              .withColumn("o_orderstatus", F.lit("X")))
-    return inc.unionByName(resent)
-
-
-def upsert_target(orders: DataFrame) -> DataFrame:
-    return orders.where(F.col("o_orderdate") < F.lit(BULK_END).cast("timestamp_ntz"))
-
-
-def customer_year(orders: DataFrame) -> DataFrame:
-    """Yearly customer images: tier from the year's spend."""
-    s = F.col("spend")
-    tier = F.when(s < YEAR_TIER_CUTS[0][0], YEAR_TIER_CUTS[0][1]) \
-        .when(s < YEAR_TIER_CUTS[1][0], YEAR_TIER_CUTS[1][1]).otherwise("Gold")
-    return (orders.groupBy(F.col("o_custkey").alias("customer_id"), F.year("o_orderdate").alias("yr"))
-            .agg(cents(money_sum("o_totalprice")).alias("spend"))
-            .select("customer_id", "yr", tier.alias("loyalty_tier"),
-                    F.make_date("yr", F.lit(1), F.lit(1)).alias("image_date")))
-
-
-def product_changes(part: DataFrame) -> DataFrame:
-    """Attribute-change feed on the product dimension, derived from the
-    catalogue: large sizes get two price changes (the later one wins), PROMO
-    types a brand change, and SMALL types a name cleared to NULL."""
-    key = F.concat(F.lit("SKU-"), F.col("p_partkey").cast("string"))
-    base = part.select(key.alias("business_key"), "p_size", "p_type", "p_brand", "p_retailprice")
-    big = base.where(F.col("p_size") > 45)
-    price1 = big.select("business_key", F.lit("list_price_cad").alias("attribute"),
-                        (F.col("p_retailprice") + 5).cast("string").alias("new_value"),
-                        F.lit("1998-01-01").cast("date").alias("Processing_Date"))
-    price2 = big.select("business_key", F.lit("list_price_cad").alias("attribute"),
-                        (F.col("p_retailprice") + 7).cast("string").alias("new_value"),
-                        F.lit("1998-02-01").cast("date").alias("Processing_Date"))
-    brand = base.where(F.col("p_type").startswith("PROMO")).select(
-        "business_key", F.lit("brand").alias("attribute"), F.concat(F.col("p_brand"), F.lit("-X")).alias("new_value"),
-        F.lit("1998-01-15").cast("date").alias("Processing_Date"))
-    name = base.where(F.col("p_type").startswith("SMALL")).select(
-        "business_key", F.lit("product_name").alias("attribute"), F.lit(None).cast("string").alias("new_value"),
-        F.lit("1998-01-20").cast("date").alias("Processing_Date"))
-    out = price1.unionByName(price2).unionByName(brand).unionByName(name)
-    return out.withColumn("table_name", F.lit("dim_product")).withColumn("old_value", F.lit(None).cast("string"))
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _COUNTS:
+        _COUNTS[key] = spark.read.parquet(table_path(sf_dir, "supplier")).count()
+    return _COUNTS[key]
