@@ -15,6 +15,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.operators.merge import dedup_latest, merge_upsert
@@ -23,6 +24,7 @@ from strata.session import checkpoint_dir
 # The partition column of landing tables and the schema of the
 # attribute-change feed.
 PARTITION_COL = "Processing_Date"
+MAX_LITERAL_PARTITIONS = 10000
 DIM_CHANGES_SCHEMA = StructType([StructField(n, StringType()) for n in
                                  ("table_name", "business_key", "attribute", "old_value", "new_value")])
 
@@ -77,3 +79,62 @@ def publish(df: DataFrame, name: str, base: str | None = None, spark: SparkSessi
     path = os.path.join(base, "tables", name, f"v-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def land(df: DataFrame, path: str, proc_date: str) -> int:
+    """Stamp and write one batch; returns the rows written.
+
+    The count comes from an ``Observation`` on the write itself (one pass over
+    the data, not a second ``count()`` job); an empty batch writes nothing.
+    """
+    from pyspark.sql import Observation
+    obs = Observation("landed")
+    write_landing(stamp(df, proc_date).observe(obs, F.count(F.lit(1)).alias("rows")), path)
+    return int(obs.get.get("rows", 0))
+
+
+def write_quarantine(quarantine: DataFrame, path: str) -> None:
+    """Quarantine rows by batch; a re-run of a batch replaces its partition."""
+    (quarantine.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("_batch").parquet(path))
+
+
+def append_rows(df: DataFrame, path: str) -> None:
+    """Append (audit rows, commit rows)."""
+    df.write.mode("append").parquet(path)
+
+
+def upsert_partitions(spark: SparkSession, target_path: str, source: DataFrame, keys, part_col: str,
+                      order_by: list[str] | str | None = None, staging: str | None = None) -> None:
+    """C01 at scale: upsert into a Parquet table partitioned by ``part_col``,
+    reading and rewriting only the partitions the batch touches.
+
+    The target is semi-joined with the batch's distinct partition values, so
+    dynamic partition pruning lists and reads only those folders; the merged
+    partitions are staged under the shared checkpoint folder (a path may not
+    be overwritten while it is read) and then swapped in with dynamic
+    partition overwrite. Untouched partitions are never read or rewritten.
+    Requires that a key never changes partition (e.g. a transaction and its
+    date).
+    """
+    if order_by is not None:
+        source = dedup_latest(source, keys, order_by)
+    try:
+        target = spark.read.parquet(target_path)
+    except AnalysisException:  # first load: the table does not exist yet
+        source.write.partitionBy(part_col).parquet(target_path)
+        return
+    # The touched partition values are few (days in a batch): as a literal
+    # IN-list they prune the target's folders at planning time. Past a bound
+    # the semi-join is kept and dynamic partition pruning does the work.
+    touched = source.select(part_col).distinct()
+    vals = [r[0] for r in touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()]
+    if len(vals) <= MAX_LITERAL_PARTITIONS:
+        affected = target.where(F.col(part_col).isin(vals))
+    else:
+        affected = target.join(touched, part_col, "left_semi")
+    merged = merge_upsert(affected, source.select(*target.columns), keys)
+    base = staging or os.path.join(checkpoint_dir(spark), "staging", f"u-{uuid.uuid4().hex}")
+    merged.write.partitionBy(part_col).parquet(base)
+    (spark.read.parquet(base).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part_col).parquet(target_path))

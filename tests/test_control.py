@@ -61,3 +61,20 @@ def test_stream_restart_picks_up_only_new_files(spark):
     # nothing new: a re-run leaves the table as it is
     stream_upsert(spark, src, schema, target, "k", ck)
     assert rows(target.current(), ["k", "v"]) == [(1, "a"), (2, "b2"), (3, "c")]
+
+
+def test_upsert_partitions_rewrites_only_touched(spark):
+    from strata.sources.landing import land, upsert_partitions
+    base = tempfile.mkdtemp(prefix="strata-upsert-")
+    path = os.path.join(base, "t")
+    schema = "k long, v string, dt date"
+    upsert_partitions(spark, path, spark.createDataFrame(
+        [(1, "a", d("2024-01-01")), (2, "b", d("2024-01-02")), (3, "c", d("2024-01-03"))], schema), "k", "dt")
+    untouched = os.path.join(path, "dt=2024-01-01")
+    before = sorted(os.listdir(untouched))
+    upsert_partitions(spark, path, spark.createDataFrame(
+        [(2, "b2", d("2024-01-02")), (4, "d", d("2024-01-04"))], schema), "k", "dt")
+    assert rows(spark.read.parquet(path), ["k", "v"]) == [(1, "a"), (2, "b2"), (3, "c"), (4, "d")]
+    assert sorted(os.listdir(untouched)) == before
+    n = land(spark.createDataFrame([(5, "e")], "k long, v string"), os.path.join(base, "landing"), "2024-01-05")
+    assert n == 1
