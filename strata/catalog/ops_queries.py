@@ -38,6 +38,20 @@ def _landed(spark, sf):
     return FX.order_batches(_orders(spark, sf))
 
 
+_LANDING: dict = {}
+
+
+def _landing_table(spark, sf):
+    """The landed order batches as a real landing table (Parquet partitioned
+    by Processing_Date), written once per session under the checkpoint folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LANDING:
+        path = os.path.join(_scratch(spark), "landing_orders")
+        L.write_landing(_landed(spark, sf), path)
+        _LANDING[key] = path
+    return spark.read.parquet(_LANDING[key]).select(*ORDER_COLS, "Processing_Date")
+
+
 def _star(spark, sf):
     return FX.retail_star(spark, sf)
 
@@ -69,7 +83,7 @@ SQL["land_dim_changes"] = oracle("""
 SELECT 'dim_product' AS table_name, business_key, attribute, CAST(NULL AS VARCHAR) AS old_value, new_value,
        DATE '1998-03-01' AS Processing_Date FROM pchg""", FIX_CTES)
 
-Q["new_since_watermark"] = lambda spark, sf: L.new_since(_landed(spark, sf), WM)
+Q["new_since_watermark"] = lambda spark, sf: L.new_since(_landing_table(spark, sf), WM)
 SQL["new_since_watermark"] = f"WITH {LANDED_SQL} SELECT * FROM landed WHERE Processing_Date > DATE '{WM}'"
 
 
@@ -137,7 +151,7 @@ LEFT JOIN (SELECT 'bronze_fact_sales_transaction' AS table_name, CAST(max(Proces
 
 def _wm_advance(spark, sf):
     wm = _wm_after_bulk(spark, sf)
-    batch = L.new_since(_landed(spark, sf), C.read_watermark(wm, "bronze_fact_sales_transaction"))
+    batch = L.new_since(_landing_table(spark, sf), C.read_watermark(wm, "bronze_fact_sales_transaction"))
     out = C.advance_watermark(wm, spark, "bronze_fact_sales_transaction", batch, run_ts=F.lit(None))
     return out.select("table_name", "last_processing_date", "last_rows_affected")
 

@@ -78,3 +78,12 @@ def test_upsert_partitions_rewrites_only_touched(spark):
     assert sorted(os.listdir(untouched)) == before
     n = land(spark.createDataFrame([(5, "e")], "k long, v string"), os.path.join(base, "landing"), "2024-01-05")
     assert n == 1
+
+
+def test_read_source_falls_back_to_csv(spark):
+    from strata.sources.tables import read_source
+    base = tempfile.mkdtemp(prefix="strata-csv-")
+    spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string").write.option("header", True).csv(
+        os.path.join(base, "src.csv"))
+    df = read_source(spark, os.path.join(base, "src"), "k long, v string")
+    assert rows(df) == [(1, "a"), (2, "b")]
