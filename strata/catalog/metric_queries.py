@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from strata.catalog.prelude import oracle
 from strata.catalog.sqlfrag import cents, money_avg, msum, ratio, round6, divide
 from strata.plans import metrics as M

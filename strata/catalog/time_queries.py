@@ -269,14 +269,13 @@ FROM (SELECT s.banner_name, CAST(grouping(s.banner_name) AS BIGINT) AS g, {N_NET
       FROM {LINE_STORE} GROUP BY ROLLUP (s.banner_name))""")
 
 # --- M43 / M56: top-N -------------------------------------------------------------------------
-Q["top_n_sales"] = lambda spark, sf: A.top_n_sales(star(spark, sf), "product_name", ["year"], 10)
+Q["top_n_sales"] = lambda spark, sf: A.top_n_sales(star(spark, sf), "product_name", ["year"], A.top_n_parameter())
 _PY_RANK = f"""pr AS (SELECT year, product_name, sn, rank() OVER (PARTITION BY year ORDER BY sn DESC) AS rk FROM
   (SELECT year(l.transaction_date) AS year, p.product_name, {N_NET} AS sn FROM {LINE_PROD} GROUP BY 1, 2))"""
 SQL["top_n_sales"] = oracle(f"""
 SELECT year, {cents('sum(sn)')} AS top_n_sales, count(*) AS members FROM pr WHERE rk <= 10 GROUP BY 1""", _PY_RANK)
 
-TOPN_SERIES = list(range(5, 51, 5))
-Q["series_topn"] = lambda spark, sf: A.top_n_curve(star(spark, sf), "product_name", TOPN_SERIES)
+Q["series_topn"] = lambda spark, sf: A.top_n_curve(star(spark, sf), "product_name", A.TOP_N_SERIES)
 SQL["series_topn"] = oracle(f"""
 SELECT n.top_n, {cents('sum(r.sn)')} AS top_n_sales, count(*) AS members
 FROM (SELECT * FROM range(5, 51, 5) t(top_n)) n JOIN r ON r.rk <= n.top_n GROUP BY 1""", f"""

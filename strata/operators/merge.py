@@ -120,12 +120,15 @@ def change_feed(old: DataFrame | None, new: DataFrame, keys, version: int | None
     return out
 
 
-def read_changes(changes: DataFrame, starting_version: int | None = None,
-                 version_col: str = "_commit_version") -> DataFrame:
-    """Inserts and post-images only, optionally from a version on."""
+def read_changes(changes: DataFrame, starting_version: int | None = None, starting_timestamp: str | None = None,
+                 version_col: str = "_commit_version", time_col: str = "_commit_timestamp") -> DataFrame:
+    """Inserts and post-images only, optionally from a version (or a
+    commit time) on."""
     out = changes.where(F.col("_change_type").isin("insert", "update_postimage"))
     if starting_version is not None:
         out = out.where(F.col(version_col) >= starting_version)
+    elif starting_timestamp is not None:
+        out = out.where(F.col(time_col) >= F.lit(starting_timestamp).cast("timestamp"))
     return out
 
 

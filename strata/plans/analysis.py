@@ -114,8 +114,24 @@ def ranked_members(star: Star, member: str, by: list[str], limit: int, where: Co
     return agg.withColumn("rank", F.rank().over(w)).where(F.col("rank") <= limit)
 
 
-def top_n_sales(star: Star, member: str, by: list[str], n: int = 10, where: Column | None = None) -> DataFrame:
-    """Net sales of the top ``n`` members (ties kept) per group."""
+# The Top-N parameter range (5..50 step 5) and its default.
+TOP_N_SERIES = list(range(5, 51, 5))
+TOP_N_DEFAULT = 10
+
+
+def top_n_parameter(selected: int | None = None) -> int:
+    """The what-if parameter: a value of the 5..50 range, 10 when nothing
+    is selected."""
+    if selected is None:
+        return TOP_N_DEFAULT
+    if selected not in TOP_N_SERIES:
+        raise ValueError(f"top-N must be one of {TOP_N_SERIES}, got {selected}")
+    return selected
+
+
+def top_n_sales(star: Star, member: str, by: list[str], n: int = TOP_N_DEFAULT,
+                where: Column | None = None) -> DataFrame:
+    """Net sales of the top ``n`` members (ties kept) per group."""
     r = ranked_members(star, member, by, n, where)
     return r.groupBy(*by).agg(cents(F.sum("s_net")).alias("top_n_sales"),
                               F.count(F.lit(1)).alias("members"))

@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.numeric import cents, divide, round6
+from strata.functions.numeric import divide, round6
 from strata.plans import metrics as M
 from strata.plans.star import Star
 
@@ -163,4 +163,4 @@ def time_items(star: Star, metric: str, by: list[str], where: Column | None = No
 
 
 __all__ = ["with_prior_year", "to_date", "rolling", "time_items", "yoy", "yoy_pct", "delta_points",
-           "month_bridge", "cents"]
+           "month_bridge"]

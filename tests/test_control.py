@@ -87,3 +87,9 @@ def test_read_source_falls_back_to_csv(spark):
         os.path.join(base, "src.csv"))
     df = read_source(spark, os.path.join(base, "src"), "k long, v string")
     assert rows(df) == [(1, "a"), (2, "b")]
+
+
+def test_absent_change_feed_is_an_empty_batch(spark):
+    from strata.sources.landing import land_dim_changes
+    out = land_dim_changes(spark, None, "2024-01-01")
+    assert out.count() == 0 and "Processing_Date" in out.columns and "new_value" in out.columns

@@ -11,7 +11,6 @@ from strata.plans import metrics as M
 from strata.plans import timecalc as T
 from strata.plans.star import Star
 from strata.sources import fixtures as FX
-from tests.conftest import rows
 
 d = dt.date.fromisoformat
 LINE_SCHEMA = ("transaction_id long, transaction_date date, store_id long, product_id long, customer_id long, "
@@ -117,3 +116,9 @@ def test_bridge_reconciles(spark):
     from tests.conftest import SF01
     chk = A.gm_bridge_check(retail_star(spark, SF01)).where(F.col("balanced").isNotNull()).collect()
     assert chk and all(r["balanced"] for r in chk)
+
+
+def test_top_n_parameter_validated():
+    assert A.top_n_parameter() == 10 and A.top_n_parameter(25) == 25
+    with pytest.raises(ValueError):
+        A.top_n_parameter(7)
