@@ -70,3 +70,14 @@ def test_merge_metrics(spark):
     s = spark.createDataFrame([(2, "y2", 5.0), (3, "z", 3.0), (3, "z", 3.0)], SCHEMA)
     m = MG.merge_metrics(t, s, "k").collect()[0]
     assert (m["inserted"], m["updated"]) == (1, 1)
+
+
+def test_null_keys_bypass_the_join(spark):
+    t = spark.createDataFrame([(1, "x", 1.0), (None, "n1", 2.0)], SCHEMA)
+    s = spark.createDataFrame([(1, "x2", 1.5), (None, "n2", 3.0)], SCHEMA)
+    out = MG.merge_upsert(t, s, "k")
+    assert rows(out) == sorted([(1, "x2", 1.5), (None, "n1", 2.0), (None, "n2", 3.0)], key=repr)
+    cf = MG.change_feed(t, s, "k")
+    assert rows(cf, ["k", "a", "_change_type"]) == sorted(
+        [(1, "x", "update_preimage"), (1, "x2", "update_postimage"), (None, "n1", "delete"),
+         (None, "n2", "insert")], key=repr)
