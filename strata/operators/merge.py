@@ -39,10 +39,23 @@ def dedup_latest(df: DataFrame, keys, order_by: list[str] | str) -> DataFrame:
                       *[F.col(f"__pick.{c}") for c in tie]).select(*df.columns)
 
 
+# Fixed value: how many ways the rows with a NULL key are spread.
+NULL_KEY_SPREAD = 4096
+
+
 def _any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+def _salt(keys: list[str], cols: list[str]) -> Column:
+    """0 for rows with a full key; for rows with a NULL key (which can never
+    match) a hash of the row, so a mass of NULL keys is spread over many join
+    partitions instead of landing in one - AQE does not split skew in a full
+    outer join. One scan, no extra branch."""
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(NULL_KEY_SPREAD))
+    return F.when(_any_null(keys), spread).otherwise(F.lit(0)).cast("int")
+
+
 def _evolve(df: DataFrame, columns: list[str], types: dict) -> DataFrame:
     missing = [c for c in columns if c not in df.columns]
     for c in missing:
@@ -69,16 +82,12 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys, update_cols:
     types = {f.name: f.dataType for f in target.schema.fields}
     types.update({f.name: f.dataType for f in source.schema.fields if f.name not in types})
     cols = list(target.columns) + [c for c in source.columns if c not in target.columns]
-    t_all = _evolve(target, cols, types)
-    s_all = _evolve(source, cols, types)
-    # A NULL key never matches: those rows bypass the join (kept / inserted as
-    # they are), so a mass of NULL keys cannot pile up in one join task - AQE
-    # does not split skew in a full outer join.
-    nulls = t_all.where(_any_null(keys)).select(*cols).unionByName(s_all.where(_any_null(keys)).select(*cols))
-    t = t_all.where(~_any_null(keys)).withColumn("__t", F.lit(True))
-    s = s_all.where(~_any_null(keys))
-    s = s.select(*[F.col(c).alias(f"__s_{c}") for c in cols]).withColumn("__s", F.lit(True))
-    cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__s_{k}") for k in keys])
+    t = _evolve(target, cols, types).withColumn("__t", F.lit(True)).withColumn("__salt", _salt(keys, cols))
+    s = _evolve(source, cols, types)
+    s = s.select(*[F.col(c).alias(f"__s_{c}") for c in cols], _salt(keys, cols).alias("__s_salt")) \
+        .withColumn("__s", F.lit(True))
+    cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__s_{k}") for k in keys]) \
+        & (F.col("__salt") == F.col("__s_salt"))
     j = t.join(s, cond, "full")
     upd = set(update_cols) if update_cols is not None else set(cols)
     out = []
@@ -90,7 +99,7 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys, update_cols:
         else:
             e = F.when(F.col("__t").isNotNull(), F.col(c)).otherwise(F.col(f"__s_{c}"))
         out.append(e.cast(types[c]).alias(c))
-    return j.select(*out).unionByName(nulls.select(*[F.col(c).cast(types[c]).alias(c) for c in cols]))
+    return j.select(*out)
 
 
 def merge_metrics(target: DataFrame | None, source: DataFrame, keys) -> DataFrame:
@@ -114,18 +123,19 @@ def change_feed(old: DataFrame | None, new: DataFrame, keys, version: int | None
     """
     keys = _keys(keys)
     rest = [c for c in new.columns if c not in keys]
-    n = new.select(*keys, F.struct(*rest).alias("__n"))
+    # NULL keys cannot be paired (they become inserts / deletes); their salt
+    # spreads them over the join's partitions.
+    n = new.select(*keys, F.struct(*rest).alias("__n"), _salt(keys, new.columns).alias("__salt"))
     if old is None:
-        o = n.where(F.lit(False)).withColumnRenamed("__n", "__o")
+        j = n.select(*keys, F.lit(None).cast(n.schema["__n"].dataType).alias("__o"), "__n")
     else:
-        o = old.select(*keys, F.struct(*rest).alias("__o"))
-    # NULL keys cannot be paired: such rows are inserts (new) or deletes (old)
-    # and bypass the full outer join, which AQE cannot split when skewed.
-    typ = n.schema["__n"].dataType
-    lone = (n.where(_any_null(keys)).select(*keys, F.lit(None).cast(typ).alias("__o"), "__n")
-            .unionByName(o.where(_any_null(keys)).select(*keys, "__o", F.lit(None).cast(typ).alias("__n"))))
-    j = o.where(~_any_null(keys)).join(n.where(~_any_null(keys)), keys, "full")
-    j = j.select(*keys, "__o", "__n").unionByName(lone).where(~F.col("__o").eqNullSafe(F.col("__n")))
+        o = old.select(*[F.col(k).alias(f"__ok_{k}") for k in keys], F.struct(*rest).alias("__o"),
+                       _salt(keys, old.columns).alias("__osalt"))
+        cond = reduce(lambda a, b: a & b, [F.col(f"__ok_{k}") == F.col(k) for k in keys]) \
+            & (F.col("__osalt") == F.col("__salt"))
+        j = o.join(n, cond, "full").select(
+            *[F.coalesce(F.col(f"__ok_{k}"), F.col(k)).alias(k) for k in keys], "__o", "__n")
+    j = j.where(~F.col("__o").eqNullSafe(F.col("__n")))
     ev = F.when(F.col("__o").isNull(), F.array(F.struct(F.lit("insert").alias("t"), F.col("__n").alias("img"))))
     ev = ev.when(F.col("__n").isNull(), F.array(F.struct(F.lit("delete").alias("t"), F.col("__o").alias("img"))))
     ev = ev.otherwise(F.array(F.struct(F.lit("update_preimage").alias("t"), F.col("__o").alias("img")),

@@ -81,3 +81,9 @@ def test_null_keys_bypass_the_join(spark):
     assert rows(cf, ["k", "a", "_change_type"]) == sorted(
         [(1, "x", "update_preimage"), (1, "x2", "update_postimage"), (None, "n1", "delete"),
          (None, "n2", "insert")], key=repr)
+
+
+def test_change_feed_first_version_is_all_inserts(spark):
+    new = spark.createDataFrame([(1, "x", 1.0), (None, "n", 2.0)], SCHEMA)
+    cf = MG.change_feed(None, new, "k")
+    assert rows(cf, ["k", "_change_type"]) == sorted([(1, "insert"), (None, "insert")], key=repr)
