@@ -190,7 +190,7 @@ SQL["audit_log"] = f"SELECT notebook, layer, table_name, rows_affected, status,
 
 def _load_summary(spark, sf):
     landed = _landed(spark, sf)
-    audit = C.audit_rows(landed, "01_land", "landing", "orders", run_ts=F.col("Processing_Date").cast("timestamp"))
+    audit = C.audit_rows(landed, "01_land", "landing", "orders", run_ts=F.col("Processing_Date").cast("timestamp_ntz"))
     return C.load_summary(audit, 5)
 
 
@@ -214,7 +214,7 @@ WHERE d > b.e - INTERVAL 5 DAY"""
 
 def _last_refreshed(spark, sf):
     landed = _landed(spark, sf)
-    audit = C.audit_rows(landed, "01_land", "landing", "orders", run_ts=F.col("Processing_Date").cast("timestamp"))
+    audit = C.audit_rows(landed, "01_land", "landing", "orders", run_ts=F.col("Processing_Date").cast("timestamp_ntz"))
     return C.last_refreshed(audit)
 
 

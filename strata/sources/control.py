@@ -94,7 +94,7 @@ def audit_rows(batches: DataFrame, notebook: str, layer: str, table: str, status
     """One audit row per landed batch (rows per Processing_Date)."""
     ts = run_ts if run_ts is not None else F.current_timestamp()
     per = batches.groupBy("Processing_Date").agg(F.count(F.lit(1)).alias("rows_affected"))
-    return per.select(ts.cast("timestamp").alias("run_ts"), F.lit(notebook).alias("notebook"),
+    return per.select(ts.alias("run_ts"), F.lit(notebook).alias("notebook"),
                       F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "rows_affected",
                       F.lit(status).alias("status"),
                       F.concat(F.lit("pd="), F.col("Processing_Date").cast("string")).alias("message"))
