@@ -33,7 +33,7 @@ def restrict(star: Star, dim: str, predicate: Column) -> Star:
         key = keys.get(dim)
         if key is not None and fact in t:
             t[fact] = t[fact].join(allowed.select(key).distinct(), key, "left_semi")
-    return Star(t, star.fact_dates, star.fact_keys, star.attrs, star.hops)
+    return Star(t, star.fact_dates, star.fact_keys, star.attrs, star.hops, star.unique)
 
 
 def rls_region(star: Star, province: str) -> Star:
@@ -51,7 +51,7 @@ def rls_dynamic(star: Star, mapping: DataFrame, user: str) -> Star:
     allowed = mapping.where(F.col("user_email") == user).select("banner_id").distinct()
     t = dict(star.tables)
     stores = star.tables["dim_store"].join(allowed, "banner_id", "left_semi")
-    s = Star(t, star.fact_dates, star.fact_keys, star.attrs, star.hops).with_table("dim_store", stores)
+    s = Star(t, star.fact_dates, star.fact_keys, star.attrs, star.hops, star.unique).with_table("dim_store", stores)
     return restrict(s, "dim_store", F.lit(True))
 
 

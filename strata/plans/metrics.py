@@ -37,8 +37,23 @@ class Base:
     agg: Callable[[], Column]
     needs: tuple[str, ...] = ()
     # for distinct counts: the counted expression (enables to-date running
-    # counts by first occurrence instead of re-scanning every window)
+    # counts by first occurrence instead of re-scanning every window) and the
+    # column it counts (a declared unique column turns it into a plain count)
     distinct: Callable[[], Column] | None = None
+    distinct_col: str | None = None
+
+
+def is_plain_count(star: Star, name: str) -> bool:
+    """True when a distinct-count base counts a column unique in its table."""
+    b = BASES[name]
+    return b.distinct is not None and b.distinct_col in star.unique.get(b.fact, ())
+
+
+def base_agg(star: Star, name: str) -> Column:
+    b = BASES[name]
+    if is_plain_count(star, name):
+        return F.count(b.distinct())
+    return b.agg()
 
 
 def _c(n):
@@ -58,11 +73,13 @@ BASES: dict[str, Base] = {
                   ("is_own_brand",)),
     # transactions
     "s_rev": Base(TXN, lambda: money_sum("total_amount_cad")),
-    "n_txn": Base(TXN, lambda: F.count_distinct("transaction_id"), distinct=lambda: _c("transaction_id")),
+    "n_txn": Base(TXN, lambda: F.count_distinct("transaction_id"), distinct=lambda: _c("transaction_id"),
+                  distinct_col="transaction_id"),
     "n_active": Base(TXN, lambda: F.count_distinct("customer_id"), distinct=lambda: _c("customer_id")),
     "n_loyal": Base(TXN, lambda: F.count_distinct(
         F.when(_c("is_loyalty_transaction") == 1, _c("transaction_id"))),
-        distinct=lambda: F.when(_c("is_loyalty_transaction") == 1, _c("transaction_id"))),
+        distinct=lambda: F.when(_c("is_loyalty_transaction") == 1, _c("transaction_id")),
+        distinct_col="transaction_id"),
     # inventory
     "n_onhand": Base(INV, lambda: F.sum("on_hand_units")),
     "n_oos": Base(INV, lambda: F.count_if(_c("is_out_of_stock") == 1)),
@@ -162,7 +179,7 @@ def aggregate_bases(star: Star, bases: list[str], by: list[str], where: Column |
         if fact_where and fact in fact_where:
             w = fact_where[fact] if w is None else (w & fact_where[fact])
         df = star.frame(fact, list(by) + needs, where=w)
-        aggs = [BASES[b].agg().alias(b) for b in names]
+        aggs = [base_agg(star, b).alias(b) for b in names]
         if sets is not None:
             df = df.groupingSets(sets, *by).agg(*aggs, F.grouping_id().alias("grouping_id"))
         elif grouping == "rollup":

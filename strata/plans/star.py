@@ -43,6 +43,10 @@ class Star:
     attrs: dict[str, tuple[str, str]]
     # snowflake: dimension -> (parent dimension, key on the parent)
     hops: dict[str, tuple[str, str]] = field(default_factory=dict)
+    # table -> columns known to be unique per row (a fact's primary key, kept
+    # unique by the upsert that builds it): a distinct count of such a column
+    # is a plain count, which combines map-side instead of shuffling every id
+    unique: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -50,7 +54,7 @@ class Star:
     def with_table(self, name: str, df: DataFrame) -> "Star":
         t = dict(self.tables)
         t[name] = df
-        return Star(t, self.fact_dates, self.fact_keys, self.attrs, self.hops)
+        return Star(t, self.fact_dates, self.fact_keys, self.attrs, self.hops, self.unique)
 
     def _dim_image(self, dim: str, key: str, cols: list[str]) -> DataFrame:
         """Key + requested columns of ``dim``, hopping through a parent dimension."""

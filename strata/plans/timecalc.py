@@ -99,11 +99,13 @@ def to_date(star: Star, metrics: list[str], by: list[str], reset: str = "year",
         needs = [n for b in names for n in M.BASES[b].needs]
         fr = star.frame(fact, keys + needs, where)
         grids.append(fr.select(*keys).distinct())
-        add = [b for b in names if M.BASES[b].distinct is None]
+        # additive bases, including distinct counts of a unique column (each
+        # value occurs once, so it is first seen in its own period)
+        add = [b for b in names if M.BASES[b].distinct is None or M.is_plain_count(star, b)]
         if add:
-            series.append(fr.groupBy(*keys).agg(*[M.BASES[b].agg().alias(b) for b in add]))
+            series.append(fr.groupBy(*keys).agg(*[M.base_agg(star, b).alias(b) for b in add]))
         for b in names:
-            if M.BASES[b].distinct is None:
+            if b in add:
                 continue
             val = M.BASES[b].distinct()
             first = (fr.select(*by, F.col(grain), RESETS[reset](F.col(grain)).alias("__r"), val.alias("__v"))

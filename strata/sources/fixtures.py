@@ -171,6 +171,9 @@ ATTRS = {
 
 HOPS = {"dim_banner": ("dim_store", "banner_id")}
 
+# Primary keys of the facts (one row per key; upserts keep them unique).
+UNIQUE = {"fact_sales_transaction": ("transaction_id",), "fact_loyalty_event": ("loyalty_event_id",)}
+
 
 def load_base(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     from strata.sources.tables import TEST_TABLES
@@ -217,7 +220,7 @@ def retail_star(spark: SparkSession, sf_dir: str, materialize: bool = True) -> S
         tables = {k: (v if k == "fact_sales_line_item" else publish(v, f"gold_{k}", spark=spark))
                   for k, v in tables.items()}
     tables.update({f"src_{k}": v for k, v in t.items()})
-    star = Star(tables, FACT_DATES, FACT_KEYS, ATTRS, HOPS)
+    star = Star(tables, FACT_DATES, FACT_KEYS, ATTRS, HOPS, UNIQUE)
     if materialize:
         _PUBLISHED[key] = star
     return star

@@ -122,3 +122,14 @@ def test_top_n_parameter_validated():
     assert A.top_n_parameter() == 10 and A.top_n_parameter(25) == 25
     with pytest.raises(ValueError):
         A.top_n_parameter(7)
+
+
+def test_unique_key_count_equals_distinct_count(star):
+    uniq = Star(star.tables, star.fact_dates, star.fact_keys, star.attrs, star.hops,
+                {"fact_sales_transaction": ("transaction_id",)})
+    a = M.evaluate(star, ["transactions", "loyalty_txns"], ["channel"]).collect()
+    b = M.evaluate(uniq, ["transactions", "loyalty_txns"], ["channel"]).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    ya = T.to_date(star, ["transactions"], [], "year", "month").collect()
+    yb = T.to_date(uniq, ["transactions"], [], "year", "month").collect()
+    assert sorted(map(tuple, ya)) == sorted(map(tuple, yb))
