@@ -98,12 +98,15 @@ def to_date(star: Star, metrics: list[str], by: list[str], reset: str = "year",
     for fact, names in per_fact.items():
         needs = [n for b in names for n in M.BASES[b].needs]
         fr = star.frame(fact, keys + needs, where)
-        grids.append(fr.select(*keys).distinct())
         # additive bases, including distinct counts of a unique column (each
-        # value occurs once, so it is first seen in its own period)
+        # value occurs once, so it is first seen in its own period); the same
+        # aggregate yields the fact's (group, period) grid - one pass
         add = [b for b in names if M.BASES[b].distinct is None or M.is_plain_count(star, b)]
+        per = fr.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"),
+                                    *[M.base_agg(star, b).alias(b) for b in add])
+        grids.append(per.select(*keys))
         if add:
-            series.append(fr.groupBy(*keys).agg(*[M.base_agg(star, b).alias(b) for b in add]))
+            series.append(per.drop("__rows"))
         for b in names:
             if b in add:
                 continue

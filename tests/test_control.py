@@ -93,3 +93,14 @@ def test_absent_change_feed_is_an_empty_batch(spark):
     from strata.sources.landing import land_dim_changes
     out = land_dim_changes(spark, None, "2024-01-01")
     assert out.count() == 0 and "Processing_Date" in out.columns and "new_value" in out.columns
+
+
+def test_empty_increment_is_a_no_op(spark):
+    from strata.plans.medallion import Layers, run_layers
+    landed = spark.createDataFrame([], "transaction_id long, customer_id long, transaction_date date, "
+                                       "Processing_Date date")
+    versions = spark.createDataFrame([], "customer_id long, effective_from date, effective_to date, "
+                                         "customer_version_from date")
+    st = Layers(watermark="2024-01-01")
+    assert run_layers(spark, st, landed, ["transaction_id"], versions, "customer_id", "transaction_date",
+                      {}, None, "t") is st
