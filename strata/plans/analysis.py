@@ -101,7 +101,7 @@ def sales_rank(star: Star, member: str, where: Column | None = None) -> DataFram
     detail = F.col("grouping_id") == 0
     w = Window.partitionBy("grouping_id").orderBy(F.col("s_net").desc())
     return agg.select(member, "grouping_id", cents("s_net").alias("net_sales"),
-                      F.when(detail, F.dense_rank().over(w)).alias("sales_rank"))
+                      F.when(detail, F.dense_rank().over(w).cast("bigint")).alias("sales_rank"))
 
 
 # --- M43 / M56: top-N with ties ------------------------------------------------------
@@ -142,7 +142,7 @@ def top_n_curve(star: Star, member: str, ns: list[int], where: Column | None = N
     is emitted for the N values it qualifies for (N >= rank), then summed per
     N: an explode, not a join on ``rank <= N``."""
     r = ranked_members(star, member, [], max(ns), where)
-    nsarr = F.array(*[F.lit(int(x)) for x in sorted(ns)])
+    nsarr = F.array(*[F.lit(int(x)).cast("bigint") for x in sorted(ns)])
     out = r.select("s_net", F.explode(F.filter(nsarr, lambda x: x >= F.col("rank"))).alias("top_n"))
     return out.groupBy("top_n").agg(cents(F.sum("s_net")).alias("top_n_sales"),
                                     F.count(F.lit(1)).alias("members"))

@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 def _period_exprs() -> dict:
     return {
         "date": lambda d: d,
-        "year": lambda d: F.year(d),
-        "quarter": lambda d: F.quarter(d),
+        # period numbers are int64 in the model
+        "year": lambda d: F.year(d).cast("bigint"),
+        "quarter": lambda d: F.quarter(d).cast("bigint"),
         "month": lambda d: F.trunc(d, "month").cast("date"),
-        "month_of_year": lambda d: F.month(d),
+        "month_of_year": lambda d: F.month(d).cast("bigint"),
     }
 
 

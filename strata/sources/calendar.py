@@ -58,15 +58,15 @@ def calendar(bounds: DataFrame, start: str = "start", end: str = "end") -> DataF
     return days.select(
         F.date_format(d, "yyyyMMdd").cast("int").alias("date_id"),
         d,
-        dow.alias("day_of_week"),
+        dow.cast("bigint").alias("day_of_week"),
         F.date_format(d, "EEEE").alias("day_of_week_name"),
-        F.dayofmonth(d).alias("day_of_month"),
-        F.weekofyear(d).alias("week_of_year"),
-        m.alias("month_of_year"),
+        F.dayofmonth(d).cast("bigint").alias("day_of_month"),
+        F.weekofyear(d).cast("bigint").alias("week_of_year"),
+        m.cast("bigint").alias("month_of_year"),
         F.date_format(d, "MMMM").alias("month_name"),
-        F.quarter(d).alias("quarter"),
-        F.year(d).alias("calendar_year"),
-        fy.alias("fiscal_year"),
+        F.quarter(d).cast("bigint").alias("quarter"),
+        F.year(d).cast("bigint").alias("calendar_year"),
+        fy.cast("bigint").alias("fiscal_year"),
         F.concat(F.lit("FQ"), fq.cast("string")).alias("fiscal_quarter"),
         F.when(dow >= 6, 1).otherwise(0).alias("is_weekend"),
         F.when(hol.isNotNull(), 1).otherwise(0).alias("is_canadian_holiday"),
