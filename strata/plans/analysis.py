@@ -218,11 +218,10 @@ def gm_bridge(star: Star, product_key: str = "product_id", where: Column | None
         money_sum("line_cost_cad").alias("cost"),
         money_sum(F.col("quantity") * F.col("unit_list_price_cad")).alias("lst"),
         money_sum(F.col("quantity") * F.col("unit_discount_cad")).alias("dsc"))
-    years = py_.select("year").distinct()
     cur = py_.select(product_key, "year", *[F.col(c).alias(f"{c}2") for c in ("q", "net", "cost", "lst", "dsc")])
     prv = py_.select(product_key, (F.col("year") + 1).alias("year"),
                      *[F.col(c).alias(f"{c}1") for c in ("q", "net", "cost", "lst", "dsc")])
-    t = cur.join(prv, [product_key, "year"], "full").join(F.broadcast(years), "year")
+    t = cur.join(prv, [product_key, "year"], "full")
     d = lambda c: F.col(c).cast("double")
     q1, q2 = F.coalesce(d("q1"), F.lit(0.0)), F.coalesce(d("q2"), F.lit(0.0))
     m1u = F.coalesce(divide(F.col("net1") - F.col("cost1"), F.col("q1")), F.lit(0.0))
@@ -236,7 +235,10 @@ def gm_bridge(star: Star, product_key: str = "product_id", where: Column | None
         F.sum("q1").alias("Q1"), F.sum("q2").alias("Q2"), F.sum("gm1").alias("GM1"), F.sum("gm2").alias("GM2"),
         F.sum(F.col("q2") * F.col("m1u")).alias("A"), F.sum(F.col("q1") * F.col("m1u")).alias("B"),
         F.sum("price").alias("P"), F.sum("markdown").alias("MD"), F.sum("costfx").alias("C"),
-        F.count_if(F.col("gm1").isNotNull()).alias("n_py"))
+        F.count_if(F.col("gm1").isNotNull()).alias("n_py"), F.count_if(F.col("gm2").isNotNull()).alias("n_cy"))
+    # only years with current-year sales (the shifted side also yields the
+    # year after the last one); a filter on the per-year result, no extra scan
+    agg = agg.where(F.col("n_cy") > 0)
     has_py = F.col("n_py") > 0
     Q1, Q2 = F.col("Q1"), F.col("Q2")
     gm1 = F.when(has_py, F.col("GM1") / F.lit(MONEY_SCALE))
