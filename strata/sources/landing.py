@@ -93,6 +93,14 @@ def land(df: DataFrame, path: str, proc_date: str) -> int:
     return int(obs.get.get("rows", 0))
 
 
+def land_all(sources: dict[str, DataFrame], base: str, proc_date: str,
+             order: list[str] | None = None) -> dict[str, int]:
+    """Bulk mode - land every registered source under ``base/<name>``,
+    in registry load order; one write job per table, row counts observed."""
+    names = [n for n in (order or list(sources)) if n in sources]
+    return {n: land(sources[n], os.path.join(base, n), proc_date) for n in names}
+
+
 def write_quarantine(quarantine: DataFrame, path: str) -> None:
     """Quarantine rows by batch; a re-run of a batch replaces its partition."""
     (quarantine.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

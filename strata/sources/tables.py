@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -36,6 +35,10 @@ def read_source(spark: SparkSession, path: str, schema: StructType | str | None
             raise exc
 
 
-def exists(path: str) -> bool:
-    """Existence guard for a table folder (local or mounted path)."""
-    return os.path.exists(path)
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None when it does not exist yet (works
+    on any file system Spark reads, not only local paths)."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None

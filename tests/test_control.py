@@ -104,3 +104,15 @@ def test_empty_increment_is_a_no_op(spark):
     st = Layers(watermark="2024-01-01")
     assert run_layers(spark, st, landed, ["transaction_id"], versions, "customer_id", "transaction_date",
                       {}, None, "t") is st
+
+
+def test_bulk_landing_and_existence_guard(spark):
+    from strata.sources.landing import land_all
+    from strata.sources.tables import read_if_exists
+    base = tempfile.mkdtemp(prefix="strata-bulk-")
+    assert read_if_exists(spark, os.path.join(base, "a")) is None
+    counts = land_all({"a": spark.createDataFrame([(1,), (2,)], "k long"),
+                       "b": spark.createDataFrame([(3,)], "k long")}, base, "2024-01-01",
+                      order=[r["table_name"] for r in C.registry(spark).collect()] + ["a", "b"])
+    assert counts == {"a": 2, "b": 1}
+    assert read_if_exists(spark, os.path.join(base, "a")).count() == 2
