@@ -149,10 +149,17 @@ def top_n_curve(star: Star, member: str, ns: list[int], where: Column | None = N
 
 
 # --- M44: Pareto (running share) ---------------------------------------------------
+# Fixed value: value buckets per doubling of |value| in the Pareto prefix sum.
+BUCKETS_PER_DOUBLING = 256
+
+
 def _bucket(v: Column) -> Column:
-    # Monotone, value-only bucket (about 16 per doubling of |value|): equal
-    # values share a bucket, so RANGE ties never straddle two buckets.
-    return F.signum(v) * F.floor(F.log2(F.abs(v) + F.lit(1)) * F.lit(16))
+    # Monotone, value-only bucket: equal values share a bucket, so RANGE ties
+    # never straddle two buckets. Values are exact integers (1/10,000 units),
+    # so a bucket at value x holds at most x * (2^(1/256) - 1) distinct values,
+    # and there are at most 2 x 64 x 256 = 32,768 buckets (the broadcast
+    # offsets table is bounded by construction).
+    return F.signum(v) * F.floor(F.log2(F.abs(v) + F.lit(1)) * F.lit(BUCKETS_PER_DOUBLING))
 
 
 def running_share(values: DataFrame, value_col: str) -> DataFrame:
@@ -162,8 +169,8 @@ def running_share(values: DataFrame, value_col: str) -> DataFrame:
 
     Rows are first reduced to distinct values (a hot tie collapses to one
     row), prefix sums run inside value buckets, and each bucket is offset by
-    the totals of the buckets above it (a table of at most a few thousand
-    rows, broadcast by construction).
+    the totals of the buckets above it (at most 32,768 rows, broadcast by
+    construction).
     """
     v = F.col(value_col)
     vals = values.groupBy(value_col).agg(F.sum(v).alias("__tot")).withColumn("__b", _bucket(v))
