@@ -116,3 +116,17 @@ def test_bulk_landing_and_existence_guard(spark):
                       order=[r["table_name"] for r in C.registry(spark).collect()] + ["a", "b"])
     assert counts == {"a": 2, "b": 1}
     assert read_if_exists(spark, os.path.join(base, "a")).count() == 2
+
+
+def test_partitioned_stream_upsert(spark):
+    from strata.streaming.ingest import stream_upsert_partitioned
+    base = tempfile.mkdtemp(prefix="strata-pstream-")
+    src, tgt, ck = (os.path.join(base, p) for p in ("landing", "bronze", "_ck"))
+    schema = "k long, v string, month date, Processing_Date date"
+    spark.createDataFrame([(1, "a", d("2024-01-01"), d("2024-02-01")), (2, "b", d("2024-02-01"), d("2024-02-01"))],
+                          schema).write.partitionBy("Processing_Date").parquet(src)
+    stream_upsert_partitioned(spark, src, schema, tgt, "k", "month", ck)
+    spark.createDataFrame([(2, "b2", d("2024-02-01"), d("2024-02-02"))], schema) \
+        .write.mode("append").partitionBy("Processing_Date").parquet(src)
+    stream_upsert_partitioned(spark, src, schema, tgt, "k", "month", ck)
+    assert rows(spark.read.parquet(tgt), ["k", "v"]) == [(1, "a"), (2, "b2")]
