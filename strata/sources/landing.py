@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.operators.merge import dedup_latest, merge_upsert
+from strata.operators.merge import change_feed, dedup_latest, merge_upsert, read_changes
 from strata.session import checkpoint_dir
 
 # The partition column of landing tables and the schema of the
@@ -113,7 +113,8 @@ def append_rows(df: DataFrame, path: str) -> None:
 
 
 def upsert_partitions(spark: SparkSession, target_path: str, source: DataFrame, keys, part_col: str,
-                      order_by: list[str] | str | None = None, staging: str | None = None) -> None:
+                      order_by: list[str] | str | None = None, staging: str | None = None,
+                      with_changes: bool = False) -> DataFrame | None:
     """C01 at scale: upsert into a Parquet table partitioned by ``part_col``,
     reading and rewriting only the partitions the batch touches.
 
@@ -123,15 +124,18 @@ def upsert_partitions(spark: SparkSession, target_path: str, source: DataFrame,
     be overwritten while it is read) and then swapped in with dynamic
     partition overwrite. Untouched partitions are never read or rewritten.
     Requires that a key never changes partition (e.g. a transaction and its
-    date).
+    date). With ``with_changes`` the change rows of the touched partitions
+    (inserts and post-images) are materialized before the swap and returned,
+    to feed the next layer.
     """
     if order_by is not None:
         source = dedup_latest(source, keys, order_by)
+    base = staging or os.path.join(checkpoint_dir(spark), "staging", f"u-{uuid.uuid4().hex}")
     try:
         target = spark.read.parquet(target_path)
     except AnalysisException:  # first load: the table does not exist yet
         source.write.partitionBy(part_col).parquet(target_path)
-        return
+        return spark.read.parquet(target_path) if with_changes else None
     # The touched partition values are few (days in a batch): as a literal
     # IN-list they prune the target's folders at planning time. Past a bound
     # the semi-join is kept and dynamic partition pruning does the work.
@@ -142,7 +146,13 @@ def upsert_partitions(spark: SparkSession, target_path: str, source: DataFrame,
     else:
         affected = target.join(touched, part_col, "left_semi")
     merged = merge_upsert(affected, source.select(*target.columns), keys)
-    base = staging or os.path.join(checkpoint_dir(spark), "staging", f"u-{uuid.uuid4().hex}")
-    merged.write.partitionBy(part_col).parquet(base)
-    (spark.read.parquet(base).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    merged.write.partitionBy(part_col).parquet(os.path.join(base, "merged"))
+    staged = spark.read.parquet(os.path.join(base, "merged")).select(*target.columns)
+    changes = None
+    if with_changes:  # diff before the old partitions are replaced
+        cf = read_changes(change_feed(affected, staged, keys)).drop("_change_type")
+        cf.write.parquet(os.path.join(base, "changes"))
+        changes = spark.read.parquet(os.path.join(base, "changes"))
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part_col).parquet(target_path))
+    return changes
