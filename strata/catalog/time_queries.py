@@ -381,3 +381,15 @@ FROM (VALUES ('GM PY', 0), ('Volume', 1), ('Mix', 2), ('Price', 3), ('Markdown',
 LEFT JOIN (SELECT step, v FROM br CROSS JOIN LATERAL (VALUES ('GM PY', gm_py), ('Volume', volume), ('Mix', mix),
            ('Price', price), ('Markdown', markdown), ('Cost', cost)) AS x(step, v)) v USING (step)
 GROUP BY 1, 2""", _BR)
+
+
+# --- T02 at day grain: every day maps back to one day a year earlier (leap days) ----------
+def _time_py_day(spark, sf):
+    return T.with_prior_year(star(spark, sf), ["net_sales"], [], "date")
+
+
+Q["time_py_day"] = _time_py_day
+SQL["time_py_day"] = oracle(f"""
+SELECT c.date, {cents('c.sn')} AS net_sales, {cents('p.sn')} AS net_sales_py
+FROM dn c LEFT JOIN dn p ON p.date = CAST(c.date - INTERVAL 12 MONTH AS DATE)""", f"""
+dn AS (SELECT transaction_date AS date, {msum('line_subtotal_cad')} AS sn FROM fact_sales_line_item GROUP BY 1)""")

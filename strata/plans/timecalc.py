@@ -41,8 +41,11 @@ def _finals(df: DataFrame, metrics: list[str], suffix: str = "") -> list[Column]
             for m in metrics]
 
 
-def _shift(grain: str, col: Column) -> Column:
-    return F.add_months(col, 12) if grain in ("month", "date") else col + F.lit(1)
+def _back(grain: str, col: Column) -> Column:
+    """The same period one year earlier. Mapping each current period back
+    (rather than each prior period forward) gives every period exactly one
+    prior period: 2025-02-28 -> 2024-02-28, and 2024-02-29 -> 2023-02-28."""
+    return F.add_months(col, -12) if grain in ("month", "date") else col - F.lit(1)
 
 
 def with_prior_year(star: Star, metrics: list[str], by: list[str], grain: str = "year",
@@ -54,8 +57,8 @@ def with_prior_year(star: Star, metrics: list[str], by: list[str], grain: str =
     keys = list(by) + [grain]
     bases = M.bases_of(metrics)
     cur = M.aggregate_bases(star, bases, keys, where)
-    py = cur.select(*by, _shift(grain, F.col(grain)).alias(grain), *[F.col(b).alias(f"{b}_py") for b in bases])
-    j = _nsjoin(cur, py, keys, "left")
+    py = cur.select(*by, F.col(grain).alias("__pk"), *[F.col(b).alias(f"{b}_py") for b in bases])
+    j = _nsjoin(cur.withColumn("__pk", _back(grain, F.col(grain))), py, list(by) + ["__pk"], "left")
     return j.select(*keys, *_finals(j, metrics), *_finals(j, metrics, "_py"))
 
 

@@ -133,3 +133,16 @@ def test_unique_key_count_equals_distinct_count(star):
     ya = T.to_date(star, ["transactions"], [], "year", "month").collect()
     yb = T.to_date(uniq, ["transactions"], [], "year", "month").collect()
     assert sorted(map(tuple, ya)) == sorted(map(tuple, yb))
+
+
+def test_prior_year_at_day_grain_has_one_row_per_day(spark, star):
+    line = spark.createDataFrame([
+        (1, d("2024-02-28"), 1, 10, None, 1, 1.0, 0.0, 2.0, 1.0, None),
+        (2, d("2024-02-29"), 1, 10, None, 1, 1.0, 0.0, 3.0, 1.0, None),
+        (3, d("2025-02-28"), 1, 10, None, 1, 1.0, 0.0, 7.0, 1.0, None)], LINE_SCHEMA)
+    s = star.with_table("fact_sales_line_item", line)
+    out = T.with_prior_year(s, ["net_sales"], [], "date").collect()
+    got = {r["date"]: (r["net_sales"], r["net_sales_py"]) for r in out}
+    assert len(out) == 3
+    assert got[d("2025-02-28")] == (7.0, 2.0)   # same calendar day last year
+    assert got[d("2024-02-29")] == (3.0, None)  # 2023-02-28 had no sales
