@@ -7,8 +7,6 @@ the open end is 9999-12-31.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -164,6 +162,3 @@ def intervals_ok(versions: DataFrame, keys) -> DataFrame:
     cur = versions.groupBy(*keys).agg(F.count_if(F.col("is_current")).alias("__n")).where("__n <> 1")
     return bad_link.select(*keys).unionByName(cur.select(*keys)).distinct()
 
-
-def all_of(preds: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, preds)

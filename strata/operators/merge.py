@@ -162,6 +162,3 @@ def union_evolving(a: DataFrame, b: DataFrame) -> DataFrame:
     """Append with schema evolution (columns missing on a side are NULL)."""
     return a.unionByName(b, allowMissingColumns=True)
 
-
-def where_all(preds: list[Column]) -> Column:
-    return reduce(lambda x, y: x & y, preds)
