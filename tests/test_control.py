@@ -130,3 +130,21 @@ def test_partitioned_stream_upsert(spark):
         .write.mode("append").partitionBy("Processing_Date").parquet(src)
     stream_upsert_partitioned(spark, src, schema, tgt, "k", "month", ck)
     assert rows(spark.read.parquet(tgt), ["k", "v"]) == [(1, "a"), (2, "b2")]
+
+
+def test_rerun_replaces_quarantine_and_landing_batches(spark):
+    from strata.operators import quality as DQ
+    from strata.sources.landing import land, write_quarantine
+    base = tempfile.mkdtemp(prefix="strata-rerun-")
+    df = spark.createDataFrame([(1, 0), (2, 5)], "id long, quantity long")
+    _, q = DQ.dq_split(df, DQ.RULES["fact_sales_line_item"])
+    qpath = os.path.join(base, "quarantine")
+    for _ in range(2):  # a re-run of the same batch
+        write_quarantine(DQ.quarantine_batch(q, "2024-01-01"), qpath)
+    assert spark.read.parquet(qpath).count() == 1
+    lpath = os.path.join(base, "landing")
+    assert land(df, lpath, "2024-01-01") == 2
+    assert land(df, lpath, "2024-01-01") == 2  # re-landing the date replaces it
+    assert spark.read.parquet(lpath).count() == 2
+    assert land(df.where("id < 0"), lpath, "2024-01-02") == 0  # an empty batch writes nothing
+    assert spark.read.parquet(lpath).count() == 2
