@@ -76,6 +76,8 @@ class Star:
             if a in PERIODS and date is not None:
                 df = df.withColumn(a, PERIODS[a](F.col(date)))
                 continue
+            if a not in self.attrs:
+                raise KeyError(f"{fact} has no column or related attribute {a!r}")
             dim, col = self.attrs[a]
             wanted.setdefault(dim, [])
             if col not in wanted[dim]:

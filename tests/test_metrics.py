@@ -146,3 +146,16 @@ def test_prior_year_at_day_grain_has_one_row_per_day(spark, star):
     assert len(out) == 3
     assert got[d("2025-02-28")] == (7.0, 2.0)   # same calendar day last year
     assert got[d("2024-02-29")] == (3.0, None)  # 2023-02-28 had no sales
+
+
+def test_cube_and_grouping_sets_reaggregate(star):
+    out = M.evaluate(star, ["active_customers", "net_sales"], ["loyalty_tier", "year"], grouping="cube").collect()
+    by_gid = {}
+    for r in out:
+        by_gid.setdefault(r["grouping_id"], []).append(r)
+    assert sorted(by_gid) == [0, 1, 2, 3]
+    total = by_gid[3][0]
+    assert total["active_customers"] == 2 and total["net_sales"] == 34.0
+    sets = M.evaluate(star, ["active_customers"], ["loyalty_tier", "year"], sets=[["loyalty_tier"], []]).collect()
+    got = {(r["loyalty_tier"], r["grouping_id"]): r["active_customers"] for r in sets}
+    assert got == {("Gold", 1): 1, ("Bronze", 1): 1, (None, 1): 0, (None, 3): 2}
