@@ -8,11 +8,15 @@ Bands of ``ROWS`` values make buckets. Documents with equal sets are collapsed
 first, so a bucket holds different sets only.
 
 Pairs are bounded by stars: each bucket member is compared with the bucket's
-smallest document only, on the full sets. The Jaccard distance is a metric, so
-the distances to that pivot also decide exactly which other pairs of a bucket
-can still be links: those in different components whose distances to the pivot
-differ by no more than the limit. These remaining pairs are compared as well;
-no link between bucket members is lost and no group emits all its pairs.
+smallest document only, on the full sets. Links between two members that are
+not the centre could be lost that way, so buckets whose members are still in
+different components are gone through again: their sets are packed into blocks
+of about ``BLOCK`` members, blocks of a bucket meet as tiles, and a task compares
+what lies in different components and hands on a link only where it joins two of
+them. No link between bucket members is lost, no join emits the pairs of a group,
+and a task holds two blocks. In a tile, pairs whose sizes rule out the limit are
+left out, and so are those whose signatures agree in so few places that the limit
+is ``SIGMAS`` standard errors away; the rest are compared on the full sets.
 
 Defined results: null or empty texts have n_shingles 0 and are their own
 component. Rows with a repeated doc_id are one node (the text with the smallest
@@ -34,6 +38,7 @@ from strata.llm.components import connected_components
 
 BANDS, ROWS = 36, 7
 BINS = BANDS * ROWS
+BLOCK, SIGMAS = 512, 6
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _DRAWS = np.random.default_rng(7).integers(0, BINS, (4096, BINS), dtype=np.int16)
 _SEEDS = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -114,12 +119,13 @@ def _sketches(k: int):
 
 
 def _sets(k: int):
-    @F.pandas_udf("digest binary, shingles array<long>")
+    @F.pandas_udf("digest binary, shingles array<long>, marks binary")
     def sets(texts: pd.Series) -> pd.DataFrame:
         known = _Words()
         made = [shingle_set(t, k, known) for t in texts]
         return pd.DataFrame({"digest": [xxh3_128_digest(s.tobytes()) for s in made],
-                             "shingles": [s.view(np.int64) for s in made]})
+                             "shingles": [s.view(np.int64) for s in made],
+                             "marks": [signature(s).astype(np.uint8).tobytes() if len(s) else None for s in made]})
 
     return sets
 
@@ -134,10 +140,71 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .select("u", "v", "inter", (F.size("su") + F.size("sv") - F.col("inter")).alias("whole")))
 
 
+_PACKED = "bucket long, block int, nodes binary, components binary, sizes binary, sets binary, marks binary"
+
+
+def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One block of a bucket in a row. Marks are the lowest bytes of the signature
+    values (chance agreement only adds pairs to compare)."""
+    pdf = pdf.sort_values("u")
+    sets = [np.asarray(x, np.int64).view(np.uint64) for x in pdf["shingles"]]
+    return pd.DataFrame([(pdf["bucket"].iloc[0], pdf["block"].iloc[0], pdf["u"].to_numpy(np.int64).tobytes(),
+                          pdf["component"].to_numpy(np.int64).tobytes(), np.array([len(x) for x in sets]).tobytes(),
+                          np.concatenate(sets).tobytes(), b"".join(pdf["marks"]))],
+                        columns=[c.split()[0] for c in _PACKED.split(", ")])
+
+
+def _unpack(row, side: str):
+    sizes = np.frombuffer(row[f"sizes{side}"], np.int64)
+    sets = np.split(np.frombuffer(row[f"sets{side}"], np.uint64), np.cumsum(sizes)[:-1])
+    return (np.frombuffer(row[f"nodes{side}"], np.int64), np.frombuffer(row[f"components{side}"], np.int64).copy(),
+            sizes, sets, np.frombuffer(row[f"marks{side}"], np.uint8).reshape(len(sizes), BINS))
+
+
+def joining_links(a, b, same: bool, percent: int) -> list[tuple[int, int]]:
+    """Pairs of components (u, v) that links between blocks ``a`` and ``b`` join;
+    components joined in this tile count as one from then on."""
+    _, comp_a, size_a, sets_a, marks_a = a
+    _, comp_b, size_b, sets_b, marks_b = b
+    share, out = percent / 100, []
+    for i in range(len(size_a)):
+        todo = np.flatnonzero(comp_b != comp_a[i])
+        if same:
+            todo = todo[todo > i]
+        small, large = np.minimum(size_b[todo], size_a[i]), np.maximum(size_b[todo], size_a[i])
+        todo, large = (x[100 * small >= percent * large] for x in (todo, large))
+        if not len(todo):
+            continue
+        agree = np.count_nonzero(marks_b[todo] == marks_a[i], axis=1) / BINS
+        error = np.sqrt(share * (1 - share) / np.minimum(large, BINS))
+        near = agree >= share - SIGMAS * error
+        for j in todo[near][np.argsort(-agree[near], kind="stable")]:
+            u, v = int(comp_a[i]), int(comp_b[j])
+            if u == v:
+                continue
+            inter = len(np.intersect1d(sets_a[i], sets_b[j], assume_unique=True))
+            if 100 * inter >= percent * (size_a[i] + size_b[j] - inter):
+                out.append((u, v))
+                for comps in (comp_a,) if same else (comp_a, comp_b):
+                    comps[comps == max(u, v)] = min(u, v)
+    return out
+
+
+def _tile_links(percent: int):
+    def run(batches):
+        for pdf in batches:
+            for row in pdf.to_dict("records"):
+                a, same = _unpack(row, ""), row["block"] == row["block2"]
+                links = joining_links(a, a if same else _unpack(row, "2"), same, percent)
+                if links:
+                    yield pd.DataFrame(links, columns=["u", "v"])
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``; links
     are pairs with 100 * intersection >= percent * union."""
-    limit = max(1 - percent / 100, 1e-6)
     rows = materialise(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), _sketches(k)(text_of()).alias("s"))
         .select("doc_id", "s.*"), "sketches")
@@ -151,46 +218,38 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     if _repeated(rows):
         wide = wide.dropDuplicates(["node"])
     banded = wide.select(F.col("node").alias("u"), "n", F.explode("bands").alias("bucket"))
-    centres = banded.groupBy("bucket").agg(F.min("u").alias("c"), F.max("u").alias("z")).filter("c < z").drop("z")
+    centres = (banded.groupBy("bucket").agg(F.min(F.struct("u", "n")).alias("c"), F.max("u").alias("z"))
+               .filter("c.u < z").select("bucket", F.col("c.u").alias("c"), F.col("c.n").alias("nc")))
     buckets = materialise(banded.join(centres, "bucket"), "buckets")
 
-    stars = materialise(buckets.filter("u <> c").select("u", F.col("c").alias("v")).distinct(), "stars")
-    asked = stars.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    asked = buckets.select(F.col("u").alias("node")).distinct()
+    # One plan at every size: the texts are the large side, the nodes grow with them.
     sets = (docs.select(F.col("doc_id").cast("long").alias("node"), text_of().alias("text"))
-            .join(asked, "node", "left_semi").select("node", _sets(k)("text").alias("s")).select("node", "s.*"))
+            .join(asked.hint("merge"), "node", "left_semi").select("node", _sets(k)("text").alias("s"))
+            .select("node", "s.*"))
     if _repeated(rows):  # the node's own set, once
         sets = (sets.join(by_set, ["node", "digest"], "left_semi")
-                .groupBy("node").agg(F.min("shingles").alias("shingles")))
-    sets = materialise(sets.select("node", "shingles"), "shingles")
-    near = F.expr(f"100 * inter >= {percent} * whole")
-    starred = materialise(_overlaps(stars, sets), "starred")
-    first = connected_components(starred.filter(near).select("u", "v"))
+                .groupBy("node").agg(F.min("shingles").alias("shingles"), F.min("marks").alias("marks")))
+    sets = materialise(sets.select("node", "shingles", "marks"), "shingles")
+    stars = (buckets.filter("u <> c").filter(f"100 * least(n, nc) >= {percent} * greatest(n, nc)")
+             .select("u", F.col("c").alias("v")).distinct())
+    starred = _overlaps(stars, sets).filter(f"100 * inter >= {percent} * whole")
+    first = connected_components(starred.select("u", "v"))
 
     # What the stars leave open: members of one bucket in different components.
     comp = first.select(F.col("node").alias("u"), "component")
     at = (buckets.join(comp, "u", "left").withColumn("component", F.coalesce("component", "u"))
-          .select("bucket", "u", "n", "c", "component"))
-    split = (at.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .filter("lo < hi").select("bucket"))
-    away = starred.select("u", F.col("v").alias("c"), (1 - F.col("inter") / F.col("whole")).alias("d"))
-    open_ = materialise(
-        at.filter("u <> c").join(split, "bucket", "left_semi").join(away, ["u", "c"])
-        .select("bucket", "component", F.floor(F.col("d") / (limit * (1 + 1e-6))).cast("int").alias("ring"), "u", "n", "d"), "open")
-    rings = open_.select("bucket", "component", "ring").distinct()
-    other = rings.select("bucket", F.col("component").alias("component2"), F.col("ring").alias("ring2"),
-                         F.explode(F.expr("array(ring - 1, ring, ring + 1)")).alias("ring"))
-    meet = rings.join(other, ["bucket", "ring"]).filter("component < component2")
-    right = open_.select("bucket", F.col("component").alias("component2"), F.col("ring").alias("ring2"),
-                         F.col("u").alias("u2"), F.col("n").alias("n2"), F.col("d").alias("d2"))
-    left_over = (meet.join(open_, ["bucket", "component", "ring"])
-                 .join(right, ["bucket", "component2", "ring2"])
-                 .filter(F.abs(F.col("d") - F.col("d2")) <= limit + 1e-9)
-                 .filter(f"100 * least(n, n2) >= {percent} * greatest(n, n2)")
-                 .select(F.least("u", "u2").alias("u"), F.greatest("u", "u2").alias("v"), "component", "component2")
-                 .distinct())
-    left_over = materialise(left_over, "left-over")
-    late = (_overlaps(left_over.select("u", "v").distinct(), sets).filter(near)
-            .join(left_over, ["u", "v"]).select(F.col("component").alias("u"), F.col("component2").alias("v")))
+          .select("bucket", "u", "component"))
+    split = (at.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                      F.count(F.lit(1)).alias("members"))
+             .filter("lo < hi").select("bucket", F.ceil(F.col("members") / BLOCK).alias("blocks")))
+    open_ = (at.join(split, "bucket")
+             .withColumn("block", F.expr("cast(pmod(xxhash64(u), blocks) as int)")).drop("blocks")
+             .join(sets.withColumnRenamed("node", "u"), "u"))
+    packed = materialise(open_.groupBy("bucket", "block").applyInPandas(_pack, _PACKED), "open-blocks")
+    right = packed.select("bucket", *[F.col(c).alias(f"{c}2") for c in packed.columns if c != "bucket"])
+    late = (packed.join(right, "bucket").filter("block <= block2")
+            .mapInPandas(_tile_links(percent), "u long, v long").distinct())
     second = connected_components(late)
 
     whole = (first.withColumnRenamed("component", "mid")
