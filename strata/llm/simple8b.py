@@ -36,7 +36,7 @@ def encode_words(ids: np.ndarray) -> np.ndarray:
     if not n:
         return np.zeros(0, np.uint64)
     ids = ids.astype(np.uint64)
-    width = np.searchsorted(np.uint64(1) << np.arange(60, dtype=np.uint64), ids, side="right").astype(np.int8)
+    width = np.frexp(ids.astype(np.float64))[1].astype(np.int8)  # bit lengths; a rounded-up one is still enough
     at = np.arange(n, dtype=np.int32)
     selector = np.full(n, 15, np.int8)
     for s in range(len(COUNTS) - 2, -1, -1):  # larger counts overwrite smaller ones

@@ -12,10 +12,11 @@ whole. The memory is bounded.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from array import array
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 
@@ -44,30 +45,87 @@ def version_digest(name: str) -> str:
     return h.hexdigest()
 
 
+class _Memory:
+    """Values of chunks, in two generations: when the new one is full, the old
+    one is forgotten. Chunks in use move to the new one."""
+
+    def __init__(self, blank):
+        self.blank, self.new, self.old = blank, {"": blank}, {}
+
+    def values(self, words: list[str], find) -> list:
+        """The value of each word; ``find`` gives those of unknown words."""
+        out = list(map(self.new.get, words))
+        if None in out:
+            if len(self.new) > MEMORY:
+                self.new, self.old = {"": self.blank}, self.new
+            missing = {w for w, v in zip(words, out, strict=True) if v is None}
+            unknown = []
+            for w in missing:
+                v = self.old.get(w)
+                if v is None:
+                    unknown.append(w)
+                else:
+                    self.new[w] = v
+            self.new.update(zip(unknown, find(unknown), strict=True))
+            for i, v in enumerate(out):
+                if v is None:
+                    out[i] = self.new[words[i]]
+        return out
+
+
 class WordTokenizer:
     """A tokenizers .json file; special tokens are not added, their strings in
-    a text are read as the library does by default."""
+    a text are read as the library does by default.
+
+    A chunk of ASCII and Latin-1 letters is cut once more, by the file's own
+    pattern over the lower-cased chunk, into the parts that its merges cannot
+    cross; so words with other cases or punctuation share their parts. (For
+    these characters NFC changes nothing and lower case is one to one.) Other
+    chunks, and those with the start of a special string, go to the library as
+    they are."""
+
+    # The file's pattern, its classes cut down to the plain characters.
+    PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\x00-\x20\x7fa-z0-9ß-öø-ÿ]+")
+    PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
+    # Normaliser and pattern of a file to which this applies.
+    SHAPE = (["NFC", "Replace", "Lowercase"],
+             r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
     def __init__(self, name: str):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the threads
         self.library = Tokenizer.from_file(resolve(name))
-        self.known: dict[str, bytes] = {"": b""}
+        with open(resolve(name), encoding="utf-8") as f:
+            spec = json.load(f)
+        norm, pre = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+        steps = [x.get("type") for x in norm.get("normalizers", [])]
+        cuts = [x.get("pattern", {}).get("Regex") for x in pre.get("pretokenizers", [])][:1]
+        self.by_part = (steps, cuts) == (self.SHAPE[0], [self.SHAPE[1]])
+        # Only a tokenizer that drops white space is free of what stands around a chunk.
+        self.by_chunk = self.by_part
+        self.chunks, self.parts = _Memory(b""), _Memory(b"")
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for at in range(0, len(texts), 20_000):
+            made = self.library.encode_batch_fast(texts[at:at + 20_000], add_special_tokens=False)
+            out += [array("I", e.ids).tobytes() for e in made]
+        return out
+
+    def _find(self, chunks: list[str]) -> list[bytes]:
+        cut = [self.PARTS.findall(c.lower()) if self.PLAIN.fullmatch(c) and "<|" not in c else None for c in chunks]
+        self.parts.values([x for parts in cut if parts for x in parts], self._library)  # all unknown ones in one call
+        whole = iter(self._library([c for c, parts in zip(chunks, cut, strict=True) if parts is None]))
+        return [next(whole) if parts is None else b"".join(self.parts.values(parts, self._library)) for parts in cut]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text. Chunks are cut at blanks, tabs and line ends, which
-        this kind of tokenizer drops."""
-        cut = [re.split("[ \n\t\r]", t) for t in texts]
-        if len(self.known) > MEMORY:
-            self.known = {"": b""}
-        new = list(set(chain.from_iterable(cut)).difference(self.known))
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            made = self.library.encode_batch_fast(part, add_special_tokens=False)
-            self.known.update(zip(part, (array("I", e.ids).tobytes() for e in made), strict=True))
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)), np.uint32) for words in cut]
+        """Ids of each text. Chunks are cut at blanks, tabs and line ends."""
+        if not self.by_chunk:
+            return [np.frombuffer(x, np.uint32) for x in self._library(texts)]
+        cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        values = iter(self.chunks.values(list(chain.from_iterable(cut)), self._find))
+        return [np.frombuffer(b"".join(islice(values, len(words))), np.uint32) for words in cut]
 
     def count(self, texts: list[str]) -> list[int]:
         return [len(x) for x in self.encode(texts)]
@@ -90,7 +148,11 @@ class PieceTokenizer:
         self.by_chunk = (plain.name == "identity" and plain.add_dummy_prefix and not plain.remove_extra_whitespaces
                          and plain.escape_whitespaces and not plain.precompiled_charsmap
                          and not any(inside.search(p.piece) or p.type == 4 for p in spec.pieces))
-        self.known: dict[str, int] = {}
+        self.chunks = _Memory(0)
+
+    def _library(self, texts: list[str]) -> list[int]:
+        return [len(x) for at in range(0, len(texts), 20_000)
+                for x in self.library.encode(texts[at:at + 20_000], num_threads=1)]
 
     def count(self, texts: list[str]) -> list[int]:
         """A chunk is a word with the blanks before it; the library itself puts
@@ -104,14 +166,8 @@ class PieceTokenizer:
                 cut.append([first, *(x[1:] for x in rest)])
             else:
                 cut.append(t.split(" "))
-        if len(self.known) > MEMORY:
-            self.known = {}
-        new = list(set(chain.from_iterable(x for x in cut if x is not None)).difference(self.known))
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            self.known.update(zip(part, map(len, self.library.encode(part, num_threads=1)), strict=True))
-        get = self.known.__getitem__
-        return [len(self.library.encode(t, num_threads=1)) if words is None else sum(map(get, words))
+        values = iter(self.chunks.values([w for words in cut if words is not None for w in words], self._library))
+        return [len(self.library.encode(t, num_threads=1)) if words is None else sum(islice(values, len(words)))
                 for t, words in zip(texts, cut, strict=True)]
 
 
