@@ -189,7 +189,7 @@ class LineIndex:
         drops = (self.may_drop(docs).join(self.counts.select("digest", "keep_doc"), "digest")
                  .filter("doc_id <> keep_doc").groupBy(F.col("doc_id").alias("_doc"))
                  .agg(F.collect_set("digest").alias("_drops")))
-        both = docs.join(drops, F.col("doc_id").cast("long") == F.col("_doc"), "left")
+        both = docs.join(drops.hint("merge"), F.col("doc_id").cast("long") == F.col("_doc"), "left")
         made = _rewrite(self.min_chars)(text_of(), F.col("_drops"))
         names = ("text", "n_lines", "n_dropped", "kept_sha256")
         return (both.withColumn("_made", made)

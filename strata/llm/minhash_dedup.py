@@ -277,5 +277,5 @@ def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFram
     """The documents that stay, with the input's columns."""
     stay = (near_duplicates(docs, k, percent).filter("kept and doc_id is not null")
             .select(F.col("doc_id").alias("_stay")).distinct())
-    return docs.join(stay, F.col("doc_id").cast("long") == F.col("_stay"), "left").filter(
+    return docs.join(stay.hint("merge"), F.col("doc_id").cast("long") == F.col("_stay"), "left").filter(
         "_stay is not null or doc_id is null").drop("_stay")

@@ -165,7 +165,7 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
             .agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")))
     keyed = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_d"),
                         F.xxhash64("doc_id", text_of()).alias("_k"))
-    both = keyed.join(made, F.col("_d").eqNullSafe(F.col("_doc")) & (F.col("_k") == F.col("_key")))
+    both = keyed.join(made.hint("merge"), F.col("_d").eqNullSafe(F.col("_doc")) & (F.col("_k") == F.col("_key")))
     one = F.col("_copies")
     several = both.filter("_rows > 1").withColumn(
         "_at", F.row_number().over(Window.partitionBy("_d", "_k").orderBy(F.lit(0)))).withColumn(

@@ -59,7 +59,8 @@ def encode_misses(docs: DataFrame, tokenizer: str, cache_path: str) -> None:
         docs.select(key.alias("doc_id"), content_digest().alias("content")).groupBy("content")
         .agg(F.min("doc_id").alias("doc_id")).join(cached, "content", "left_anti"), "misses")
     texts = docs.select(key.alias("doc_id"), text_of().alias("text"))
-    counted = (texts.filter("doc_id is not null").join(stand_in.select("doc_id"), "doc_id", "left_semi")
+    # One plan at every size: the texts are the large side, the misses grow with them.
+    counted = (texts.filter("doc_id is not null").join(stand_in.select("doc_id").hint("merge"), "doc_id", "left_semi")
                .select(F.unhex(F.sha2("text", 256)).alias("content"), _counter(tokenizer)("text").alias("n_tokens")))
     # Contents found only in rows without a doc_id.
     bare = (texts.filter("doc_id is null").select("text", F.unhex(F.sha2("text", 256)).alias("content"))
