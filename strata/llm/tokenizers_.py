@@ -20,7 +20,7 @@ from itertools import chain, islice
 
 import numpy as np
 
-MEMORY = 600_000
+MEMORY = 400_000
 _FILES: dict[tuple, object] = {}
 
 
