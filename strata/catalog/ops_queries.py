@@ -474,19 +474,24 @@ SQL["stream_ingest"] = f"WITH {LANDED_SQL} SELECT * FROM landed"
 
 
 # --- B09: layered run -------------------------------------------------------------------------
+def _increments(landed):
+    """The bulk load, then every landed increment in order (one row per date)."""
+    return [str(r[0]) for r in landed.select("Processing_Date").distinct().orderBy("Processing_Date").collect()]
+
+
 def _medallion(spark, sf):
     from strata.catalog.history_queries import _cust_v
     from strata.plans.medallion import Layers, run_layers
+    from strata.sources.landing import publish
     base = _scratch(spark)
     landed = _landed(spark, sf).select(
         F.col("o_orderkey").alias("transaction_id"), F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("transaction_date"), F.col("o_totalprice").alias("total_amount_cad"),
         F.concat(F.lit(" "), F.col("o_orderpriority")).alias("channel"), "Processing_Date")
-    versions = _cust_v(spark, sf)
+    versions = publish(_cust_v(spark, sf), "customer_versions", base)
     rules = {"null_amount": "total_amount_cad IS NULL"}
     st = Layers()
-    # bulk, then the next two daily increments chosen from the watermark
-    for cut in ("2000-12-31", "2001-01-01", "2001-02-01"):
+    for cut in _increments(landed):
         st = run_layers(spark, st, landed.where(F.col("Processing_Date") <= F.lit(cut).cast("date")),
                         ["transaction_id"], versions, "customer_id", "transaction_date", rules, base, "txn")
     return st.gold
@@ -500,8 +505,7 @@ SELECT o_orderkey AS transaction_id, o_custkey AS customer_id, CAST(o_orderdate
             ELSE CAST(date_trunc('month', o_orderdate) AS DATE) END AS Processing_Date,
        v.effective_from AS customer_version_from
 FROM orders LEFT JOIN cust_versions v ON o_custkey = v.customer_id AND CAST(o_orderdate AS DATE) >= v.effective_from
-  AND CAST(o_orderdate AS DATE) < v.effective_to
-WHERE o_orderdate < TIMESTAMP '2001-03-01'""", FIX_CTES)
+  AND CAST(o_orderdate AS DATE) < v.effective_to""", FIX_CTES)
 
 
 def _medallion_partitioned(spark, sf):
@@ -509,20 +513,21 @@ def _medallion_partitioned(spark, sf):
     increment rewriting only the months it touches."""
     from strata.catalog.history_queries import _cust_v
     from strata.plans.medallion import run_layers_partitioned
+    from strata.sources.landing import publish, read_partitioned
     base = _scratch(spark)
     landed = _landed(spark, sf).select(
         F.col("o_orderkey").alias("transaction_id"), F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("transaction_date"), F.col("o_totalprice").alias("total_amount_cad"),
         F.concat(F.lit(" "), F.col("o_orderpriority")).alias("channel"), "Processing_Date",
         F.trunc(F.col("o_orderdate").cast("date"), "month").cast("date").alias("order_month"))
-    versions = _cust_v(spark, sf)
+    versions = publish(_cust_v(spark, sf), "customer_versions", base)
     rules = {"null_amount": "total_amount_cad IS NULL"}
     wm = "1900-01-01"
-    for cut in ("2000-12-31", "2001-01-01", "2001-02-01"):
+    for cut in _increments(landed):
         wm = run_layers_partitioned(spark, base, wm, landed.where(F.col("Processing_Date") <= F.lit(cut).cast("date")),
                                     ["transaction_id"], "order_month", versions, "customer_id", "transaction_date",
-                                    rules, "txn")
-    return spark.read.parquet(os.path.join(base, "gold_txn"))
+                                    rules, "txn", keys_stay=True)  # an order keeps its date
+    return read_partitioned(spark, os.path.join(base, "gold_txn"))
 
 
 Q["medallion_partitioned"] = _medallion_partitioned
@@ -534,5 +539,4 @@ SELECT o_orderkey AS transaction_id, o_custkey AS customer_id, CAST(o_orderdate
        CAST(date_trunc('month', o_orderdate) AS DATE) AS order_month,
        v.effective_from AS customer_version_from
 FROM orders LEFT JOIN cust_versions v ON o_custkey = v.customer_id AND CAST(o_orderdate AS DATE) >= v.effective_from
-  AND CAST(o_orderdate AS DATE) < v.effective_to
-WHERE o_orderdate < TIMESTAMP '2001-03-01'""", FIX_CTES)
+  AND CAST(o_orderdate AS DATE) < v.effective_to""", FIX_CTES)

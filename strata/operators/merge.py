@@ -31,6 +31,8 @@ def dedup_latest(df: DataFrame, keys, order_by: list[str] | str) -> DataFrame:
     keys = _keys(keys)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
     tie = [c for c in rest if c not in order]
     pick = F.max(F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)],
                           *[F.col(c) for c in tie])).alias("__pick")
@@ -64,19 +66,19 @@ def _evolve(df: DataFrame, columns: list[str], types: dict) -> DataFrame:
 
 
 def merge_upsert(target: DataFrame | None, source: DataFrame, keys, update_cols: list[str] | None = None,
-                 order_by: list[str] | str | None = None) -> DataFrame:
+                 order_by: list[str] | str | None = None, assume_unique: bool = False) -> DataFrame:
     """Upsert ``source`` into ``target`` on business keys.
 
     Matched rows take the source value of every column (or only of
     ``update_cols``), even a NULL; unmatched source rows are inserted; other
     target rows are kept. The source is reduced to one row per key first
-    (``order_by`` decides which), so a repeated key cannot make the match
-    ambiguous. Columns new in the source are added (schema evolution).
+    (``order_by`` decides which, without it the greatest row), so a repeated
+    key cannot make the match ambiguous; ``assume_unique`` skips that. Columns new in the source are added (schema evolution).
     ``target=None`` is the first load.
     """
     keys = _keys(keys)
-    if order_by is not None:
-        source = dedup_latest(source, keys, order_by)
+    if not assume_unique:
+        source = dedup_latest(source, keys, order_by or [])
     if target is None:
         return source
     types = {f.name: f.dataType for f in target.schema.fields}
@@ -129,6 +131,7 @@ def change_feed(old: DataFrame | None, new: DataFrame, keys, version: int | None
     if old is None:
         j = n.select(*keys, F.lit(None).cast(n.schema["__n"].dataType).alias("__o"), "__n")
     else:
+        old = _evolve(old, new.columns, {f.name: f.dataType for f in new.schema.fields})
         o = old.select(*[F.col(k).alias(f"__ok_{k}") for k in keys], F.struct(*rest).alias("__o"),
                        _salt(keys, old.columns).alias("__osalt"))
         cond = reduce(lambda a, b: a & b, [F.col(f"__ok_{k}") == F.col(k) for k in keys]) \

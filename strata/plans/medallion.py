@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from strata.operators import history as H
 from strata.operators import merge as MG
 from strata.operators import quality as DQ
-from strata.sources.landing import new_since, publish
+from strata.session import checkpoint_dir
+from strata.sources.landing import new_since, publish, replace_batch, upsert_partitions
 
 
 @dataclass
@@ -36,11 +37,11 @@ def run_layers(spark: SparkSession, state: Layers, landed: DataFrame, keys: list
     if wm is None:  # nothing new: an empty increment is a no-op
         return state
     # bronze: latest row per key, upsert
-    bronze = publish(MG.merge_upsert(state.bronze, batch, keys, order_by="Processing_Date"),
-                     f"bronze_{name}", base, spark)
-    # silver: changed rows only -> cleanse -> quality split -> upsert
-    changes = MG.read_changes(MG.change_feed(state.bronze, bronze, keys)).drop("_change_type")
-    clean, _ = DQ.dq_split(DQ.cleanse(changes), rules)
+    latest = publish(MG.dedup_latest(batch, keys, "Processing_Date"), f"batch_{name}", base, spark)
+    bronze = publish(MG.merge_upsert(state.bronze, latest, keys, assume_unique=True), f"bronze_{name}", base, spark)
+    # silver: the batch's rows -> cleanse -> quality split -> upsert, bad rows kept with their reasons
+    clean, bad = DQ.dq_split(DQ.cleanse(latest), rules)
+    replace_batch(DQ.quarantine_batch(bad, wm), f"{base or checkpoint_dir(spark)}/quarantine_{name}", "_batch", wm)
     silver = publish(MG.merge_upsert(state.silver, clean, keys), f"silver_{name}", base, spark)
     # gold: resolve the dimension version in force on the fact date, upsert changed rows
     silver_changes = MG.read_changes(MG.change_feed(state.silver, silver, keys)).drop("_change_type")
@@ -52,21 +53,23 @@ def run_layers(spark: SparkSession, state: Layers, landed: DataFrame, keys: list
 
 def run_layers_partitioned(spark: SparkSession, base: str, watermark: str, landed: DataFrame, keys: list[str],
                            part_col: str, versions: DataFrame, fact_key: str, date_col: str,
-                           rules: dict[str, str], name: str = "fact") -> str:
+                           rules: dict[str, str], name: str = "fact", keys_stay: bool = False) -> str:
     """B09 for large tables: the same layers, each a Parquet table partitioned
-    by ``part_col`` (stable per key). Every layer reads, merges and rewrites
+    by ``part_col`` (``keys_stay``: never changes for a key). Every layer reads, merges and rewrites
     only the partitions the increment touches, and hands only its change rows
     to the next layer. Returns the new watermark."""
-    from strata.sources.landing import upsert_partitions
     batch = new_since(landed, watermark)
     wm = batch.agg(F.max("Processing_Date").cast("string").alias("m")).head()["m"]
     if wm is None:
         return watermark
     path = lambda layer: f"{base}/{layer}_{name}"
+    # Each layer is fed the batch itself: after a failure between layers, the
+    # next run starts from the old watermark and carries the batch through again.
     bronze_changes = upsert_partitions(spark, path("bronze"), batch, keys, part_col, order_by="Processing_Date",
-                                       with_changes=True)
-    clean, _ = DQ.dq_split(DQ.cleanse(bronze_changes), rules)
-    silver_changes = upsert_partitions(spark, path("silver"), clean, keys, part_col, with_changes=True)
+                                       with_changes=True, keys_stay=keys_stay)
+    clean, bad = DQ.dq_split(DQ.cleanse(bronze_changes), rules)
+    replace_batch(DQ.quarantine_batch(bad, wm), path("quarantine"), "_batch", wm)
+    silver_changes = upsert_partitions(spark, path("silver"), clean, keys, part_col, with_changes=True, keys_stay=keys_stay)
     g = H.effective_join(silver_changes, versions, fact_key, date_col, "customer", carry=["customer_version_from"])
-    upsert_partitions(spark, path("gold"), g, keys, part_col)
+    upsert_partitions(spark, path("gold"), g, keys, part_col, keys_stay=keys_stay)
     return wm

@@ -10,6 +10,7 @@ shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 
@@ -18,13 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.operators.merge import change_feed, dedup_latest, merge_upsert, read_changes
+from strata.operators.merge import dedup_latest, merge_upsert
 from strata.session import checkpoint_dir
 
 # The partition column of landing tables and the schema of the
 # attribute-change feed.
 PARTITION_COL = "Processing_Date"
-MAX_LITERAL_PARTITIONS = 10000
 DIM_CHANGES_SCHEMA = StructType([StructField(n, StringType()) for n in
                                  ("table_name", "business_key", "attribute", "old_value", "new_value")])
 
@@ -112,47 +112,98 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def replace_batch(df: DataFrame, path: str, column: str, value: str) -> None:
+    """Replace one partition of a table, also by no rows (D08: a re-run of a
+    batch without bad rows clears what an earlier run wrote)."""
+    df.drop(column).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={value}")
+
+
+def path_missing(exc: AnalysisException) -> bool:
+    return (exc.getCondition() or "") == "PATH_NOT_FOUND"
+
+
+def read_partitioned(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table written by ``upsert_partitions``, with the column types it was
+    written with (a string partition ``007`` stays a string) and all columns it
+    ever had; None when it does not exist yet."""
+    try:
+        kept = spark.read.parquet(os.path.join(path, "_schema")).head()
+    except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
+        kept = None
+    try:
+        reader = spark.read.schema(StructType.fromJson(json.loads(kept[0]))) if kept else \
+            spark.read.option("mergeSchema", "true")
+        return reader.parquet(path)
+    except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
+        return None
+
+
+def _swap_in(df: DataFrame, path: str, part_col: str) -> None:
+    """Replace the partitions that ``df`` has rows in; the schema goes first, so
+    that it always covers the files."""
+    spark = df.sparkSession
+    spark.createDataFrame([(df.schema.json(),)], "schema string").write.mode("overwrite").parquet(
+        os.path.join(path, "_schema"))
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path))
+
+
 def upsert_partitions(spark: SparkSession, target_path: str, source: DataFrame, keys, part_col: str,
                       order_by: list[str] | str | None = None, staging: str | None = None,
-                      with_changes: bool = False) -> DataFrame | None:
+                      with_changes: bool = False, keys_stay: bool = False) -> DataFrame | None:
     """C01 at scale: upsert into a Parquet table partitioned by ``part_col``,
     reading and rewriting only the partitions the batch touches.
 
-    The target is semi-joined with the batch's distinct partition values, so
-    dynamic partition pruning lists and reads only those folders; the merged
-    partitions are staged under the shared checkpoint folder (a path may not
-    be overwritten while it is read) and then swapped in with dynamic
-    partition overwrite. Untouched partitions are never read or rewritten.
-    Requires that a key never changes partition (e.g. a transaction and its
-    date). With ``with_changes`` the change rows of the touched partitions
-    (inserts and post-images) are materialized before the swap and returned,
-    to feed the next layer.
+    The batch is reduced to one row per key and staged once. Touched are its own
+    partitions (NULL included) and those that hold its keys now, found by a scan
+    of keys and partition alone; with ``keys_stay`` the caller vouches that a key
+    never changes partition and the scan is saved. The target is semi-joined with
+    the touched values, so dynamic partition pruning lists and reads only those
+    folders. The merged partitions are staged (a path may not be overwritten while
+    it is read) and swapped in; a partition that lost its last row is emptied.
+    Columns new in the batch are added to the table. An empty batch changes nothing.
+
+    With ``with_changes`` the staged batch is returned, as the table now holds its
+    keys: the next layer is fed from it, not from a difference that a retry after
+    a failure would find empty. Repeating a batch gives the same table.
     """
-    if order_by is not None:
-        source = dedup_latest(source, keys, order_by)
+    keys = [keys] if isinstance(keys, str) else list(keys)
     base = staging or os.path.join(checkpoint_dir(spark), "staging", f"u-{uuid.uuid4().hex}")
-    try:
-        target = spark.read.parquet(target_path)
-    except AnalysisException:  # first load: the table does not exist yet
-        source.write.partitionBy(part_col).parquet(target_path)
-        return spark.read.parquet(target_path) if with_changes else None
-    # The touched partition values are few (days in a batch): as a literal
-    # IN-list they prune the target's folders at planning time. Past a bound
-    # the semi-join is kept and dynamic partition pruning does the work.
-    touched = source.select(part_col).distinct()
-    vals = [r[0] for r in touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()]
-    if len(vals) <= MAX_LITERAL_PARTITIONS:
-        affected = target.where(F.col(part_col).isin(vals))
-    else:
-        affected = target.join(touched, part_col, "left_semi")
-    merged = merge_upsert(affected, source.select(*target.columns), keys)
-    merged.write.partitionBy(part_col).parquet(os.path.join(base, "merged"))
-    staged = spark.read.parquet(os.path.join(base, "merged")).select(*target.columns)
-    changes = None
-    if with_changes:  # diff before the old partitions are replaced
-        cf = read_changes(change_feed(affected, staged, keys)).drop("_change_type")
-        cf.write.parquet(os.path.join(base, "changes"))
-        changes = spark.read.parquet(os.path.join(base, "changes"))
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part_col).parquet(target_path))
-    return changes
+    source = dedup_latest(source, keys, order_by or [])
+    source.write.mode("overwrite").parquet(os.path.join(base, "source"))
+    source = spark.read.schema(source.schema).parquet(os.path.join(base, "source"))
+    if source.isEmpty():
+        return source if with_changes else None
+    target = read_partitioned(spark, target_path)
+    if target is None:  # first load: the table does not exist yet
+        _swap_in(source, target_path, part_col)
+        return source if with_changes else None
+    fields = [f for f in target.schema.fields if f.name != part_col]
+    known = {f.name for f in fields} | {part_col}
+    fields += [f for f in source.schema.fields if f.name not in known]
+    schema = StructType(fields + [source.schema[part_col]])
+    target = spark.read.schema(schema).parquet(target_path)
+
+    touched = source.select(part_col)
+    if not keys_stay:
+        touched = touched.unionByName(target.select(*keys, part_col).join(
+            source.select(*keys), keys, "left_semi").select(part_col))
+    touched.distinct().write.mode("overwrite").parquet(os.path.join(base, "touched"))
+    touched = spark.read.schema(StructType([source.schema[part_col]])).parquet(os.path.join(base, "touched"))
+    affected = target.join(touched.where(F.col(part_col).isNotNull()), part_col, "left_semi")
+    if not touched.where(F.col(part_col).isNull()).isEmpty():
+        affected = affected.unionByName(target.where(F.col(part_col).isNull()))
+    merged = merge_upsert(affected, source, keys, assume_unique=True).select(*schema.names)
+    merged.write.mode("overwrite").partitionBy(part_col).parquet(os.path.join(base, "merged"))
+    staged = spark.read.schema(schema).parquet(os.path.join(base, "merged"))
+    _swap_in(staged, target_path, part_col)
+    left = staged.select(F.col(part_col).alias("_p")).distinct()
+    emptied = touched.join(left, F.col(part_col).eqNullSafe(F.col("_p")), "left_anti").where(F.col(part_col).isNotNull())
+    name_of = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    nothing = staged.drop(part_col).limit(0)
+    for row in emptied.select(F.col(part_col).cast("string")).toLocalIterator():
+        nothing.write.mode("overwrite").parquet(os.path.join(target_path, name_of(part_col, row[0])))
+    return source if with_changes else None

@@ -25,14 +25,16 @@ def read_source(spark: SparkSession, path: str, schema: StructType | str | None
     """
     try:
         return spark.read.parquet(path)
-    except Exception as exc:  # missing or not Parquet: try the CSV twin
+    except AnalysisException as exc:  # only a missing path has a CSV twin; other failures are told
+        if (exc.getCondition() or "") != "PATH_NOT_FOUND":
+            raise
         csv_path = path if path.endswith(".csv") else path + ".csv"
         reader = spark.read.option("header", True)
         reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
         try:
             return reader.csv(csv_path)
-        except Exception:
-            raise exc
+        except AnalysisException:
+            raise exc from None
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
@@ -40,5 +42,7 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     on any file system Spark reads, not only local paths)."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as exc:
+        if (exc.getCondition() or "") != "PATH_NOT_FOUND":
+            raise
         return None

@@ -14,12 +14,13 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.operators.merge import merge_upsert
-from strata.sources.landing import upsert_partitions
+from strata.sources.landing import path_missing, upsert_partitions
 
 
 class VersionedTable:
@@ -32,7 +33,9 @@ class VersionedTable:
     def _latest_epoch(self):
         try:
             row = self.spark.read.parquet(self.commits).agg(F.max("epoch").alias("e")).head()
-        except Exception:  # no commit yet
+        except AnalysisException as exc:  # no commit yet; any other failure must not look like an empty table
+            if not path_missing(exc):
+                raise
             return None
         return None if row is None else row["e"]
 

@@ -8,11 +8,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from strata import catalog
 from tests.conftest import SF01
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 
 
 def _norm(v):
