@@ -142,12 +142,13 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def _swap_in(df: DataFrame, path: str, part_col: str) -> None:
-    """Replace the partitions that ``df`` has rows in; the schema goes first, so
-    that it always covers the files."""
+def _swap_in(df: DataFrame, path: str, part_col: str, grown: bool = True) -> None:
+    """Replace the partitions that ``df`` has rows in; a ``grown`` schema goes
+    first, so that it always covers the files."""
     spark = df.sparkSession
-    spark.createDataFrame([(df.schema.json(),)], "schema string").write.mode("overwrite").parquet(
-        os.path.join(path, "_schema"))
+    if grown:
+        spark.createDataFrame([(df.schema.json(),)], "schema string").coalesce(1).write.mode("overwrite").parquet(
+            os.path.join(path, "_schema"))
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path))
 
 
@@ -175,7 +176,8 @@ def upsert_partitions(spark: SparkSession, target_path: str, source: DataFrame,
     source = dedup_latest(source, keys, order_by or [])
     source.write.mode("overwrite").parquet(os.path.join(base, "source"))
     source = spark.read.schema(source.schema).parquet(os.path.join(base, "source"))
-    if source.isEmpty():
+    n, n_null = source.agg(F.count(F.lit(1)), F.count_if(F.col(part_col).isNull())).first()
+    if n == 0:
         return source if with_changes else None
     target = read_partitioned(spark, target_path)
     if target is None:  # first load: the table does not exist yet
@@ -187,19 +189,21 @@ def upsert_partitions(spark: SparkSession, target_path: str, source: DataFrame,
     schema = StructType(fields + [source.schema[part_col]])
     target = spark.read.schema(schema).parquet(target_path)
 
-    touched = source.select(part_col)
+    touched = source.select(part_col).distinct()
     if not keys_stay:
-        touched = touched.unionByName(target.select(*keys, part_col).join(
-            source.select(*keys), keys, "left_semi").select(part_col))
-    touched.distinct().write.mode("overwrite").parquet(os.path.join(base, "touched"))
-    touched = spark.read.schema(StructType([source.schema[part_col]])).parquet(os.path.join(base, "touched"))
+        held = target.select(*keys, part_col).join(source.select(*keys), keys, "left_semi").select(part_col)
+        touched.unionByName(held).distinct().write.mode("overwrite").parquet(os.path.join(base, "touched"))
+        touched = spark.read.schema(touched.schema).parquet(os.path.join(base, "touched"))
+        n_null = touched.where(F.col(part_col).isNull()).count()
     affected = target.join(touched.where(F.col(part_col).isNotNull()), part_col, "left_semi")
-    if not touched.where(F.col(part_col).isNull()).isEmpty():
+    if n_null:
         affected = affected.unionByName(target.where(F.col(part_col).isNull()))
     merged = merge_upsert(affected, source, keys, assume_unique=True).select(*schema.names)
     merged.write.mode("overwrite").partitionBy(part_col).parquet(os.path.join(base, "merged"))
     staged = spark.read.schema(schema).parquet(os.path.join(base, "merged"))
-    _swap_in(staged, target_path, part_col)
+    _swap_in(staged, target_path, part_col, grown=len(schema) > len(known))
+    if keys_stay:  # no partition can have lost its rows
+        return source if with_changes else None
     left = staged.select(F.col(part_col).alias("_p")).distinct()
     emptied = touched.join(left, F.col(part_col).eqNullSafe(F.col("_p")), "left_anti").where(F.col(part_col).isNotNull())
     name_of = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
