@@ -11,10 +11,12 @@ Pairs are bounded by stars: each bucket member is compared with the bucket's
 smallest document only, on the full sets. Links between two members that are
 not the centre could be lost that way, so buckets whose members are still in
 different components are gone through again: their sets are packed into blocks
-of about ``BLOCK`` members, blocks of a bucket meet as tiles, and a task compares
-what lies in different components and hands on a link only where it joins two of
-them. No link between bucket members is lost, no join emits the pairs of a group,
-and a task holds two blocks. In a tile, pairs whose sizes rule out the limit are
+of about ``BLOCK`` members and ``BLOCK_SHINGLES`` shingles at most (a longer set
+has its own). Members of a bucket's largest component need no comparing with each
+other, so only blocks of the other members meet all blocks of the bucket as
+tiles; a task compares what lies in different components and hands on a link only
+where it joins two of them. No join emits the pairs of a group, and a task holds
+two blocks. In a tile, pairs whose sizes rule out the limit are
 left out, and so are those whose signatures agree in so few places that the limit
 is ``SIGMAS`` standard errors away; the rest are compared on the full sets.
 
@@ -38,7 +40,7 @@ from strata.llm.components import connected_components
 
 BANDS, ROWS = 36, 7
 BINS = BANDS * ROWS
-BLOCK, SIGMAS = 512, 6
+BLOCK, BLOCK_SHINGLES, SIGMAS = 512, 500_000, 6
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _DRAWS = np.random.default_rng(7).integers(0, BINS, (4096, BINS), dtype=np.int16)
 _SEEDS = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -140,7 +142,7 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .select("u", "v", "inter", (F.size("su") + F.size("sv") - F.col("inter")).alias("whole")))
 
 
-_PACKED = "bucket long, block int, nodes binary, components binary, sizes binary, sets binary, marks binary"
+_PACKED = "bucket long, apart boolean, block int, nodes binary, components binary, sizes binary, sets binary, marks binary"
 
 
 def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -148,7 +150,7 @@ def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
     values (chance agreement only adds pairs to compare)."""
     pdf = pdf.sort_values("u")
     sets = [np.asarray(x, np.int64).view(np.uint64) for x in pdf["shingles"]]
-    return pd.DataFrame([(pdf["bucket"].iloc[0], pdf["block"].iloc[0], pdf["u"].to_numpy(np.int64).tobytes(),
+    return pd.DataFrame([(*pdf[["bucket", "apart", "block"]].iloc[0], pdf["u"].to_numpy(np.int64).tobytes(),
                           pdf["component"].to_numpy(np.int64).tobytes(), np.array([len(x) for x in sets]).tobytes(),
                           np.concatenate(sets).tobytes(), b"".join(pdf["marks"]))],
                         columns=[c.split()[0] for c in _PACKED.split(", ")])
@@ -194,7 +196,7 @@ def _tile_links(percent: int):
     def run(batches):
         for pdf in batches:
             for row in pdf.to_dict("records"):
-                a, same = _unpack(row, ""), row["block"] == row["block2"]
+                a, same = _unpack(row, ""), (row["apart"], row["block"]) == (row["apart2"], row["block2"])
                 links = joining_links(a, a if same else _unpack(row, "2"), same, percent)
                 if links:
                     yield pd.DataFrame(links, columns=["u", "v"])
@@ -239,16 +241,21 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     # What the stars leave open: members of one bucket in different components.
     comp = first.select(F.col("node").alias("u"), "component")
     at = (buckets.join(comp, "u", "left").withColumn("component", F.coalesce("component", "u"))
-          .select("bucket", "u", "component"))
-    split = (at.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                      F.count(F.lit(1)).alias("members"))
-             .filter("lo < hi").select("bucket", F.ceil(F.col("members") / BLOCK).alias("blocks")))
-    open_ = (at.join(split, "bucket")
-             .withColumn("block", F.expr("cast(pmod(xxhash64(u), blocks) as int)")).drop("blocks")
-             .join(sets.withColumnRenamed("node", "u"), "u"))
-    packed = materialise(open_.groupBy("bucket", "block").applyInPandas(_pack, _PACKED), "open-blocks")
+          .select("bucket", "u", "n", "component"))
+    # Blocks that a number of members needs; summed by component, then by bucket.
+    fill = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)
+    split = (at.groupBy("bucket", "component").agg(fill.alias("fill")).groupBy("bucket")
+             .agg(F.max(F.struct("fill", "component")).alias("main"), F.sum("fill").alias("fill"),
+                  F.count(F.lit(1)).alias("components")).filter("components > 1")
+             .select("bucket", F.col("main.component").alias("main"), F.ceil("main.fill").alias("blocks"),
+                     F.ceil(F.col("fill") - F.col("main.fill")).alias("blocks_apart")))
+    open_ = (at.join(split, "bucket").withColumn("apart", F.col("component") != F.col("main"))
+             .withColumn("block", F.expr(
+                 "cast(pmod(xxhash64(u), greatest(1, if(apart, blocks_apart, blocks))) as int)"))
+             .select("bucket", "u", "component", "apart", "block").join(sets.withColumnRenamed("node", "u"), "u"))
+    packed = materialise(open_.groupBy("bucket", "apart", "block").applyInPandas(_pack, _PACKED), "open-blocks")
     right = packed.select("bucket", *[F.col(c).alias(f"{c}2") for c in packed.columns if c != "bucket"])
-    late = (packed.join(right, "bucket").filter("block <= block2")
+    late = (packed.filter("apart").join(right, "bucket").filter("not apart2 or block <= block2")
             .mapInPandas(_tile_links(percent), "u long, v long").distinct())
     second = connected_components(late)
 

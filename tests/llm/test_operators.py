@@ -358,7 +358,9 @@ def test_near_duplicates(docs, empty, k):
     assert minhash_dedup.near_duplicates(empty).count() == 0
 
 
-def test_near_duplicates_large_group_and_repeats(spark):
+@pytest.mark.parametrize("block", [512, 5])
+def test_near_duplicates_large_group_and_repeats(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash_dedup, "BLOCK", block)
     r = random.Random(8)
     base = ["w%d" % i for i in range(60)]
     rows = []
