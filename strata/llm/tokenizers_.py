@@ -115,9 +115,9 @@ class WordTokenizer:
 
     def _find(self, chunks: list[str]) -> list[bytes]:
         cut = [self.PARTS.findall(c.lower()) if self.PLAIN.fullmatch(c) and "<|" not in c else None for c in chunks]
-        self.parts.values([x for parts in cut if parts for x in parts], self._library)  # all unknown ones in one call
+        known = iter(self.parts.values([x for parts in cut if parts for x in parts], self._library))
         whole = iter(self._library([c for c, parts in zip(chunks, cut, strict=True) if parts is None]))
-        return [next(whole) if parts is None else b"".join(self.parts.values(parts, self._library)) for parts in cut]
+        return [next(whole) if parts is None else b"".join(islice(known, len(parts))) for parts in cut]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text. Chunks are cut at blanks, tabs and line ends."""
