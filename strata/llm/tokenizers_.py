@@ -20,7 +20,7 @@ from itertools import chain, islice
 
 import numpy as np
 
-MEMORY = 400_000
+MEMORY = 600_000
 _FILES: dict[tuple, object] = {}
 
 
