@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.functions.columns import column_list
+
 # Hash separator, the stand-in for NULL attributes, and the
 # open end of the current version.
 HASH_SEP = "||"
@@ -17,10 +19,6 @@ NULL_TOKEN = "∅"
 OPEN_END = "9999-12-31"
 
 
-def _keys(keys) -> list[str]:
-    return [keys] if isinstance(keys, str) else list(keys)
-
-
 def scd_hash(attrs: list[str]) -> Column:
     """Sha-256 over the tracked attributes, NULL spelled as a token."""
     parts = [F.coalesce(F.col(a).cast("string"), F.lit(NULL_TOKEN)) for a in attrs]
@@ -29,8 +27,9 @@ def scd_hash(attrs: list[str]) -> Column:
 
 def tracked(df: DataFrame, keys, attrs: list[str] | None) -> list[str]:
     """Tracked attributes default to every non-key column."""
-    keys = _keys(keys)
-    return list(attrs) if attrs else [c for c in df.columns if c not in keys]
+    if attrs:
+        return list(attrs)
+    return df.drop(*column_list(keys)).columns
 
 
 def surrogate_key(*cols: str) -> Column:
@@ -52,7 +51,7 @@ def scd2_initial(image: DataFrame, keys, attrs: list[str] | None, date: str) ->
 
 def scd2_changed(image: DataFrame, current: DataFrame, keys, attrs: list[str] | None) -> DataFrame:
     """Image rows whose key has a current version with another hash."""
-    keys = _keys(keys)
+    keys = column_list(keys)
     attrs = tracked(image, keys, attrs)
     src = image.withColumn("scd_hash", scd_hash(attrs))
     cur = current.where("is_current").select(*keys, F.col("scd_hash").alias("__h"))
@@ -68,7 +67,7 @@ def apply_scd2(table: DataFrame | None, image: DataFrame, keys, attrs: list[str]
     absent from the image are left as they are. One plan; the caller
     publishes it as the next table version.
     """
-    keys = _keys(keys)
+    keys = column_list(keys)
     if table is None:
         return scd2_initial(image, keys, attrs, date)
     attrs = tracked(image, keys, attrs)
@@ -96,7 +95,7 @@ def scd2_from_history(history: DataFrame, keys, attrs: list[str], date_col: str)
     image (``lag``) and ends where the next version starts (``lead``). The
     window is per key, and a key holds at most one row per image date.
     """
-    keys = _keys(keys)
+    keys = column_list(keys)
     h = history.withColumn("scd_hash", scd_hash(attrs))
     w = Window.partitionBy(*keys).orderBy(date_col)
     starts = (h.withColumn("__prev", F.lag("scd_hash").over(w))
@@ -155,7 +154,7 @@ def effective_join(fact: DataFrame, versions: DataFrame, fact_key: str, date_col
 def intervals_ok(versions: DataFrame, keys) -> DataFrame:
     """Property check: per key, versions neither overlap nor leave gaps, and
     exactly one is current. Returns offending keys (empty when sound)."""
-    keys = _keys(keys)
+    keys = column_list(keys)
     w = Window.partitionBy(*keys).orderBy("effective_from")
     chk = versions.withColumn("__next", F.lead("effective_from").over(w))
     bad_link = chk.where(F.col("__next").isNotNull() & (F.col("__next") != F.col("effective_to")))

@@ -12,11 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CHANGE_TYPES = ("insert", "update_preimage", "update_postimage", "delete")
-
+from strata.functions.columns import column_list
 
-def _keys(keys) -> list[str]:
-    return [keys] if isinstance(keys, str) else list(keys)
+CHANGE_TYPES = ("insert", "update_preimage", "update_postimage", "delete")
 
 
 def dedup_latest(df: DataFrame, keys, order_by: list[str] | str) -> DataFrame:
@@ -28,7 +26,7 @@ def dedup_latest(df: DataFrame, keys, order_by: list[str] | str) -> DataFrame:
     reduced inside each input task before it is shuffled, where a window
     would sort that key's rows in one task.
     """
-    keys = _keys(keys)
+    keys = column_list(keys)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
@@ -76,7 +74,7 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys, update_cols:
     key cannot make the match ambiguous; ``assume_unique`` skips that. Columns new in the source are added (schema evolution).
     ``target=None`` is the first load.
     """
-    keys = _keys(keys)
+    keys = column_list(keys)
     if not assume_unique:
         source = dedup_latest(source, keys, order_by or [])
     if target is None:
@@ -106,7 +104,7 @@ def merge_upsert(target: DataFrame | None, source: DataFrame, keys, update_cols:
 
 def merge_metrics(target: DataFrame | None, source: DataFrame, keys) -> DataFrame:
     """Rows the upsert inserts and updates, from one join pass."""
-    keys = _keys(keys)
+    keys = column_list(keys)
     sk = source.select(*keys).distinct()
     if target is None:
         return sk.agg(F.count(F.lit(1)).alias("inserted")).withColumn("updated", F.lit(0).cast("bigint"))
@@ -123,7 +121,7 @@ def change_feed(old: DataFrame | None, new: DataFrame, keys, version: int | None
     equal images) drop out, the rest emit ``insert`` / ``delete`` or an
     ``update_preimage`` + ``update_postimage`` pair.
     """
-    keys = _keys(keys)
+    keys = column_list(keys)
     rest = [c for c in new.columns if c not in keys]
     # NULL keys cannot be paired (they become inserts / deletes); their salt
     # spreads them over the join's partitions.

@@ -32,7 +32,7 @@ def restrict(star: Star, dim: str, predicate: Column) -> Star:
     for fact, keys in star.fact_keys.items():
         key = keys.get(dim)
         if key is not None and fact in t:
-            t[fact] = t[fact].join(allowed.select(key).distinct(), key, "left_semi")
+            t[fact] = t[fact].join(allowed.select(key), key, "left_semi")
     return Star(t, star.fact_dates, star.fact_keys, star.attrs, star.hops, star.unique)
 
 

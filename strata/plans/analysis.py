@@ -84,13 +84,18 @@ def same_store(star: Star, where: Column | None = None, store_key: str = "store_
 def share_of_total(star: Star, by: list[str], release: list[str], metric_base: str = "s_net",
                    where: Column | None = None, name: str = "share") -> DataFrame:
     """Metric over the metric with the ``release``
-    columns' filters removed: a window total partitioned by the remaining
-    grouping keys, over the aggregated rows (not the facts)."""
+    columns' filters removed: totals over the remaining grouping keys, summed
+    map-side from the aggregated rows and joined back, so that no task holds a
+    whole group. Without remaining keys the total is one row."""
     base = M.aggregate_bases(star, [metric_base], by, where)
     keep = [c for c in by if c not in release]
-    w = Window.partitionBy(*keep) if keep else Window.partitionBy(F.lit(1))
-    return base.select(*by, cents(metric_base).alias("net_sales"),
-                       ratio(F.col(metric_base), F.sum(metric_base).over(w)).alias(name))
+    total = base.groupBy(*keep).agg(F.sum(metric_base).alias("__all"))
+    if keep:
+        both = _nsjoin(base, total, keep)
+    else:
+        both = base.withColumn("__one", F.lit(1)).join(F.broadcast(total.withColumn("__one", F.lit(1))), "__one")
+    return both.select(*by, cents(metric_base).alias("net_sales"),
+                       ratio(F.col(metric_base), F.col("__all")).alias(name))
 
 
 # --- M40: dense rank of banners, blank at totals ----------------------------------------

@@ -59,3 +59,14 @@ def test_kpi_value_and_chip_text(spark):
     assert out[0]["p"] == "+0.1 pts vs PY"
     money2 = df.select(K.value_text(F.col("v"), "money2").alias("m")).collect()[0]["m"]
     assert money2 == "$1,234,567.00"
+
+
+def test_share_totals_keep_null_groups(spark):
+    from strata.plans import analysis as A
+    from strata.plans.star import Star
+    rows = [(None, "a", 1.0), (None, "b", 3.0), ("x", "a", 2.0)]
+    star = Star({"fact_sales_line_item": spark.createDataFrame(rows, "g string, m string, line_subtotal_cad double")},
+                {}, {"fact_sales_line_item": {}}, {})
+    kept = {(r.g, r.m): r.share for r in A.share_of_total(star, ["g", "m"], ["m"]).collect()}
+    assert kept == {(None, "a"): 0.25, (None, "b"): 0.75, ("x", "a"): 1.0}
+    assert sorted(r.share for r in A.share_of_total(star, ["g"], ["g"]).collect()) == [0.333333, 0.666667]
