@@ -42,10 +42,13 @@ def encode_words(ids: np.ndarray) -> np.ndarray:
     for s in range(len(COUNTS) - 2, -1, -1):  # larger counts overwrite smaller ones
         count, wide = COUNTS[s], width > BITS[s]
         if n < count or n - np.count_nonzero(wide) < count:
-            continue
+            break  # larger counts of narrower ids fit nowhere either
         stop = np.where(wide, at, n)  # the next id that is too wide
         stop = np.minimum.accumulate(stop[::-1])[::-1]
-        selector[stop - at >= count] = s
+        fits = stop - at >= count
+        if not fits.any():
+            break
+        selector[fits] = s
     step = COUNTS[selector].tolist()
     starts, i = [], 0
     while i < n:

@@ -16,9 +16,11 @@ import json
 import os
 import re
 from array import array
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MEMORY = 600_000
 _FILES: dict[tuple, object] = {}
@@ -77,12 +79,12 @@ class WordTokenizer:
     """A tokenizers .json file; special tokens are not added, their strings in
     a text are read as the library does by default.
 
-    A chunk of ASCII and Latin-1 letters is cut once more, by the file's own
-    pattern over the lower-cased chunk, into the parts that its merges cannot
-    cross; so words with other cases or punctuation share their parts. (For
-    these characters NFC changes nothing and lower case is one to one.) Other
-    chunks, and those with the start of a special string, go to the library as
-    they are."""
+    A chunk of ASCII and Latin-1 letters is cut by the file's own pattern over the
+    lower-cased chunk, and each part goes straight to the library's model, whose
+    merges cannot cross parts. (For these characters NFC changes nothing and lower
+    case is one to one; their byte marks come from the library's byte-level step.)
+    Other chunks, and those with the start of a special string, go through all of
+    the library."""
 
     # The file's pattern, its classes cut down to the plain characters.
     PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\x00-\x20\x7fa-z0-9ß-öø-ÿ]+")
@@ -93,6 +95,7 @@ class WordTokenizer:
 
     def __init__(self, name: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the threads
         self.library = Tokenizer.from_file(resolve(name))
@@ -104,7 +107,9 @@ class WordTokenizer:
         self.by_part = (steps, cuts) == (self.SHAPE[0], [self.SHAPE[1]])
         # Only a tokenizer that drops white space is free of what stands around a chunk.
         self.by_chunk = self.by_part
-        self.chunks, self.parts = _Memory(b""), _Memory(b"")
+        self.model, self.chunks = self.library.model, _Memory(b"")
+        step = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.marks = {c: step.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -113,19 +118,38 @@ class WordTokenizer:
             out += [array("I", e.ids).tobytes() for e in made]
         return out
 
+    def _parts(self, chunk: str) -> list[str] | None:
+        """Parts of a plain chunk as the model reads them; None for other chunks."""
+        if chunk.isascii():
+            if chunk.isalpha():
+                return [chunk.lower()]
+            if "<|" not in chunk and self.PLAIN.fullmatch(chunk):
+                return self.PARTS.findall(chunk.lower())
+        elif "<|" not in chunk and self.PLAIN.fullmatch(chunk):
+            return [x.translate(self.marks) for x in self.PARTS.findall(chunk.lower())]
+        return None
+
     def _find(self, chunks: list[str]) -> list[bytes]:
-        cut = [self.PARTS.findall(c.lower()) if self.PLAIN.fullmatch(c) and "<|" not in c else None for c in chunks]
-        known = iter(self.parts.values([x for parts in cut if parts for x in parts], self._library))
+        cut, model = [self._parts(c) for c in chunks], self.model.tokenize
         whole = iter(self._library([c for c, parts in zip(chunks, cut, strict=True) if parts is None]))
-        return [next(whole) if parts is None else b"".join(islice(known, len(parts))) for parts in cut]
+        return [next(whole) if parts is None else array("I", [t.id for x in parts for t in model(x)]).tobytes()
+                for parts in cut]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text. Chunks are cut at blanks, tabs and line ends."""
+        """Ids of each text. Chunks are cut at ASCII white space; each different
+        one is looked up once, and its ids are then copied to all its places."""
         if not self.by_chunk:
             return [np.frombuffer(x, np.uint32) for x in self._library(texts)]
-        cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        values = iter(self.chunks.values(list(chain.from_iterable(cut)), self._find))
-        return [np.frombuffer(b"".join(islice(values, len(words))), np.uint32) for words in cut]
+        cut = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        words = cut.flatten().dictionary_encode()
+        values = self.chunks.values(words.dictionary.to_pylist(), self._find)
+        flat = np.frombuffer(b"".join(values), np.uint32)
+        n_ids = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        which = words.indices.to_numpy()
+        n = n_ids[which]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        places = np.arange(ends[-1]) + np.repeat((np.cumsum(n_ids) - n_ids)[which] - ends[:-1], n)
+        return np.split(flat[places], ends[cut.offsets.to_numpy()][1:-1]) if texts else []
 
     def count(self, texts: list[str]) -> list[int]:
         return [len(x) for x in self.encode(texts)]
