@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from strata.catalog.prelude import oracle
 from strata.catalog.sqlfrag import cents, money_avg, msum, ratio, round6, divide
 from strata.plans import metrics as M
 from strata.plans.analysis import inventory_value, metric_switch
+from strata.plans.star import Where
 from strata.sources.fixtures import retail_star
 
 Q: dict = {}
@@ -250,3 +253,42 @@ JOIN (VALUES ('Net Sales', 0), ('Gross Margin', 1), ('Gross Margin %', 2), ('Tot
              ('Own-Brand Mix %', 7)) AS o(metric, metric_order) USING (metric)"""))
 def _metric_switch(spark, sf):
     return metric_switch(retail_star(spark, sf), ["year"])
+
+# --- F01: filters on an attribute and a period that are not grouped; M18 under its own key ----------
+@q("metric_filtered")
+def _metric_filtered(spark, sf):
+    return M.evaluate(retail_star(spark, sf), ["net_sales", "transactions"], ["banner_name"], where=[
+        Where(("province_code",), F.col("province_code").isin("ASIA", "EUROPE")),
+        Where(("year",), F.col("year") == 1998)])
+
+
+SQL["metric_filtered"] = oracle(f"""
+SELECT coalesce(a.banner_name, b.banner_name) AS banner_name, {cents('a.sn')} AS net_sales, b.n AS transactions
+FROM (SELECT s.banner_name, {N_NET} AS sn FROM {LINE_STORE}
+      WHERE s.province_code IN ('ASIA', 'EUROPE') AND year(l.transaction_date) = 1998 GROUP BY 1) a
+FULL JOIN (SELECT s.banner_name, count(DISTINCT t.transaction_id) AS n FROM {TXN_STORE}
+      WHERE s.province_code IN ('ASIA', 'EUROPE') AND year(t.transaction_date) = 1998 GROUP BY 1) b
+  ON a.banner_name IS NOT DISTINCT FROM b.banner_name""")
+
+Q["points_redeemed"] = ev(["points_redeemed"], ["event_type", "year"])
+SQL["points_redeemed"] = oracle("""
+SELECT event_type, year(event_date) AS year, CAST(-sum(CASE WHEN points_delta < 0 THEN points_delta END) AS BIGINT)
+         AS points_redeemed
+FROM fact_loyalty_event GROUP BY 1, 2""")
+
+# --- E08: the calendar as a dimension of every fact --------------------------------------------
+Q["net_sales_fiscal"] = ev(["net_sales"], ["fiscal_year", "fiscal_quarter"])
+SQL["net_sales_fiscal"] = oracle(f"""
+SELECT CAST(year(transaction_date) + CASE WHEN month(transaction_date) >= 4 THEN 1 ELSE 0 END AS BIGINT) AS fiscal_year,
+       concat('FQ', CASE WHEN month(transaction_date) < 4 THEN 4 ELSE quarter(transaction_date) - 1 END) AS fiscal_quarter,
+       {cents(N_NET)} AS net_sales
+FROM fact_sales_line_item GROUP BY 1, 2""")
+
+Q["net_sales_weekend"] = ev(["net_sales", "transactions"], ["is_weekend"])
+SQL["net_sales_weekend"] = oracle(f"""
+SELECT a.is_weekend, {cents('a.sn')} AS net_sales, b.n AS transactions
+FROM (SELECT CASE WHEN isodow(transaction_date) >= 6 THEN 1 ELSE 0 END AS is_weekend, {N_NET} AS sn
+      FROM fact_sales_line_item GROUP BY 1) a
+JOIN (SELECT CASE WHEN isodow(transaction_date) >= 6 THEN 1 ELSE 0 END AS is_weekend,
+             count(DISTINCT transaction_id) AS n
+      FROM fact_sales_transaction GROUP BY 1) b ON a.is_weekend = b.is_weekend""")

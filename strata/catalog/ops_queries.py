@@ -359,11 +359,11 @@ def _chip(dl, kind):
 
 
 def _yp(c, p):
-    return round6(divide(f"({c}) - ({p})", p))
+    return round6(divide(f"coalesce({c}, 0) - ({p})", p))
 
 
 def _dp(c, p):
-    return f"CASE WHEN ({p}) IS NOT NULL THEN {round6(f'(({c}) - ({p})) * 100')} END"
+    return f"CASE WHEN ({p}) IS NOT NULL THEN {round6(f'(coalesce({c}, 0) - ({p})) * 100')} END"
 
 
 _CARD_V = {
@@ -397,8 +397,9 @@ _YEARLY = f"""y AS (SELECT coalesce(a.year, b.year) AS year, a.sn, a.sc, a.u, b.
                     count(DISTINCT CASE WHEN is_loyalty_transaction = 1 THEN transaction_id END) AS nl,
                     {msum('total_amount_cad')} AS sr FROM fact_sales_transaction GROUP BY 1) b ON a.year = b.year)"""
 SQL["kpi_cards"] = oracle(" UNION ALL ".join(
-    f"SELECT c.year, '{t}' AS card, {v} AS value_text, {ch} AS chip_text, "
-    f"CASE WHEN ({d}) IS NOT NULL THEN ({d}) >= 0 END AS is_up FROM y c LEFT JOIN y p ON c.year = p.year + 1"
+    f"SELECT coalesce(c.year, p.year + 1) AS year, '{t}' AS card, {v} AS value_text, {ch} AS chip_text, "
+    f"CASE WHEN ({d}) IS NOT NULL THEN ({d}) >= 0 END AS is_up FROM y c FULL JOIN y p ON c.year = p.year + 1 "
+    "WHERE c.year IS NOT NULL OR p.year + 1 <= (SELECT year(last_day) FROM cal_ends)"
     for t, v, ch, d in _CARD_ROWS), _YEARLY)
 
 _MONTHLY = f"""mo AS (SELECT coalesce(a.month, b.month) AS month, a.sn, a.sc, a.u, b.n, b.nl, b.sr FROM

@@ -57,7 +57,17 @@ fact_loyalty_event AS (
   SELECT event_id AS loyalty_event_id, CAST(ts AS DATE) AS event_date, user_id AS customer_id, event_type,
          CAST(CASE event_type WHEN 'purchase' THEN floor(value) WHEN 'error' THEN -floor(value / 3) ELSE 0 END AS BIGINT)
            AS points_delta
-  FROM events)
+  FROM events),
+cal_ends AS (
+  SELECT min(a) AS first_day, max(z) AS last_day FROM (
+    SELECT min(transaction_date) AS a, max(transaction_date) AS z FROM fact_sales_transaction
+    UNION ALL SELECT min(transaction_date), max(transaction_date) FROM fact_sales_line_item
+    UNION ALL SELECT min(snapshot_date), max(snapshot_date) FROM fact_inventory_snapshot
+    UNION ALL SELECT min(event_date), max(event_date) FROM fact_loyalty_event)),
+cal AS (
+  SELECT CAST(d AS DATE) AS date, CAST(date_trunc('month', d) AS DATE) AS month
+  FROM (SELECT unnest(generate_series(CAST(first_day AS TIMESTAMP), CAST(last_day AS TIMESTAMP), INTERVAL 1 DAY)) AS d
+        FROM cal_ends))
 """
 
 

@@ -9,6 +9,7 @@ from strata.catalog.prelude import oracle
 from strata.catalog.sqlfrag import cents, divide, money_avg, msum, ratio, round6
 from strata.plans import analysis as A
 from strata.plans import timecalc as T
+from strata.plans.star import Where
 from strata.sources.fixtures import retail_star
 
 Q: dict = {}
@@ -27,11 +28,34 @@ def star(spark, sf):
 
 
 def _yoy(c, p):
-    return round6(f"{c} - coalesce({p}, 0)")
+    return round6(f"CASE WHEN {c} IS NOT NULL OR {p} IS NOT NULL THEN coalesce({c}, 0) - coalesce({p}, 0) END")
 
 
 def _yoy_pct(c, p):
-    return round6(divide(f"{c} - {p}", p))
+    return round6(divide(f"coalesce({c}, 0) - {p}", p))
+
+
+def _points(c, p):
+    return f"CASE WHEN {p} IS NOT NULL THEN {round6(f'(coalesce({c}, 0) - {p}) * 100')} END"
+
+
+def _cells(table, grain, *by):
+    """(keys, FROM) of current cells c and prior-year cells p of ``table``; a
+    cell with a prior year only counts up to the end of the calendar."""
+    later = "p.year + 1" if grain == "year" else "CAST(p.month + INTERVAL 12 MONTH AS DATE)"
+    last = "year(last_day)" if grain == "year" else "last_day"
+    on = " AND ".join([*(f"c.{k} IS NOT DISTINCT FROM p.{k}" for k in by), f"c.{grain} = {later}"])
+    keys = ", ".join([*(f"CASE WHEN c.{grain} IS NULL THEN p.{k} ELSE c.{k} END AS {k}" for k in by),
+                      f"coalesce(c.{grain}, {later}) AS {grain}"])
+    return keys, (f"FROM {table} c FULL JOIN {table} p ON {on} "
+                  f"WHERE c.{grain} IS NOT NULL OR {later} <= (SELECT {last} FROM cal_ends)")
+
+
+_BANNER_NAME_YEAR_B = _cells("b", "year", "banner_name")
+_CATEGORY_NAME_YEAR_B = _cells("b", "year", "category_name")
+_CHANNEL_MONTH_B = _cells("b", "month", "channel")
+_CHANNEL_YEAR_Y = _cells("y", "year", "channel")
+_YEAR_Y = _cells("y", "year")
 
 
 # --- T02: PY of a ratio metric -------------------------------------------------------
@@ -41,9 +65,9 @@ def _time_py(spark, sf):
 
 Q["time_py"] = _time_py
 SQL["time_py"] = oracle(f"""
-SELECT c.banner_name, c.year, {ratio('c.sn - c.sc', 'c.sn')} AS gross_margin_pct,
+SELECT {_BANNER_NAME_YEAR_B[0]}, {ratio('c.sn - c.sc', 'c.sn')} AS gross_margin_pct,
        {ratio('p.sn - p.sc', 'p.sn')} AS gross_margin_pct_py
-FROM b c LEFT JOIN b p ON c.banner_name IS NOT DISTINCT FROM p.banner_name AND c.year = p.year + 1""", f"""
+{_BANNER_NAME_YEAR_B[1]}""", f"""
 b AS (SELECT s.banner_name, year(l.transaction_date) AS year, {N_NET} AS sn, {N_COST} AS sc
       FROM {LINE_STORE} GROUP BY 1, 2)""")
 
@@ -57,9 +81,9 @@ def _time_yoy(spark, sf):
 
 Q["time_yoy"] = _time_yoy
 SQL["time_yoy"] = oracle(f"""
-SELECT c.category_name, c.year, {cents('c.sn')} AS net_sales, {cents('p.sn')} AS net_sales_py,
+SELECT {_CATEGORY_NAME_YEAR_B[0]}, {cents('c.sn')} AS net_sales, {cents('p.sn')} AS net_sales_py,
        {_yoy(cents('c.sn'), cents('p.sn'))} AS net_sales_yoy
-FROM b c LEFT JOIN b p ON c.category_name IS NOT DISTINCT FROM p.category_name AND c.year = p.year + 1""", f"""
+{_CATEGORY_NAME_YEAR_B[1]}""", f"""
 b AS (SELECT p.category_name, year(l.transaction_date) AS year, {N_NET} AS sn FROM {LINE_PROD} GROUP BY 1, 2)""")
 
 
@@ -72,8 +96,8 @@ def _time_yoy_pct(spark, sf):
 
 Q["time_yoy_pct"] = _time_yoy_pct
 SQL["time_yoy_pct"] = oracle(f"""
-SELECT c.channel, c.month, c.n AS transactions, p.n AS transactions_py, {_yoy_pct('c.n', 'p.n')} AS transactions_yoy_pct
-FROM b c LEFT JOIN b p ON c.channel IS NOT DISTINCT FROM p.channel AND c.month = p.month + INTERVAL 12 MONTH""", f"""
+SELECT {_CHANNEL_MONTH_B[0]}, c.n AS transactions, p.n AS transactions_py, {_yoy_pct('c.n', 'p.n')} AS transactions_yoy_pct
+{_CHANNEL_MONTH_B[1]}""", f"""
 b AS (SELECT channel, {MONTH.format(d='transaction_date')} AS month, count(DISTINCT transaction_id) AS n
       FROM fact_sales_transaction GROUP BY 1, 2)""")
 
@@ -97,9 +121,10 @@ SELECT g.month, {cents('(SELECT sum(sn) FROM ln WHERE year(ln.month) = year(g.mo
        (SELECT count(DISTINCT customer_id) FROM fact_sales_transaction t
          WHERE year(t.transaction_date) = year(g.month) AND {MONTH.format(d='t.transaction_date')} <= g.month)
          AS active_customers
-FROM (SELECT month FROM ln UNION SELECT {MONTH.format(d='transaction_date')} FROM fact_sales_transaction) g""", f"""
+FROM (SELECT DISTINCT month FROM cal) g WHERE EXISTS (SELECT 1 FROM grid WHERE year(grid.month) = year(g.month) AND grid.month <= g.month)""", f"""
 ln AS (SELECT {MONTH.format(d='l.transaction_date')} AS month, {N_NET} AS sn, {N_COST} AS sc
-       FROM fact_sales_line_item l GROUP BY 1)""")
+       FROM fact_sales_line_item l GROUP BY 1),
+grid AS (SELECT month FROM ln UNION SELECT {MONTH.format(d='transaction_date')} FROM fact_sales_transaction)""")
 
 
 # --- T06: MTD at day grain ----------------------------------------------------------------
@@ -115,7 +140,7 @@ SELECT g.date, {cents(_MTD_SN)} AS net_sales,
        (SELECT count(DISTINCT product_id) FROM fact_sales_line_item l
          WHERE date_trunc('month', l.transaction_date) = date_trunc('month', g.date) AND l.transaction_date <= g.date)
          AS distinct_skus
-FROM (SELECT date FROM dn) g""", f"""
+FROM cal g WHERE EXISTS (SELECT 1 FROM dn WHERE date_trunc('month', dn.date) = date_trunc('month', g.date) AND dn.date <= g.date)""", f"""
 dn AS (SELECT l.transaction_date AS date, {N_NET} AS sn FROM fact_sales_line_item l GROUP BY 1)""")
 
 
@@ -133,7 +158,9 @@ SELECT g.channel, g.month,
   (SELECT count(DISTINCT customer_id) FROM fact_sales_transaction t WHERE t.channel = g.channel
      AND {_QK.format(m='t.transaction_date')} = {_QK.format(m='g.month')}
      AND {MONTH.format(d='t.transaction_date')} <= g.month) AS active_customers
-FROM tm g""", f"""
+FROM (SELECT DISTINCT ch.channel, cal.month FROM (SELECT DISTINCT channel, year(month) AS y, quarter(month) AS q,
+        min(month) OVER (PARTITION BY channel, year(month), quarter(month)) AS first FROM tm) ch
+      JOIN cal ON year(cal.month) = ch.y AND quarter(cal.month) = ch.q AND cal.month >= ch.first) g""", f"""
 tm AS (SELECT channel, {MONTH.format(d='transaction_date')} AS month, {msum('total_amount_cad')} AS sr
        FROM fact_sales_transaction GROUP BY 1, 2)""")
 
@@ -147,14 +174,16 @@ Q["time_calc"] = _time_calc
 _CUR, _PY = cents("c.sn"), cents("p.sn")
 SQL["time_calc"] = oracle(f"""
 SELECT month, time_calc, ordinal, value FROM (
-  SELECT c.month, CAST({_CUR} AS DOUBLE) AS v0, CAST({_PY} AS DOUBLE) AS v1, {_yoy(_CUR, _PY)} AS v2,
+  SELECT g.month, CAST({_CUR} AS DOUBLE) AS v0, CAST({_PY} AS DOUBLE) AS v1, {_yoy(_CUR, _PY)} AS v2,
          {_yoy_pct(_CUR, _PY)} AS v3,
-         CAST({cents('sum(c.sn) OVER (PARTITION BY year(c.month) ORDER BY c.month ROWS UNBOUNDED PRECEDING)')} AS DOUBLE) AS v4,
+         CAST({cents('sum(c.sn) OVER (PARTITION BY year(g.month) ORDER BY g.month ROWS UNBOUNDED PRECEDING)')} AS DOUBLE) AS v4,
          CAST({_CUR} AS DOUBLE) AS v5,
-         CAST({cents('sum(c.sn) OVER (PARTITION BY year(c.month), quarter(c.month) ORDER BY c.month ROWS UNBOUNDED PRECEDING)')} AS DOUBLE) AS v6
-  FROM m c LEFT JOIN m p ON c.month = p.month + INTERVAL 12 MONTH)
+         CAST({cents('sum(c.sn) OVER (PARTITION BY year(g.month), quarter(g.month) ORDER BY g.month ROWS UNBOUNDED PRECEDING)')} AS DOUBLE) AS v6
+  FROM (SELECT DISTINCT month FROM cal) g LEFT JOIN m c ON c.month = g.month
+       LEFT JOIN m p ON g.month = p.month + INTERVAL 12 MONTH)
 CROSS JOIN LATERAL (VALUES ('Current', 0, v0), ('PY', 1, v1), ('YoY', 2, v2), ('YoY %', 3, v3), ('YTD', 4, v4),
-                           ('MTD', 5, v5), ('QTD', 6, v6)) AS x(time_calc, ordinal, value)""", f"""
+                           ('MTD', 5, v5), ('QTD', 6, v6)) AS x(time_calc, ordinal, value)
+WHERE v1 IS NOT NULL OR v4 IS NOT NULL""", f"""
 m AS (SELECT {MONTH.format(d='transaction_date')} AS month, {msum('line_subtotal_cad')} AS sn
       FROM fact_sales_line_item GROUP BY 1)""")
 
@@ -170,30 +199,30 @@ def _py_sel(metrics, by, grain, out):
 Q["net_sales_yoy"] = _py_sel(["net_sales"], [], "year",
                              lambda d: [T.yoy_pct(F.col("net_sales"), F.col("net_sales_py")).alias("net_sales_yoy")])
 SQL["net_sales_yoy"] = oracle(f"""
-SELECT c.year, {_yoy_pct(cents('c.sn'), cents('p.sn'))} AS net_sales_yoy
-FROM y c LEFT JOIN y p ON c.year = p.year + 1""", f"""
+SELECT {_YEAR_Y[0]}, {_yoy_pct(cents('c.sn'), cents('p.sn'))} AS net_sales_yoy
+{_YEAR_Y[1]}""", f"""
 y AS (SELECT year(transaction_date) AS year, {msum('line_subtotal_cad')} AS sn FROM fact_sales_line_item GROUP BY 1)""")
 
 Q["gm_pct_delta"] = _py_sel(["gross_margin_pct"], ["banner_name"], "year", lambda d: [
     T.delta_points(F.col("gross_margin_pct"), F.col("gross_margin_pct_py")).alias("gm_pct_delta")])
 _GMC, _GMP = ratio("c.sn - c.sc", "c.sn"), ratio("p.sn - p.sc", "p.sn")
 SQL["gm_pct_delta"] = oracle(f"""
-SELECT c.banner_name, c.year, CASE WHEN {_GMP} IS NOT NULL THEN {round6(f'({_GMC} - {_GMP}) * 100')} END AS gm_pct_delta
-FROM b c LEFT JOIN b p ON c.banner_name IS NOT DISTINCT FROM p.banner_name AND c.year = p.year + 1""", f"""
+SELECT {_BANNER_NAME_YEAR_B[0]}, {_points(_GMC, _GMP)} AS gm_pct_delta
+{_BANNER_NAME_YEAR_B[1]}""", f"""
 b AS (SELECT s.banner_name, year(l.transaction_date) AS year, {N_NET} AS sn, {N_COST} AS sc
       FROM {LINE_STORE} GROUP BY 1, 2)""")
 
 Q["transactions_yoy"] = _py_sel(["transactions"], [], "year", lambda d: [
     T.yoy_pct(F.col("transactions"), F.col("transactions_py")).alias("transactions_yoy")])
 SQL["transactions_yoy"] = oracle(f"""
-SELECT c.year, {_yoy_pct('c.n', 'p.n')} AS transactions_yoy FROM y c LEFT JOIN y p ON c.year = p.year + 1""", """
+SELECT {_YEAR_Y[0]}, {_yoy_pct('c.n', 'p.n')} AS transactions_yoy {_YEAR_Y[1]}""", """
 y AS (SELECT year(transaction_date) AS year, count(DISTINCT transaction_id) AS n FROM fact_sales_transaction GROUP BY 1)""")
 
 Q["atv_yoy"] = _py_sel(["avg_txn_value"], ["channel"], "year", lambda d: [
     T.yoy_pct(F.col("avg_txn_value"), F.col("avg_txn_value_py")).alias("atv_yoy")])
 SQL["atv_yoy"] = oracle(f"""
-SELECT c.channel, c.year, {_yoy_pct(money_avg('c.sr', 'c.n'), money_avg('p.sr', 'p.n'))} AS atv_yoy
-FROM y c LEFT JOIN y p ON c.channel IS NOT DISTINCT FROM p.channel AND c.year = p.year + 1""", f"""
+SELECT {_CHANNEL_YEAR_Y[0]}, {_yoy_pct(money_avg('c.sr', 'c.n'), money_avg('p.sr', 'p.n'))} AS atv_yoy
+{_CHANNEL_YEAR_Y[1]}""", f"""
 y AS (SELECT channel, year(transaction_date) AS year, {msum('total_amount_cad')} AS sr,
              count(DISTINCT transaction_id) AS n FROM fact_sales_transaction GROUP BY 1, 2)""")
 
@@ -201,8 +230,8 @@ Q["loyalty_pen_delta"] = _py_sel(["loyalty_txn_pct"], [], "year", lambda d: [
     T.delta_points(F.col("loyalty_txn_pct"), F.col("loyalty_txn_pct_py")).alias("loyalty_pen_delta")])
 _LC, _LP = ratio("c.nl", "c.n"), ratio("p.nl", "p.n")
 SQL["loyalty_pen_delta"] = oracle(f"""
-SELECT c.year, CASE WHEN {_LP} IS NOT NULL THEN {round6(f'({_LC} - {_LP}) * 100')} END AS loyalty_pen_delta
-FROM y c LEFT JOIN y p ON c.year = p.year + 1""", """
+SELECT {_YEAR_Y[0]}, {_points(_LC, _LP)} AS loyalty_pen_delta
+{_YEAR_Y[1]}""", """
 y AS (SELECT year(transaction_date) AS year, count(DISTINCT transaction_id) AS n,
              count(DISTINCT CASE WHEN is_loyalty_transaction = 1 THEN transaction_id END) AS nl
       FROM fact_sales_transaction GROUP BY 1)""")
@@ -210,8 +239,8 @@ y AS (SELECT year(transaction_date) AS year, count(DISTINCT transaction_id) AS n
 Q["upt_yoy"] = _py_sel(["units_per_txn"], [], "year", lambda d: [
     T.yoy_pct(F.col("units_per_txn"), F.col("units_per_txn_py")).alias("upt_yoy")])
 SQL["upt_yoy"] = oracle(f"""
-SELECT c.year, {_yoy_pct(ratio('c.u', 'c.n'), ratio('p.u', 'p.n'))} AS upt_yoy
-FROM y c LEFT JOIN y p ON c.year IS NOT DISTINCT FROM p.year + 1""", """
+SELECT {_YEAR_Y[0]}, {_yoy_pct(ratio('c.u', 'c.n'), ratio('p.u', 'p.n'))} AS upt_yoy
+{_YEAR_Y[1]}""", """
 y AS (SELECT coalesce(a.year, b.year) AS year, a.u, b.n FROM
         (SELECT year(transaction_date) AS year, sum(quantity) AS u FROM fact_sales_line_item GROUP BY 1) a
         FULL JOIN (SELECT year(transaction_date) AS year, count(DISTINCT transaction_id) AS n
@@ -390,6 +419,37 @@ def _time_py_day(spark, sf):
 
 Q["time_py_day"] = _time_py_day
 SQL["time_py_day"] = oracle(f"""
-SELECT c.date, {cents('c.sn')} AS net_sales, {cents('p.sn')} AS net_sales_py
-FROM dn c LEFT JOIN dn p ON p.date = CAST(c.date - INTERVAL 12 MONTH AS DATE)""", f"""
+SELECT g.date, {cents('c.sn')} AS net_sales, {cents('p.sn')} AS net_sales_py
+FROM cal g LEFT JOIN dn c ON c.date = g.date LEFT JOIN dn p ON p.date = CAST(g.date - INTERVAL 12 MONTH AS DATE)
+WHERE c.date IS NOT NULL OR p.date IS NOT NULL""", f"""
 dn AS (SELECT transaction_date AS date, {msum('line_subtotal_cad')} AS sn FROM fact_sales_line_item GROUP BY 1)""")
+
+
+# --- F01 / F07: filters on what is not grouped; a date filter does not reach the prior year ----------
+def _time_py_filtered(spark, sf):
+    asia = Where(("province_code",), F.col("province_code") == "ASIA")
+    return T.with_prior_year(star(spark, sf), ["net_sales"], ["brand"], "year", asia, F.col("year") == 1998)
+
+
+Q["time_py_filtered"] = _time_py_filtered
+_BRAND_YEAR_B = _cells("b", "year", "brand")
+SQL["time_py_filtered"] = oracle(f"""
+SELECT * FROM (SELECT {_BRAND_YEAR_B[0]}, {cents('c.sn')} AS net_sales, {cents('p.sn')} AS net_sales_py
+  {_BRAND_YEAR_B[1]}) WHERE year = 1998""", f"""
+b AS (SELECT p.brand, year(l.transaction_date) AS year, {N_NET} AS sn
+      FROM {LINE_PROD} LEFT JOIN dim_store s ON l.store_id = s.store_id
+      WHERE s.province_code = 'ASIA' GROUP BY 1, 2)""")
+
+
+def _time_ytd_filtered(spark, sf):
+    weekend = Where(("is_weekend",), F.col("is_weekend") == 1)
+    return T.to_date(star(spark, sf), ["revenue_incl_tax"], ["channel"], "year", "month", weekend,
+                     F.month("month") == 6)
+
+
+Q["time_ytd_filtered"] = _time_ytd_filtered
+SQL["time_ytd_filtered"] = oracle(f"""
+SELECT t.channel, g.month, {cents(msum('t.total_amount_cad'))} AS revenue_incl_tax
+FROM (SELECT DISTINCT month FROM cal WHERE month(month) = 6) g
+JOIN fact_sales_transaction t ON year(t.transaction_date) = year(g.month) AND month(t.transaction_date) <= 6
+WHERE isodow(t.transaction_date) >= 6 GROUP BY 1, 2""")

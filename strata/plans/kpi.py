@@ -84,7 +84,7 @@ def kpi_cards(star: Star, by: list[str] | None = None, grain: str = "year") -> D
     for title, m, vkind, ckind in CARDS:
         cur, py = F.col(m), F.col(f"{m}_py")
         delta = T.yoy_pct(cur, py) if ckind == "pct" else T.delta_points(cur, py)
-        rows.append(F.struct(F.lit(title).alias("card"), value_text(cur, vkind).alias("value_text"),
+        rows.append(F.struct(F.lit(title).alias("card"), F.when(cur.isNotNull(), value_text(cur, vkind)).alias("value_text"),
                              chip_text(delta, ckind).alias("chip_text"),
                              F.when(delta.isNotNull(), delta >= 0).alias("is_up")))
     return d.select(*by, grain, F.inline(F.array(*rows)))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.numeric import cents, divide, money_avg, money_sum, ratio, round6
-from strata.plans.star import Star
+from strata.plans.star import Star, Where
 
 LINE = "fact_sales_line_item"
 TXN = "fact_sales_transaction"
@@ -158,7 +158,7 @@ def bases_of(metrics) -> list[str]:
     return list(out)
 
 
-def aggregate_bases(star: Star, bases: list[str], by: list[str], where: Column | None = None,
+def aggregate_bases(star: Star, bases: list[str], by: list[str], where: Column | Where | list | None = None,
                     grouping: str = "plain", sets: list[list[str]] | None = None,
                     fact_where: dict[str, Column] | None = None) -> DataFrame:
     """One aggregate per fact over ``by``; per-fact results joined on the keys.
@@ -175,9 +175,9 @@ def aggregate_bases(star: Star, bases: list[str], by: list[str], where: Column |
     keys = list(by)
     for fact, names in per_fact.items():
         needs = [n for b in names for n in BASES[b].needs]
-        w = where
+        w = list(where) if isinstance(where, list) else [] if where is None else [where]
         if fact_where and fact in fact_where:
-            w = fact_where[fact] if w is None else (w & fact_where[fact])
+            w.append(fact_where[fact])
         df = star.frame(fact, list(by) + needs, where=w)
         aggs = [base_agg(star, b).alias(b) for b in names]
         if sets is not None:
@@ -214,7 +214,8 @@ def _join_global(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.withColumn(k, F.lit(1)).join(b.withColumn(k, F.lit(1)), k, "full").drop(k)
 
 
-def evaluate(star: Star, metrics: list[str], by: list[str] | tuple = (), where: Column | None = None,
+def evaluate(star: Star, metrics: list[str], by: list[str] | tuple = (),
+             where: Column | Where | list | None = None,
              grouping: str = "plain", sets: list[list[str]] | None = None,
              fact_where: dict[str, Column] | None = None) -> DataFrame:
     """``metric(names).by(attrs).where(p)`` as a DataFrame (one row per group)."""

@@ -18,6 +18,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.sources.calendar import calendar_of
+
 
 def _period_exprs() -> dict:
     return {
@@ -31,6 +33,16 @@ def _period_exprs() -> dict:
 
 
 PERIODS = _period_exprs()
+CALENDAR = "dim_date"
+
+
+@dataclass(frozen=True)
+class Where:
+    """A filter and the attributes or periods it reads. It reaches the facts
+    that are related to all of them; others it does not filter."""
+
+    needs: tuple[str, ...]
+    cond: Column
 
 
 @dataclass
@@ -57,6 +69,22 @@ class Star:
         t[name] = df
         return Star(t, self.fact_dates, self.fact_keys, self.attrs, self.hops, self.unique)
 
+    def calendar(self) -> DataFrame:
+        """The date dimension; without one, the days from the first to the last fact date."""
+        if CALENDAR in self.tables:
+            return self.tables[CALENDAR]
+        dated = [(f, d) for f, d in self.fact_dates.items() if f in self.tables and self.fact_keys.get(f)]
+        return calendar_of(self.tables[f].select(F.col(d).alias("date")) for f, d in dated)
+
+    def related(self, fact: str, attr: str) -> bool:
+        """True when ``attr`` is a column of ``fact`` or can be attached to it."""
+        if attr in self.tables[fact].columns:
+            return True
+        dim = CALENDAR if attr in PERIODS else self.attrs.get(attr, (None,))[0]
+        if dim == CALENDAR:
+            return fact in self.fact_dates
+        return (self.hops[dim][0] if dim in self.hops else dim) in self.fact_keys.get(fact, {})
+
     def _dim_image(self, dim: str, key: str, cols: list[str]) -> DataFrame:
         """Key + requested columns of ``dim``, hopping through a parent dimension."""
         if dim in self.hops:
@@ -65,9 +93,15 @@ class Star:
             return self.tables[parent].select(key, pkey).join(own, pkey, "left").drop(pkey)
         return self.tables[dim].select(key, *cols)
 
-    def frame(self, fact: str, attrs: list[str] | tuple = (), where: Column | None = None) -> DataFrame:
-        """Fact rows with the named attributes as columns."""
+    def frame(self, fact: str, attrs: list[str] | tuple = (),
+              where: Column | Where | list[Column | Where] | None = None) -> DataFrame:
+        """Fact rows with the named attributes as columns (E08 / E09). ``where``
+        is a condition over these columns, a ``Where`` over any attribute or
+        period, or several of them."""
         df = self.tables[fact]
+        filters = where if isinstance(where, list) else [] if where is None else [where]
+        filters = [w for w in filters if not isinstance(w, Where) or all(self.related(fact, a) for a in w.needs)]
+        attrs = [*attrs, *(a for w in filters if isinstance(w, Where) for a in w.needs)]
         date = self.fact_dates.get(fact)
         wanted: dict[str, list[str]] = {}
         for a in dict.fromkeys(attrs):
@@ -84,15 +118,17 @@ class Star:
                 wanted[dim].append(col)
         for dim, cols in wanted.items():
             via = self.hops[dim][0] if dim in self.hops else dim
-            key = self.fact_keys[fact].get(via)
+            key = date if dim == CALENDAR else self.fact_keys[fact].get(via)
             if key is None:
                 raise KeyError(f"{fact} has no path to {dim}")
             cols = [c for c in cols if c not in df.columns]
-            if cols:
+            if cols and dim == CALENDAR:
+                df = df.join(self.calendar().select(F.col("date").alias(key), *cols), key, "left")
+            elif cols:
                 df = df.join(self._dim_image(dim, key, cols), key, "left")
         for a in attrs:
             if a in self.attrs and self.attrs[a][1] != a and a not in df.columns:
                 df = df.withColumnRenamed(self.attrs[a][1], a)
-        if where is not None:
-            df = df.where(where)
+        for w in filters:
+            df = df.where(w.cond if isinstance(w, Where) else w)
         return df

@@ -3,8 +3,8 @@
 Every calculation works on *base aggregates* per (group, period), never on
 fact rows twice:
 
-* PY shifts the period index by 12 months (or a year) and joins the grid
-  back on itself, so a ratio's PY is the ratio of PY bases.
+* PY copies each period's bases to the period one year later and brings both
+  together per cell, so a ratio's PY is the ratio of PY bases.
 * To-date (YTD / QTD / MTD) is a running sum of per-period bases inside the
   reset period. Distinct counts are made additive first: each counted value
   contributes once, at the first period it appears in the reset period
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.numeric import divide, round6
 from strata.plans import metrics as M
-from strata.plans.star import Star
+from strata.plans.star import PERIODS, Star, Where
 
 # Calculation items in their display order.
 TIME_ITEMS = ["Current", "PY", "YoY", "YoY %", "YTD", "MTD", "QTD"]
@@ -41,40 +41,64 @@ def _finals(df: DataFrame, metrics: list[str], suffix: str = "") -> list[Column]
             for m in metrics]
 
 
-def _back(grain: str, col: Column) -> Column:
-    """The same period one year earlier. Mapping each current period back
-    (rather than each prior period forward) gives every period exactly one
-    prior period: 2025-02-28 -> 2024-02-28, and 2024-02-29 -> 2023-02-28."""
-    return F.add_months(col, -12) if grain in ("month", "date") else col - F.lit(1)
+def _next_year(grain: str, col: Column) -> Column:
+    """Array of the periods whose prior period is ``col``. Each period has one
+    prior period (2025-02-28 -> 2024-02-28, 2024-02-29 -> 2023-02-28), so a day
+    has none, one or two such periods."""
+    if grain == "year":
+        return F.array(col + F.lit(1))
+    later = F.add_months(col, 12)
+    if grain == "month":
+        return F.array(later)
+    return F.filter(F.array(later, F.date_add(later, 1)), lambda d: F.add_months(d, -12) == col)
 
 
 def with_prior_year(star: Star, metrics: list[str], by: list[str], grain: str = "year",
-                    where: Column | None = None) -> DataFrame:
+                    where: Column | Where | list | None = None, shown: Column | None = None) -> DataFrame:
     """Metrics and their prior-year values per (by, grain).
 
-    Output columns: by, grain, <m>, <m>_py for each metric.
+    Output columns: by, grain, <m>, <m>_py for each metric. A cell with a prior
+    year only is kept when the calendar has its period. A filter on dates
+    belongs in ``shown``, a condition over the output's keys: it chooses the
+    cells reported and does not reach the prior year.
+
+    Each per-period aggregate goes to its own period and to the one a year
+    later, and one more aggregate over (by, grain) brings both together, so
+    the facts are read once.
     """
     keys = list(by) + [grain]
     bases = M.bases_of(metrics)
     cur = M.aggregate_bases(star, bases, keys, where)
-    py = cur.select(*by, F.col(grain).alias("__pk"), *[F.col(b).alias(f"{b}_py") for b in bases])
-    j = _nsjoin(cur.withColumn("__pk", _back(grain, F.col(grain))), py, list(by) + ["__pk"], "left")
-    return j.select(*keys, *_finals(j, metrics), *_finals(j, metrics, "_py"))
+    at = F.filter(_next_year(grain, F.col(grain)), lambda p: p.isNotNull())
+    places = F.concat(F.array(F.struct(F.col(grain).alias("__p"), F.lit(False).alias("__prior"))),
+                      F.transform(at, lambda p: F.struct(p.alias("__p"), F.lit(True).alias("__prior"))))
+    prior = F.col("__prior")
+    cells = (cur.select(*by, *bases, F.inline(places))
+             .groupBy(*by, F.col("__p").alias(grain))
+             .agg(*[F.max(F.when(~prior, F.col(b))).alias(b) for b in bases],
+                  *[F.max(F.when(prior, F.col(b))).alias(f"{b}_py") for b in bases],
+                  F.bool_or(~prior).alias("__now")))
+    periods = star.calendar().select(PERIODS[grain](F.col("date")).alias(grain)).distinct()
+    cells = (cells.join(periods.withColumn("__known", F.lit(True)), grain, "left")
+             .where(F.col("__now") | F.col("__known")))
+    if shown is not None:
+        cells = cells.where(shown)
+    return cells.select(*keys, *_finals(cells, metrics), *_finals(cells, metrics, "_py"))
 
 
 def yoy(cur: Column, py: Column) -> Column:
-    """Current minus PY, a blank PY counting as 0."""
-    return round6(cur - F.coalesce(py, F.lit(0)))
+    """Current minus PY, a blank one counting as 0; blank when both are."""
+    return round6(F.when(cur.isNotNull() | py.isNotNull(), F.coalesce(cur, F.lit(0)) - F.coalesce(py, F.lit(0))))
 
 
 def yoy_pct(cur: Column, py: Column) -> Column:
-    """(current - PY) / PY; blank when PY is blank or 0."""
-    return round6(divide(cur - py, py))
+    """(current - PY) / PY; blank when PY is blank or 0, a blank current counting as 0."""
+    return round6(divide(F.coalesce(cur, F.lit(0)) - py, py))
 
 
 def delta_points(cur: Column, py: Column) -> Column:
     """Percentage-point change x100, blank without PY."""
-    return F.when(py.isNotNull(), round6((cur - py) * F.lit(100)))
+    return F.when(py.isNotNull(), round6((F.coalesce(cur, F.lit(0)) - py) * F.lit(100)))
 
 
 RESETS = {
@@ -85,11 +109,14 @@ RESETS = {
 
 
 def to_date(star: Star, metrics: list[str], by: list[str], reset: str = "year", grain: str = "month",
-            where: Column | None = None) -> DataFrame:
+            where: Column | Where | list | None = None, shown: Column | None = None) -> DataFrame:
     """Metrics accumulated from the start of the reset period.
 
     ``grain`` is ``month`` or ``date``; ``reset`` is ``year``, ``quarter`` or
-    ``month``. Output: by, grain, <m> (to-date value) per metric.
+    ``month``. Output: by, grain, <m> (to-date value) per metric, for every
+    period of the calendar from a group's first one in the reset period on: a
+    period without rows carries the value before it. Rows without a date belong
+    to no period. ``shown`` is a condition over the output's keys, applied last.
     """
     bases = M.bases_of(metrics)
     keys = list(by) + [grain]
@@ -97,33 +124,34 @@ def to_date(star: Star, metrics: list[str], by: list[str], reset: str = "year",
     for b in bases:
         per_fact.setdefault(M.BASES[b].fact, []).append(b)
     series = []
-    grids = []
     for fact, names in per_fact.items():
         needs = [n for b in names for n in M.BASES[b].needs]
-        fr = star.frame(fact, keys + needs, where)
+        fr = star.frame(fact, keys + needs, where).where(F.col(grain).isNotNull())
         # additive bases, including distinct counts of a unique column (each
-        # value occurs once, so it is first seen in its own period); the same
-        # aggregate yields the fact's (group, period) grid - one pass
+        # value occurs once, so it is first seen in its own period)
         add = [b for b in names if M.BASES[b].distinct is None or M.is_plain_count(star, b)]
-        per = fr.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"),
-                                    *[M.base_agg(star, b).alias(b) for b in add])
-        grids.append(per.select(*keys))
         if add:
-            series.append(per.drop("__rows"))
+            series.append(fr.groupBy(*keys).agg(*[M.base_agg(star, b).alias(b) for b in add]))
         for b in names:
             if b in add:
                 continue
-            val = M.BASES[b].distinct()
-            first = (fr.select(*by, F.col(grain), RESETS[reset](F.col(grain)).alias("__r"), val.alias("__v"))
-                     .where(F.col("__v").isNotNull())
+            # a group's first period has a row here even if it counts nothing
+            first = (fr.select(*by, F.col(grain), RESETS[reset](F.col(grain)).alias("__r"),
+                               M.BASES[b].distinct().alias("__v"))
                      .groupBy(*by, "__r", "__v").agg(F.min(grain).alias(grain)))
-            series.append(first.groupBy(*keys).agg(F.count(F.lit(1)).alias(b)))
-    grid = reduce(lambda a, b: a.unionByName(b), grids).distinct()
-    for s in series:
-        grid = _nsjoin(grid, s, keys, "left")
-    w = (Window.partitionBy(*by, RESETS[reset](F.col(grain))).orderBy(grain)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    run = grid.select(*keys, *[F.sum(b).over(w).alias(b) for b in bases])
+            series.append(first.groupBy(*keys).agg(F.count("__v").alias(b)))
+    cells = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), series)
+    cells = cells.groupBy(*keys).agg(*[F.sum(b).alias(b) for b in bases])
+    w = Window.partitionBy(*by, RESETS[reset](F.col(grain))).orderBy(grain)
+    total = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.last_day(F.add_months(F.trunc(F.col(grain), reset), {"year": 11, "quarter": 2, "month": 0}[reset]))
+    upto = F.coalesce(F.date_sub(F.lead(grain).over(w), 1), end)
+    step = F.expr("INTERVAL 1 MONTH" if grain == "month" else "INTERVAL 1 DAY")
+    run = cells.select(*keys, *[F.sum(b).over(total).alias(b) for b in bases], upto.alias("__upto"))
+    run = run.select(*by, F.explode(F.sequence(F.col(grain), F.col("__upto"), step)).alias(grain), *bases)
+    run = run.join(star.calendar().select(PERIODS[grain](F.col("date")).alias(grain)), grain, "left_semi")
+    if shown is not None:
+        run = run.where(shown)
     return run.select(*keys, *_finals(run, metrics))
 
 
@@ -162,7 +190,7 @@ def time_items(star: Star, metric: str, by: list[str], where: Column | None = No
     ytd = to_date(star, [metric], by, "year", "month", where).withColumnRenamed(metric, "__ytd")
     qtd = to_date(star, [metric], by, "quarter", "month", where).withColumnRenamed(metric, "__qtd")
     keys = list(by) + ["month"]
-    j = _nsjoin(_nsjoin(py, ytd, keys), qtd, keys)
+    j = reduce(lambda a, b: M._drill_across(a, b, keys), [py, ytd, qtd])
     cur, p = F.col(metric).cast("double"), F.col(f"{metric}_py").cast("double")
     vals = [cur, p, yoy(cur, p), yoy_pct(cur, p), F.col("__ytd").cast("double"), cur, F.col("__qtd").cast("double")]
     arr = F.array(*[F.struct(F.lit(n).alias("time_calc"), F.lit(i).alias("ordinal"), v.alias("value"))

@@ -7,6 +7,8 @@ not by the volume of facts.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,3 +82,9 @@ def calendar_for(facts: DataFrame, date_col: str) -> DataFrame:
     """Calendar spanning the dates of a fact table."""
     b = facts.agg(F.min(date_col).cast("date").alias("start"), F.max(date_col).cast("date").alias("end"))
     return calendar(b)
+
+
+def calendar_of(dates) -> DataFrame:
+    """Calendar from the first to the last ``date`` of several DataFrames."""
+    ends = [d.agg(F.min("date").cast("date").alias("start"), F.max("date").cast("date").alias("end")) for d in dates]
+    return calendar(reduce(DataFrame.unionByName, ends).agg(F.min("start").alias("start"), F.max("end").alias("end")))

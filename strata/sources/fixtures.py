@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.numeric import cents, money_sum
 from strata.plans.star import Star
+from strata.sources.calendar import calendar_of
 from strata.sources.tables import read_table
 
 # Brands treated as own-brand, and the loyalty-tier cut-offs.
@@ -167,7 +168,8 @@ ATTRS = {
     "enrollment_month": ("dim_customer", "enrollment_month"),
     "is_cross_category": ("dim_customer", "is_cross_category"),
     "customer_business_key": ("dim_customer", "customer_business_key"),
-}
+} | {a: ("dim_date", a) for a in ("fiscal_year", "fiscal_quarter", "is_weekend", "is_canadian_holiday", "holiday_name",
+                                  "is_payday_friday", "day_of_week", "day_of_week_name", "week_of_year", "month_name")}
 
 HOPS = {"dim_banner": ("dim_store", "banner_id")}
 
@@ -186,7 +188,7 @@ _PUBLISHED: dict = {}
 def retail_star(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Star:
     """The retail star over the test tables in ``sf_dir``.
 
-    With ``materialize`` (the default) the eight star tables are built once
+    With ``materialize`` (the default) the nine star tables are built once
     per session and published as Parquet under the shared checkpoint folder
     - the gold layer - and every query reads them back. The scans then carry
     their real file sizes, so the planner's broadcast threshold decides each
@@ -219,6 +221,8 @@ def retail_star(spark: SparkSession, sf_dir: str, materialize: bool = True) -> S
         tables["fact_inventory_snapshot"] = fact_inventory_snapshot(line_pub)
         tables = {k: (v if k == "fact_sales_line_item" else publish(v, f"gold_{k}", spark=spark))
                   for k, v in tables.items()}
+    days = calendar_of(tables[f].select(F.col(d).alias("date")) for f, d in FACT_DATES.items() if f.startswith("fact_"))
+    tables["dim_date"] = publish(days, "gold_dim_date", spark=spark) if materialize else days
     tables.update({f"src_{k}": v for k, v in t.items()})
     star = Star(tables, FACT_DATES, FACT_KEYS, ATTRS, HOPS, UNIQUE)
     if materialize:
