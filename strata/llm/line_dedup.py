@@ -177,9 +177,10 @@ class LineIndex:
         refs = self.references(docs).select(
             "shard", F.expr(f"cast(pmod(doc_id, {SALTS}) as int)").alias("salt"), F.lit(1).alias("kind"), "digest",
             "doc_id", F.lit(None).cast("binary").alias("blob"))
+        # doc_id is never null here: pandas would turn a batch's ids into doubles.
         filters = self.filters.select(
             "shard", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(0).alias("kind"),
-            F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("long").alias("doc_id"), "blob")
+            F.lit(None).cast("binary").alias("digest"), F.lit(0).cast("long").alias("doc_id"), "blob")
         return (refs.unionByName(filters).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind")
                 .mapInPandas(_pass_filters, "digest binary, doc_id long"))
 

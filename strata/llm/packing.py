@@ -95,7 +95,7 @@ def _pack_lot(lot: pd.DataFrame, first_bin: int, capacities) -> tuple[pd.DataFra
     row = np.repeat(np.arange(len(lot)), n)
     piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
     part = np.minimum(length[row] - piece * most, most)
-    out = pd.DataFrame({"doc_id": lot["doc_id"].to_numpy()[row], "piece": piece, "start": piece * most, "length": part})
+    out = pd.DataFrame({"doc_id": lot["doc_id"].array[row], "piece": piece, "start": piece * most, "length": part})
     packed = part > 0
     number, offset, capacity = pack(part[packed], capacities)
     for name, values in (("bin_id", number + first_bin), ("bin_capacity", capacity), ("bin_offset", offset)):
@@ -109,7 +109,7 @@ def _pack_partition(capacities, lot_rows: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         next_bin, held, n = TaskContext.get().partitionId() << 40, [], 0
         for pdf in batches:
-            pdf["doc_id"] = pdf["doc_id"].astype("Int64")
+            pdf["doc_id"] = pdf["doc_id"].astype("Int64").mask(pdf["no_id"])
             while len(pdf):
                 take = pdf.iloc[:lot_rows - n]
                 pdf = pdf.iloc[len(take):]
@@ -130,6 +130,9 @@ def pack_documents(docs: DataFrame, length: Column | None = None, capacities=CAP
     number of words."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (n_words() if length is None else length)
                        .cast("long").alias("length"), F.monotonically_increasing_id().alias("at"))
+    # A null doc_id travels as a flag: pandas would turn a batch's ids into doubles.
     dealt = (rows.withColumn("order", F.xxhash64("doc_id", "length", "at")).repartition("order")
-             .sortWithinPartitions("order", "doc_id").select("doc_id", "length"))
+             .sortWithinPartitions("order", "doc_id")
+             .select(F.coalesce("doc_id", F.lit(0).cast("long")).alias("doc_id"), "length",
+                     F.col("doc_id").isNull().alias("no_id")))
     return dealt.mapInPandas(_pack_partition(tuple(capacities), lot_rows), SCHEMA)

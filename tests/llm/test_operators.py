@@ -98,6 +98,13 @@ def test_line_dedup_empty_and_null_ids(spark, empty):
     assert {(r.doc_id, r.n_dropped) for r in line_dedup.dedup_lines(same).collect()} == {(None, 0), (1, 0)}
 
 
+def test_line_dedup_ids_above_double_precision(spark):
+    ids = [2**53 + 1 + 2 * i for i in range(40)] + [2**63 - 1, -2**63 + 1]
+    rows = [(d, "a line of more than forty characters, for certain\nown line of %d" % d) for d in ids]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
+    assert {(r.doc_id, r.n_dropped) for r in got} == {(d, int(d != 2**63 - 1)) for d in ids}
+
+
 def test_cuckoo_filter_insert_delete():
     keys = [hashlib.md5(b"%d" % i).digest() for i in range(5000)]
     f = built(keys)
@@ -303,6 +310,13 @@ def test_packing(spark, docs, empty):
     assert lengths.sum() / total > 0.97
 
 
+def test_packing_ids_above_double_precision(spark):
+    ids = [2**53 + 1 + 2 * i for i in range(40)] + [2**63 - 1, -2**63 + 1, None, None, 0]
+    rows = spark.createDataFrame([(d, "a b c") for d in ids], "doc_id long, text string").coalesce(1)
+    got = packing.pack_documents(rows).collect()
+    assert Counter(r.doc_id for r in got) == Counter(ids) and all(r.length == 3 for r in got)
+
+
 def test_classifier_learns_and_walks_flat_trees(spark):
     r = np.random.default_rng(0)
     x = r.normal(size=(3000, 5))
