@@ -5,8 +5,8 @@ into sequences of several permitted lengths. Pieces go in descending length into
 the open bin with the least room that still holds them. Where none does, a new
 bin is opened with the permitted size that is expected to cost least for each
 packed word: its filling is foreseen by laying the largest remaining pieces that
-fit. At the end each bin is downsized to the smallest permitted length that
-holds its contents.
+fit, until none does. At the end each bin is downsized to the smallest permitted
+length that holds its contents.
 
 Pieces are packed in lots of ``LOT`` rows. Lots are cut from partitions ordered
 by a hash, so each is a fair sample of the lengths; a task holds one lot,
@@ -20,8 +20,9 @@ packed row by row. Further columns of the input do not matter.
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,6 @@ from strata.llm.common import n_words
 
 CAPACITIES = (512, 1024, 2048, 4096)
 LOT = 20_000
-LOOK = 24
 SCHEMA = ("doc_id long, piece int, start long, length int, bin_id long, bin_capacity int, bin_offset int")
 
 
@@ -43,20 +43,24 @@ def cost(capacity: int) -> float:
     return capacity * (1 + capacity / 16384)
 
 
-def _least_cost(length: int, waiting: list[int], first: int, capacities, price: Callable[[int], float]) -> int:
+def _least_cost(length: int, waiting: list[int], ahead: list[int], first: int, capacities,
+                price: Callable[[int], float]) -> int:
     """The capacity to open for a piece; ``waiting`` from ``first`` on are the
-    negated lengths of the pieces still to come, in descending length."""
+    negated lengths of the pieces still to come, in descending length, ``ahead[i]``
+    the total length of the pieces before ``i``. Pieces that follow each other are
+    laid in one step; what a step leaves is less than its last piece."""
     best, chosen = float("inf"), capacities[-1]
     for capacity in capacities:
         if capacity < length:
             continue
         room, at = capacity - length, first
-        for _ in range(LOOK):
+        while room:
             at = bisect_left(waiting, -room, at)
-            if at >= len(waiting) or room == 0:
+            if at >= len(waiting):
                 break
-            room += waiting[at]
-            at += 1
+            stop = bisect_right(ahead, ahead[at] + room, at) - 1
+            room -= ahead[stop] - ahead[at]
+            at = stop
         each = price(capacity) / (capacity - room)
         if each < best - 1e-12:
             best, chosen = each, capacity
@@ -69,7 +73,7 @@ def pack(lengths: np.ndarray, capacities=CAPACITIES, price: Callable[[int], floa
     capacities = sorted(capacities)
     order = np.argsort(-lengths, kind="stable")
     ordered = lengths[order].tolist()
-    waiting = [-x for x in ordered]
+    waiting, ahead = [-x for x in ordered], list(accumulate(ordered, initial=0))
     number, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
     used: list[int] = []
     room: list[tuple[int, int]] = []
@@ -78,7 +82,7 @@ def pack(lengths: np.ndarray, capacities=CAPACITIES, price: Callable[[int], floa
         if k < len(room):
             free, bin_ = room.pop(k)
         else:
-            free, bin_ = _least_cost(length, waiting, i + 1, capacities, price), len(used)
+            free, bin_ = _least_cost(length, waiting, ahead, i + 1, capacities, price), len(used)
             used.append(0)
         number[order[i]], offset[order[i]] = bin_, used[bin_]
         used[bin_] += length

@@ -310,6 +310,28 @@ def test_packing(spark, docs, empty):
     assert lengths.sum() / total > 0.97
 
 
+def test_packing_foresees_the_whole_filling():
+    def greedy(lengths, capacity):
+        room = capacity
+        for x in sorted(lengths, reverse=True):
+            room -= x if x <= room else 0
+        return capacity - room
+
+    r = np.random.default_rng(5)
+    tables = [[600] * 3 + [10] * 500] + [r.integers(1, high, n).tolist() for high, n in
+                                         ((5, 900), (40, 400), (700, 60), (4097, 30), (2, 300)) for _ in range(6)]
+    for price in (packing.cost, lambda c: 1.0, lambda c: float(c)):
+        for lengths in tables:
+            lengths = sorted(lengths, reverse=True)
+            each = [(price(c) / greedy(lengths, c), c) for c in packing.CAPACITIES if c >= lengths[0]]
+            want = next(c for x, c in each if x < min(each)[0] + 1e-12)
+            _, _, capacity = packing.pack(np.array(lengths), packing.CAPACITIES, price)
+            waiting, ahead = [-x for x in lengths], np.cumsum([0, *lengths]).tolist()
+            assert packing._least_cost(lengths[0], waiting, ahead, 1, packing.CAPACITIES, price) == want
+            assert capacity[0] <= want
+    assert packing.pack(np.array(tables[0]))[2][0] == 1024
+
+
 def test_packing_ids_above_double_precision(spark):
     ids = [2**53 + 1 + 2 * i for i in range(40)] + [2**63 - 1, -2**63 + 1, None, None, 0]
     rows = spark.createDataFrame([(d, "a b c") for d in ids], "doc_id long, text string").coalesce(1)
