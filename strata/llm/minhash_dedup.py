@@ -21,8 +21,9 @@ left out, and so are those whose signatures agree in so few places that the limi
 is ``SIGMAS`` standard errors away; the rest are compared on the full sets.
 
 Defined results: null or empty texts have n_shingles 0 and are their own
-component. Rows with a repeated doc_id are one node (the text with the smallest
-set digest stands for it; each row reports its own n_shingles). Rows with a null
+component. Rows with a repeated doc_id are one document with several sets: each
+set is compared, the sets of a document are linked with each other, and all its
+rows share one component (each row reports its own n_shingles). Rows with a null
 doc_id are linked with nothing: component null, kept true. Further columns of
 the input do not matter.
 """
@@ -210,14 +211,17 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     rows = materialise(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), _sketches(k)(text_of()).alias("s"))
         .select("doc_id", "s.*"), "sketches")
-    nodes = (rows.filter("doc_id is not null and n_shingles > 0").groupBy("doc_id")
-             .agg(F.min("digest").alias("digest")))
-    by_set = materialise(nodes.groupBy("digest").agg(F.min("doc_id").alias("node")), "sets")
+    repeated = _repeated(rows)
+    members = rows.filter("doc_id is not null and n_shingles > 0").select("doc_id", "digest")
+    # A set's node is its smallest doc_id; where that may have several sets, a number.
+    by_set = materialise(members.groupBy("digest").agg(F.min("doc_id").alias("least")).withColumn(
+        "node", F.monotonically_increasing_id() if repeated else F.col("least")), "sets")
+    of_least = by_set.withColumnRenamed("least", "doc_id")
 
     # Buckets with more than one set: (bucket, u, c), c the smallest member.
-    wide = (rows.join(by_set.withColumnRenamed("node", "doc_id"), ["doc_id", "digest"])
-            .select(F.col("doc_id").alias("node"), F.col("n_shingles").cast("int").alias("n"), "bands"))
-    if _repeated(rows):
+    wide = (rows.join(of_least, ["doc_id", "digest"])
+            .select("node", F.col("n_shingles").cast("int").alias("n"), "bands"))
+    if repeated:
         wide = wide.dropDuplicates(["node"])
     banded = wide.select(F.col("node").alias("u"), "n", F.explode("bands").alias("bucket"))
     centres = (banded.groupBy("bucket").agg(F.min(F.struct("u", "n")).alias("c"), F.max("u").alias("z"))
@@ -225,13 +229,19 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     buckets = materialise(banded.join(centres, "bucket"), "buckets")
 
     asked = buckets.select(F.col("u").alias("node")).distinct()
+    if repeated:
+        asked = asked.join(of_least, "node").select("doc_id").distinct()
+    else:
+        asked = asked.withColumnRenamed("node", "doc_id")
     # One plan at every size: the texts are the large side, the nodes grow with them.
-    sets = (docs.select(F.col("doc_id").cast("long").alias("node"), text_of().alias("text"))
-            .join(asked.hint("merge"), "node", "left_semi").select("node", _sets(k)("text").alias("s"))
-            .select("node", "s.*"))
-    if _repeated(rows):  # the node's own set, once
-        sets = (sets.join(by_set, ["node", "digest"], "left_semi")
+    sets = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+            .join(asked.hint("merge"), "doc_id", "left_semi").select("doc_id", _sets(k)("text").alias("s"))
+            .select("doc_id", "s.*"))
+    if repeated:  # each node's own set, once
+        sets = (sets.join(of_least, ["doc_id", "digest"])
                 .groupBy("node").agg(F.min("shingles").alias("shingles"), F.min("marks").alias("marks")))
+    else:
+        sets = sets.withColumnRenamed("doc_id", "node")
     sets = materialise(sets.select("node", "shingles", "marks"), "shingles")
     stars = (buckets.filter("u <> c").filter(f"100 * least(n, nc) >= {percent} * greatest(n, nc)")
              .select("u", F.col("c").alias("v")).distinct())
@@ -266,13 +276,28 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     alone = second.select("node", "component").join(first.select("node"), "node", "left_anti")
     final = by_set.join(whole.unionByName(alone), "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component_id"))
-    # A repeated doc_id has one digest among its rows; its rows share the node's component.
-    placed = nodes.join(final, "digest").select("doc_id", "component_id")
+    placed = members.join(final, "digest").select("doc_id", "component_id")
+    if repeated:
+        placed = _one_per_document(placed)
     return (rows.select("doc_id", "n_shingles").join(placed, "doc_id", "left")
             .withColumn("component_id", F.coalesce("component_id", "doc_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
+def _one_per_document(placed: DataFrame) -> DataFrame:
+    """(doc_id, component_id) with the components that a document's sets lie in
+    joined, named by their smallest doc_id."""
+    placed = materialise(placed.distinct(), "placed")
+    least = placed.groupBy("doc_id").agg(F.min("component_id").alias("v"))
+    links = (placed.join(least, "doc_id").filter("component_id <> v")
+             .select(F.col("component_id").alias("u"), "v").distinct())
+    joined = connected_components(links).select(F.col("node").alias("v"), "component")
+    of_doc = materialise(least.join(joined, "v", "left").select("doc_id", F.coalesce("component", "v").alias("c")),
+                         "documents")
+    return of_doc.join(of_doc.groupBy("c").agg(F.min("doc_id").alias("component_id")), "c").select(
+        "doc_id", "component_id")
+
+
 def _repeated(rows: DataFrame) -> bool:
     """Whether any doc_id has several rows; only then must rows be told apart by
     their sets."""
@@ -281,8 +306,15 @@ def _repeated(rows: DataFrame) -> bool:
 
 
 def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that stay, with the input's columns."""
-    stay = (near_duplicates(docs, k, percent).filter("kept and doc_id is not null")
-            .select(F.col("doc_id").alias("_stay")).distinct())
-    return docs.join(stay.hint("merge"), F.col("doc_id").cast("long") == F.col("_stay"), "left").filter(
-        "_stay is not null or doc_id is null").drop("_stay")
+    """The documents that stay, with the input's columns; of rows equal in doc_id
+    and text one stays."""
+    stay = materialise(near_duplicates(docs, k, percent).filter("kept and doc_id is not null")
+                       .groupBy(F.col("doc_id").alias("_stay")).agg(F.count(F.lit(1)).alias("_rows")), "stay")
+    out = docs.join(stay.hint("merge"), F.col("doc_id").cast("long") == F.col("_stay"), "left").filter(
+        "_stay is not null or doc_id is null")
+    if not stay.filter("_rows > 1").isEmpty():
+        several = F.coalesce(F.col("_rows") > 1, F.lit(False))
+        once = (out.filter(several).withColumn("_text", F.unhex(F.sha2(text_of(), 256)))
+                .dropDuplicates(["_stay", "_text"]).drop("_text"))
+        out = out.filter(~several).unionByName(once)
+    return out.drop("_stay", "_rows")

@@ -424,6 +424,20 @@ def test_near_duplicates_large_group_and_repeats(spark, monkeypatch, block):
     assert {r.doc_id for r in stay} == {r.doc_id for r in got if r.kept}
 
 
+def test_near_duplicates_of_every_text_of_a_document(spark):
+    texts = [" ".join("%s%d" % (c, i) for i in range(40)) for c in "abcdef"]
+    rows = [(7, t) for t in texts[:3]] + [(20 + i, t + " end") for i, t in enumerate(texts[:3])]
+    rows += [(5, texts[3]), (5, texts[4]), (5, texts[4]), (5, None), (5, ""), (6, texts[4]), (9, texts[5]),
+             (9, texts[5]), (3, texts[5] + " end"), (3, texts[5] + " end"), (None, texts[0]), (None, texts[0])]
+    docs = spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, n int").repartition(3)
+    got = minhash_dedup.near_duplicates(docs, 4).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc_id, r.component_id) for r in got} == {(7, 7), (20, 7), (21, 7), (22, 7), (5, 5), (6, 5), (9, 3),
+                                                         (3, 3), (None, None)}
+    stay = minhash_dedup.keep_one_of_each(docs, 4).collect()
+    assert Counter(r.doc_id for r in stay) == {7: 3, 5: 3, 3: 1, None: 2}
+
+
 def test_components(spark):
     r = random.Random(3)
     edges = [(r.randrange(400), r.randrange(400)) for _ in range(260)] + [(i, i + 1) for i in range(1000, 1100)]
