@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import functions as F
 
-from strata.llm import (ann, line_dedup, minhash_dedup, mixing, packing, quality_classifier, quality_rules, sharding,
-                        token_counts, token_files)
+from strata.llm import (ann, hard_negatives, line_dedup, merkle, minhash_dedup, mixing, packing, quality_classifier,
+                        quality_rules, sharding, token_counts, token_files, toxicity)
 from strata.llm.common import read_documents, work_path
 
 
@@ -56,6 +58,30 @@ def op10_minhash_dedup(spark, sf_dir):
     return minhash_dedup.near_duplicates(read_documents(spark, sf_dir, "doc_id", "text"), k=4)
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    manifest = merkle.write_manifest(read_documents(spark, sf_dir, *merkle.FIELDS), work_path(spark, "manifest"),
+                                     seen={"text": lowered}, where=tampered)
+    return manifest.audit().select(F.col("key").cast("long").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256",
+                                   "folded_root", "verified")
+
+
+def op12_toxicity(spark, sf_dir):
+    docs = read_documents(spark, sf_dir, "doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return toxicity.classify(docs, labels).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+def op13_hard_negatives(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
+    finite = ~F.exists("embedding", lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf")))
+    whole = F.transform(F.col("embedding").cast("array<double>"), lambda e: F.floor(e * 256).cast("double"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.filter(finite).select("vec_id", whole.alias("embedding"), moved.alias("label")),
+                               F.col("vec_id") % 50 == 0)
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -64,12 +90,17 @@ def pipeline(spark, sf_dir):
 
 Q = {f.__name__: f for f in (
     op1_line_dedup, op2_token_counts, op3_nearest_neighbours, op4_sharding, op5_best_fit_packing, op6_quality_rules,
-    op7_token_files, op8_mixing, op9_quality_classifier, op10_minhash_dedup, pipeline)}
+    op7_token_files, op8_mixing, op9_quality_classifier, op10_minhash_dedup, op11_merkle_manifest,
+    op12_toxicity, op13_hard_negatives, pipeline)}
 
 _WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}) || ':' || {0} END"
+_FIELDS = " || ".join(_FIELD.format(c) for c in ("d", "s", "lang", "n")) + " || " + _FIELD.format("{text}")
+_LEFT, _RIGHT = "array_to_string(ds[1:i % 8], '')", "array_to_string(ds[i % 8 + 2:], '')"
+
 SQL = {
     "op1_line_dedup": f"""
 WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
@@ -123,4 +154,48 @@ edge AS (SELECT u, v FROM link UNION ALL SELECT v, u FROM link),
 reach(d, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.d, edge.v FROM reach JOIN edge ON edge.u = reach.r)
 SELECT d AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r) AS component_id, min(r) = d AS kept
 FROM reach LEFT JOIN n ON n.doc_id = d GROUP BY d""",
+    "op11_merkle_manifest": rf"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
+                         CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+typed AS (SELECT doc_id, lang, CAST(doc_id AS VARCHAR) AS d, source AS s, CAST(n_chars AS VARCHAR) AS n, text AS x,
+                 {_LOWER.format("text")} AS y FROM documents),
+hashed AS (SELECT doc_id, lang, d, sha256({_FIELDS.format(text="x")}) AS leaf, sha256({_FIELDS.format(text="y")}) AS low,
+                  coalesce(xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(d, ''),
+                    lambda c: ascii(c)::BIGINT)), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c // 256))) % 3 = 0, false) AS hit
+           FROM typed, crc),
+placed AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, leaf, CASE WHEN hit THEN low ELSE leaf END AS seen,
+                  dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY lang) AS n,
+                  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM hashed),
+node(tree, level, i, n, d) AS (SELECT tree, 0, i, n, leaf FROM placed UNION ALL
+  SELECT tree, level + 1, i // 8, (n + 7) // 8, sha256(string_agg(d, '' ORDER BY i)) FROM node WHERE n > 1
+  GROUP BY tree, level, i // 8, n),
+sub AS MATERIALIZED (SELECT tree, d, count(*) OVER () AS n FROM node WHERE n = 1),
+top(level, i, n, d) AS (SELECT 0, tree, n, d FROM sub UNION ALL
+  SELECT level + 1, i // 8, (n + 7) // 8, sha256(string_agg(d, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY level, i // 8, n),
+run AS MATERIALIZED (SELECT tree, level, i // 8 AS k, list(d ORDER BY i) AS ds FROM node GROUP BY ALL),
+top_run AS MATERIALIZED (SELECT level, i // 8 AS k, list(d ORDER BY i) AS ds FROM top GROUP BY ALL),
+fold(rid, tree, level, i, n, cur, sib) AS (SELECT rid, tree, 0, i, n, seen, '' FROM placed UNION ALL
+  SELECT rid, f.tree, f.level + 1, i // 8, (n + 7) // 8, sha256({_LEFT} || cur || {_RIGHT}), sib || {_LEFT} || {_RIGHT}
+  FROM fold f JOIN run r ON r.tree = f.tree AND r.level = f.level AND r.k = i // 8 WHERE n > 1),
+up(rid, level, i, n, cur, sib) AS (SELECT rid, 0, fold.tree, sub.n, cur, sib FROM fold JOIN sub ON sub.tree = fold.tree
+  WHERE fold.n = 1 UNION ALL
+  SELECT rid, u.level + 1, i // 8, (n + 7) // 8, sha256({_LEFT} || cur || {_RIGHT}), sib || {_LEFT} || {_RIGHT}
+  FROM up u JOIN top_run r ON r.level = u.level AND r.k = i // 8 WHERE n > 1)
+SELECT doc_id, leaf, sub.d AS subroot, top.d AS root, sha256(sib) AS proof_sha256, cur AS folded_root, cur = top.d AS verified
+FROM placed JOIN up USING (rid) JOIN sub ON sub.tree = placed.tree, top WHERE up.n = 1 AND top.n = 1""",
+    "op13_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding::DOUBLE[] AS x
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+ok AS (SELECT vec_id, label, list_transform(x, lambda e: floor(256 * e)) AS x FROM v
+       WHERE len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+pairs AS MATERIALIZED (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike,
+                              list_inner_product(a.x, c.x)::BIGINT AS score
+                       FROM ok a JOIN ok c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+pos AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE alike
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+FROM pos JOIN pairs USING (anchor_id)
+WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3""",
 }

@@ -28,4 +28,4 @@ def test_query_matches_sql(spark, name):
 def test_every_dealt_operator_is_registered():
     assert [n for n in queries.Q if n.startswith("op")] == sorted(
         (n for n in queries.Q if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0]))
-    assert len(queries.Q) == 11 and set(queries.SQL) < set(queries.Q)
+    assert len(queries.Q) == 14 and set(queries.SQL) < set(queries.Q)
