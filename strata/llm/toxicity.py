@@ -2,9 +2,9 @@
 n-grams and skip-grams.
 
 A text's features are its distinct words, word stems (the first ``STEM`` letters
-of longer words, for inflected languages), pairs of neighbours and pairs with one
-or two words between them, hashed to ``DIMS`` coordinates; a feature is there or
-not, so long texts weigh no more than short ones. Each coordinate has its own
+of longer words, for inflected languages), pairs of neighbours and pairs with a
+word between them, hashed to ``DIMS`` coordinates; a feature is there or not, so
+long texts weigh no more than short ones. Each coordinate has its own
 learning rate, and L1 keeps most weights at zero: the fitted weights are the few
 (coordinate, value) pairs that remain, a megabyte or so in all.
 
@@ -38,7 +38,7 @@ from strata.llm.common import materialise, text_of
 
 MAX_TRAIN_ROWS, SHARD_ROWS, EPOCHS = 20_000, 5_000, 4
 THRESHOLD = 0.7
-DIM_BITS, STEM, GAPS = 20, 4, (1, 2, 3)
+DIM_BITS, STEM, GAPS = 20, 4, (1, 2)
 DIMS = 1 << DIM_BITS
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 3.0, 0.1
 _EDGE = re.compile(r"^\W+|\W+$")
@@ -108,8 +108,8 @@ class Ftrl:
         self.n[at] += g * g
 
 
-def _epoch(state: Ftrl):
-    """One pass over each shard; rows come sorted by shard, a shard in one partition."""
+def _epoch(z: np.ndarray, n: np.ndarray):
+    """One pass over each shard; a shard's rows stand together."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, mine, touched = None, None, None
@@ -117,7 +117,8 @@ def _epoch(state: Ftrl):
         def out() -> pd.DataFrame:
             at = np.flatnonzero(touched)
             return pd.DataFrame({"shard": [now], "at": [at.astype(np.int32).tobytes()],
-                                 "z": [mine.z[at].tobytes()], "n": [mine.n[at].tobytes()]})
+                                 "z": [mine.z[at].astype(np.float32).tobytes()],
+                                 "n": [mine.n[at].astype(np.float32).tobytes()]})
 
         for pdf in batches:
             for shard, y, packed in zip(pdf["shard"], pdf["y"], pdf["features"], strict=True):
@@ -125,7 +126,7 @@ def _epoch(state: Ftrl):
                     if now is not None:
                         yield out()
                     now, mine, touched = shard, Ftrl(), np.zeros(DIMS + 1, bool)
-                    mine.z[:], mine.n[:] = state.z, state.n
+                    mine.z[:], mine.n[:] = z, n
                 at = np.append(np.frombuffer(packed, np.int32), np.int32(DIMS))
                 mine.learn(at, y)
                 touched[at] = True
@@ -147,25 +148,29 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train_ro
              .agg((F.avg(label) >= 0.5).cast("double").alias("y")).filter(~held_out()))
     chosen = (known.join(docs.select("doc_id"), "doc_id", "left_semi")
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train_rows))
-    rows = materialise(docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
-                       .select("doc_id", "y", features_of("text").alias("features"))
-                       .groupBy("doc_id").agg(F.min("features").alias("features"), F.min("y").alias("y")), "toxic-sample")
-    n, positives = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0.0))).first()
+    rows = (docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
+            .select("doc_id", "y", features_of("text").alias("features"))
+            .groupBy("doc_id").agg(F.min("features").alias("features"), F.min("y").alias("y")))
+    n, positives = chosen.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0.0))).first()
     if positives in (0.0, float(n)):
         return {"constant": (positives + 1) / (n + 1)}
     shards = -(-n // SHARD_ROWS)
-    order = F.xxhash64("doc_id", F.lit("order"))
-    dealt = (rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
-             .repartition(shards, "shard").sortWithinPartitions("shard", order, "doc_id").select("shard", "y", "features"))
+    # A shard is a written file, so epochs shuffle nothing; a file that is read in pieces is as many shards.
+    dealt = materialise(
+        rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")).repartition(shards, "shard")
+        .sortWithinPartitions("shard", F.xxhash64("doc_id", F.lit("order")), "doc_id").select("shard", "y", "features"),
+        "toxic-sample")
     state = Ftrl()
     for _ in range(EPOCHS):
-        made = dealt.mapInPandas(_epoch(state), "shard int, at binary, z binary, n binary").collect()
+        epoch = _epoch(state.z.astype(np.float32), state.n.astype(np.float32))
+        made = dealt.mapInPandas(epoch, "shard int, at binary, z binary, n binary").collect()
         sum_z, sum_n, times = np.zeros(DIMS + 1), np.zeros(DIMS + 1), np.zeros(DIMS + 1)
-        for r in sorted(made, key=lambda r: r["shard"]):
+        for r in sorted(made, key=lambda r: (r["shard"], len(r["at"]), r["z"])):
             at = np.frombuffer(r["at"], np.int32)
-            sum_z[at] += np.frombuffer(r["z"])
-            sum_n[at] += np.frombuffer(r["n"])
+            sum_z[at] += np.frombuffer(r["z"], np.float32)
+            sum_n[at] += np.frombuffer(r["n"], np.float32)
             times[at] += 1
+        del made
         seen = times > 0
         state.z[seen], state.n[seen] = sum_z[seen] / times[seen], sum_n[seen] / times[seen]
     weights = state.weights(np.arange(DIMS + 1))
