@@ -29,12 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 from xxhash import xxh3_64_intdigest
 
 from strata.llm.common import materialise, text_of
+from strata.llm.tokenizers_ import in_slices
 
 MAX_TRAIN_ROWS, SHARD_ROWS, EPOCHS = 20_000, 5_000, 4
 THRESHOLD = 0.7
@@ -70,23 +73,42 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return ((h ^ (h >> np.uint64(29))) * _A) >> np.uint64(64 - DIM_BITS)
 
 
-def features(text: str | None, words: _Hashes, stems: _Hashes) -> np.ndarray:
-    """Sorted distinct coordinates of one whole text."""
-    tokens = (text or "").split()
-    h = np.fromiter(map(words.__getitem__, tokens), np.uint64, len(tokens))
-    s = np.fromiter(map(stems.__getitem__, tokens), np.uint64, len(tokens))
-    h = h[h > 0]
-    parts = [h, s[s > 0]]
+def occurrences(texts: list[str], words: _Hashes, stems: _Hashes) -> tuple[np.ndarray, np.ndarray]:
+    """(text's number, coordinate) of all features of whole texts, repeats too.
+    Each different word of the texts is looked up once."""
+    cut = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
+    coded = cut.flatten().dictionary_encode()
+    known, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    doc = np.repeat(np.arange(len(texts)), np.diff(cut.offsets.to_numpy()))
+    h, s = (np.fromiter(map(x.__getitem__, known), np.uint64, len(known))[which] for x in (words, stems))
+    docs, hashes = [doc[s > 0], doc[h > 0]], [s[s > 0], h[h > 0]]
+    doc, h = docs[1], hashes[1]
     for gap in GAPS:
-        if len(h) > gap:
-            parts.append((h[:-gap] * _A) ^ (h[gap:] + _APART[gap]))
-    return np.unique(_mixed(np.concatenate(parts))).astype(np.int32)
+        at = np.flatnonzero(doc[:-gap] == doc[gap:])
+        docs.append(doc[at])
+        hashes.append((h[at] * _A) ^ (h[at + gap] + _APART[gap]))
+    return np.concatenate(docs), _mixed(np.concatenate(hashes)).astype(np.int64)
+
+
+def features(texts: list[str], words: _Hashes, stems: _Hashes) -> list[np.ndarray]:
+    """Sorted distinct coordinates of each whole text."""
+    doc, at = occurrences(texts, words, stems)
+    both = np.unique(doc << DIM_BITS | at)
+    return np.split((both & (DIMS - 1)).astype(np.int32), np.searchsorted(both >> DIM_BITS, np.arange(1, len(texts))))
+
+
+def margins(texts: list[str], weights: np.ndarray, words: _Hashes, stems: _Hashes) -> np.ndarray:
+    """Sum of the weights of each text's distinct features; few have a weight."""
+    doc, at = occurrences(texts, words, stems)
+    heavy = np.flatnonzero(weights[at])
+    both = np.unique(doc[heavy] << DIM_BITS | at[heavy])
+    return np.bincount(both >> DIM_BITS, weights[both & (DIMS - 1)], len(texts))
 
 
 @F.pandas_udf(BinaryType())
 def features_of(texts: pd.Series) -> pd.Series:
     words, stems = _Hashes(False), _Hashes(True)
-    return pd.Series([features(t, words, stems).tobytes() for t in texts], dtype=object)
+    return pd.Series([x.tobytes() for part in in_slices(texts) for x in features(part, words, stems)], dtype=object)
 
 
 class Ftrl:
@@ -190,8 +212,8 @@ def with_scores(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> D
             if "constant" in model:
                 yield pd.Series(np.full(len(texts), model["constant"]))
             else:
-                margins = np.array([weights[features(t, words, stems)].sum() for t in texts], float) + model["base"]
-                yield pd.Series(1 / (1 + np.exp(-margins)))
+                made = [margins(part, weights, words, stems) for part in in_slices(texts)]
+                yield pd.Series(1 / (1 + np.exp(-np.concatenate([*made, np.zeros(0)]) - model["base"])))
 
     return (docs.withColumn("score", score_of(text_of()))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
