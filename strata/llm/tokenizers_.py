@@ -1,10 +1,10 @@
-"""Exact tokenisation of whole texts with a memory of text chunks.
+"""Exact tokenisation of whole texts with a memory of their parts.
 
 Both public tokenizers used here encode the parts of a text between blanks
 independently of each other: the word tokenizer drops white space before its
 merges, and no piece of the SentencePiece model holds its blank mark after
 another character (checked when the model is loaded). So the ids of a text are
-the ids of its chunks, one after the other, and chunks seen before in a task
+the ids of its parts, one after the other, and parts seen before in a task
 need not be encoded again. Texts outside these rules go through the library
 whole. The memory is bounded.
 """
@@ -19,8 +19,6 @@ from array import array
 from itertools import islice
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 
 MEMORY = 600_000
 _FILES: dict[tuple, object] = {}
@@ -75,23 +73,43 @@ class _Memory:
         return out
 
 
+class _Parts(dict):
+    """Ids (as bytes) of parts of words, in two generations: when the new one is
+    full, the old one is forgotten. Parts in use move to the new one."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find, self.old = find, {}
+
+    def __missing__(self, part: str) -> bytes:
+        if len(self) > MEMORY:
+            self.old = dict(self)
+            self.clear()
+        out = self.old.get(part)
+        out = self[part] = self.find(part) if out is None else out
+        return out
+
+
 class WordTokenizer:
     """A tokenizers .json file; special tokens are not added, their strings in
     a text are read as the library does by default.
 
-    A chunk of ASCII and Latin-1 letters is cut by the file's own pattern over the
-    lower-cased chunk, and each part goes straight to the library's model, whose
+    A text of ASCII and Latin-1 letters is cut by the file's own pattern over the
+    lower-cased text, and each part goes straight to the library's model, whose
     merges cannot cross parts. (For these characters NFC changes nothing and lower
     case is one to one; their byte marks come from the library's byte-level step.)
-    Other chunks, and those with the start of a special string, go through all of
-    the library."""
+    Other texts, and those with the start of a special string, are cut at ASCII
+    white space, and their chunks go through all of the library if need be."""
 
     # The file's pattern, its classes cut down to the plain characters.
     PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\x00-\x20\x7fa-z0-9ß-öø-ÿ]+")
     PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
+    PLAIN_TEXT = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
+    WHITE = re.compile("[\t-\r ]")
     # Normaliser and pattern of a file to which this applies.
     SHAPE = (["NFC", "Replace", "Lowercase"],
              r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    PIECE = 1 << 20
 
     def __init__(self, name: str):
         from tokenizers import Tokenizer
@@ -104,12 +122,15 @@ class WordTokenizer:
         norm, pre = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
         steps = [x.get("type") for x in norm.get("normalizers", [])]
         cuts = [x.get("pattern", {}).get("Regex") for x in pre.get("pretokenizers", [])][:1]
-        self.by_part = (steps, cuts) == (self.SHAPE[0], [self.SHAPE[1]])
         # Only a tokenizer that drops white space is free of what stands around a chunk.
-        self.by_chunk = self.by_part
-        self.model, self.chunks = self.library.model, _Memory(b"")
+        self.by_part = (steps, cuts) == (self.SHAPE[0], [self.SHAPE[1]])
         step = ByteLevel(add_prefix_space=False, use_regex=False)
         self.marks = {c: step.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        self.model, self.parts = self.library.model, _Parts(self._part)
+
+    def _part(self, part: str) -> bytes:
+        made = self.model.tokenize(part if part.isascii() else part.translate(self.marks))
+        return array("I", [t.id for t in made]).tobytes()
 
     def _library(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -118,38 +139,36 @@ class WordTokenizer:
             out += [array("I", e.ids).tobytes() for e in made]
         return out
 
-    def _parts(self, chunk: str) -> list[str] | None:
-        """Parts of a plain chunk as the model reads them; None for other chunks."""
-        if chunk.isascii():
-            if chunk.isalpha():
-                return [chunk.lower()]
-            if "<|" not in chunk and self.PLAIN.fullmatch(chunk):
-                return self.PARTS.findall(chunk.lower())
-        elif "<|" not in chunk and self.PLAIN.fullmatch(chunk):
-            return [x.translate(self.marks) for x in self.PARTS.findall(chunk.lower())]
-        return None
-
-    def _find(self, chunks: list[str]) -> list[bytes]:
-        cut, model = [self._parts(c) for c in chunks], self.model.tokenize
-        whole = iter(self._library([c for c, parts in zip(chunks, cut, strict=True) if parts is None]))
-        return [next(whole) if parts is None else array("I", [t.id for x in parts for t in model(x)]).tobytes()
-                for parts in cut]
+    def _by_parts(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, self.PARTS.findall(text.lower())))
+
+    def _pieces(self, text: str):
+        """A text cut at white space, so that few parts are held at once."""
+        at = 0
+        while len(text) - at > self.PIECE:
+            stop = self.WHITE.search(text, at + self.PIECE)
+            if not stop:
+                break
+            yield text[at:stop.start()]
+            at = stop.start()
+        yield text[at:]
+
+    def _chunked(self, text: str) -> bytes:
+        chunks = self.WHITE.split(text)
+        plain = ["<|" not in c and self.PLAIN.fullmatch(c) is not None for c in chunks]
+        rest = iter(self._library([c for c, p in zip(chunks, plain, strict=True) if not p]))
+        return b"".join([self._by_parts(c) if p else next(rest) for c, p in zip(chunks, plain, strict=True)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text. Chunks are cut at ASCII white space; each different
-        one is looked up once, and its ids are then copied to all its places."""
-        if not self.by_chunk:
+        """Ids of each text."""
+        if not self.by_part:
             return [np.frombuffer(x, np.uint32) for x in self._library(texts)]
-        cut = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
-        words = cut.flatten().dictionary_encode()
-        values = self.chunks.values(words.dictionary.to_pylist(), self._find)
-        flat = np.frombuffer(b"".join(values), np.uint32)
-        n_ids = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        which = words.indices.to_numpy()
-        n = n_ids[which]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        places = np.arange(ends[-1]) + np.repeat((np.cumsum(n_ids) - n_ids)[which] - ends[:-1], n)
-        return np.split(flat[places], ends[cut.offsets.to_numpy()][1:-1]) if texts else []
+        out = []
+        for text in texts:
+            plain = "<|" not in text and self.PLAIN_TEXT.fullmatch(text)
+            make = self._by_parts if plain else self._chunked
+            out.append(np.frombuffer(b"".join([make(x) for x in self._pieces(text)]), np.uint32))
+        return out
 
     def count(self, texts: list[str]) -> list[int]:
         return [len(x) for x in self.encode(texts)]

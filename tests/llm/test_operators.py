@@ -149,6 +149,15 @@ def test_chunked_tokenizers_equal_the_library():
         assert piece.count(texts) == [len(x) for x in piece.library.encode(texts, num_threads=1)]
 
 
+def test_megabyte_texts_equal_the_library(monkeypatch):
+    word = load("word_bpe_49k.json")
+    texts = ["Some words, é 12 and <|x\t" * 60_000, "x" * 1_200_000 + " y", ("Über's alles. \n" * 90_000)]
+    want = [e.ids for e in word.library.encode_batch(texts, add_special_tokens=False)]
+    for piece in (1 << 20, 1000):
+        monkeypatch.setattr(type(word), "PIECE", piece)
+        assert [x.tolist() for x in word.encode(texts)] == want
+
+
 def test_simple8b_round_trip():
     r = np.random.default_rng(2)
     for n in (0, 1, 7, 500, 5000):
