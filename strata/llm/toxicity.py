@@ -6,7 +6,7 @@ of longer words, for inflected languages), pairs of neighbours and pairs with a
 word between them, hashed to ``DIMS`` coordinates; a feature is there or not, so
 long texts weigh no more than short ones. Each coordinate has its own
 learning rate, and L1 keeps most weights at zero: the fitted weights are the few
-(coordinate, value) pairs that remain, a megabyte or so in all.
+(coordinate, value) pairs that remain, kilobytes in all.
 
 The fit takes a bounded sample of labelled rows (``max_train_rows``, chosen by a
 hash of doc_id, so reruns agree), in shards of ``SHARD_ROWS``: in each epoch every
@@ -24,63 +24,54 @@ name of an output column is replaced.
 
 from __future__ import annotations
 
-import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
-from xxhash import xxh3_64_intdigest
 
 from strata.llm.common import materialise, text_of
 from strata.llm.tokenizers_ import in_slices
 
 MAX_TRAIN_ROWS, SHARD_ROWS, EPOCHS = 20_000, 5_000, 4
 THRESHOLD = 0.7
-DIM_BITS, STEM, GAPS = 20, 4, (1, 2)
+DIM_BITS, STEM, GAPS = 19, 4, (1, 2)
 DIMS = 1 << DIM_BITS
-ALPHA, BETA, L1, L2 = 2.0, 1.0, 3.0, 0.1
-_EDGE = re.compile(r"^\W+|\W+$")
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.1
+EDGE = string.punctuation + "«»“”‘’„…¡¿–—·"  # not part of a word at its ends
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_STEMS = np.uint64(0xD6E8FEB86659FD93)
 _APART = np.arange(max(GAPS) + 1, dtype=np.uint64) * _B  # tells pairs of different gaps apart
 
 
-class _Hashes(dict):
-    """Hash of a word, or of its stem, remembered within a task (bounded); 0 for
-    words without letters or digits, and for words that have no stem."""
-
-    def __init__(self, stem: bool):
-        super().__init__()
-        self.stem = stem
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        bare = _EDGE.sub("", word).lower()
-        if self.stem:
-            bare = bare[:STEM] + "*" if len(bare) > STEM else ""
-        out = self[word] = xxh3_64_intdigest(bare.encode("utf-8", "surrogatepass")) | 1 if bare else 0
-        return out
-
-
 def _mixed(h: np.ndarray) -> np.ndarray:
     """The coordinates of hashes."""
     h = (h ^ (h >> np.uint64(32))) * _B
     return ((h ^ (h >> np.uint64(29))) * _A) >> np.uint64(64 - DIM_BITS)
 
 
-def occurrences(texts: list[str], words: _Hashes, stems: _Hashes) -> tuple[np.ndarray, np.ndarray]:
+def _hashes(words: pa.Array) -> np.ndarray:
+    """Hash of each word, 0 for an empty one."""
+    out = hash_array(words.to_numpy(zero_copy_only=False).astype(object), categorize=False) | np.uint64(1)
+    out[pc.equal(words, "").to_numpy(zero_copy_only=False)] = 0
+    return out
+
+
+def occurrences(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(text's number, coordinate) of all features of whole texts, repeats too.
-    Each different word of the texts is looked up once."""
-    cut = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
-    coded = cut.flatten().dictionary_encode()
-    known, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    Each different word of the texts is hashed once."""
+    cut = pc.utf8_split_whitespace(pc.utf8_lower(pa.array(texts, pa.large_string())))
+    coded = pc.utf8_trim(cut.flatten(), EDGE).dictionary_encode()
+    words, which = coded.dictionary, coded.indices.to_numpy()
+    stems = pc.if_else(pc.greater(pc.utf8_length(words), STEM), pc.utf8_slice_codeunits(words, 0, STEM), "")
     doc = np.repeat(np.arange(len(texts)), np.diff(cut.offsets.to_numpy()))
-    h, s = (np.fromiter(map(x.__getitem__, known), np.uint64, len(known))[which] for x in (words, stems))
+    h, s = _hashes(words)[which], (_hashes(stems) * _STEMS)[which]
     docs, hashes = [doc[s > 0], doc[h > 0]], [s[s > 0], h[h > 0]]
     doc, h = docs[1], hashes[1]
     for gap in GAPS:
@@ -90,16 +81,16 @@ def occurrences(texts: list[str], words: _Hashes, stems: _Hashes) -> tuple[np.nd
     return np.concatenate(docs), _mixed(np.concatenate(hashes)).astype(np.int64)
 
 
-def features(texts: list[str], words: _Hashes, stems: _Hashes) -> list[np.ndarray]:
+def features(texts: list[str]) -> list[np.ndarray]:
     """Sorted distinct coordinates of each whole text."""
-    doc, at = occurrences(texts, words, stems)
+    doc, at = occurrences(texts)
     both = np.unique(doc << DIM_BITS | at)
     return np.split((both & (DIMS - 1)).astype(np.int32), np.searchsorted(both >> DIM_BITS, np.arange(1, len(texts))))
 
 
-def margins(texts: list[str], weights: np.ndarray, words: _Hashes, stems: _Hashes) -> np.ndarray:
+def margins(texts: list[str], weights: np.ndarray) -> np.ndarray:
     """Sum of the weights of each text's distinct features; few have a weight."""
-    doc, at = occurrences(texts, words, stems)
+    doc, at = occurrences(texts)
     heavy = np.flatnonzero(weights[at])
     both = np.unique(doc[heavy] << DIM_BITS | at[heavy])
     return np.bincount(both >> DIM_BITS, weights[both & (DIMS - 1)], len(texts))
@@ -107,8 +98,7 @@ def margins(texts: list[str], weights: np.ndarray, words: _Hashes, stems: _Hashe
 
 @F.pandas_udf(BinaryType())
 def features_of(texts: pd.Series) -> pd.Series:
-    words, stems = _Hashes(False), _Hashes(True)
-    return pd.Series([x.tobytes() for part in in_slices(texts) for x in features(part, words, stems)], dtype=object)
+    return pd.Series([x.tobytes() for part in in_slices(texts) for x in features(part)], dtype=object)
 
 
 class Ftrl:
@@ -205,14 +195,14 @@ def with_scores(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> D
 
     @F.pandas_udf("double")
     def score_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words, stems, weights = _Hashes(False), _Hashes(True), np.zeros(DIMS)
+        weights = np.zeros(DIMS)
         if "constant" not in model:
             weights[model["at"]] = model["weight"]
         for texts in batches:
             if "constant" in model:
                 yield pd.Series(np.full(len(texts), model["constant"]))
             else:
-                made = [margins(part, weights, words, stems) for part in in_slices(texts)]
+                made = [margins(part, weights) for part in in_slices(texts)]
                 yield pd.Series(1 / (1 + np.exp(-np.concatenate([*made, np.zeros(0)]) - model["base"])))
 
     return (docs.withColumn("score", score_of(text_of()))
