@@ -37,19 +37,21 @@ def encode_words(ids: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.uint64)
     ids = ids.astype(np.uint64)
     width = np.frexp(ids.astype(np.float64))[1].astype(np.int8)  # bit lengths; a rounded-up one is still enough
-    at = np.arange(n, dtype=np.int32)
     selector = np.full(n, 15, np.int8)
-    for s in range(len(COUNTS) - 2, -1, -1):  # larger counts overwrite smaller ones
-        count, wide = COUNTS[s], width > BITS[s]
-        if n < count or n - np.count_nonzero(wide) < count:
-            break  # larger counts of narrower ids fit nowhere either
-        stop = np.where(wide, at, n)  # the next id that is too wide
-        stop = np.minimum.accumulate(stop[::-1])[::-1]
-        fits = stop - at >= count
-        if not fits.any():
+    wide, span = width, 1  # the widest of the ``span`` ids from each place on
+    for s in range(len(COUNTS) - 2, -1, -1):
+        count = int(COUNTS[s])
+        if n < count:
             break
-        selector[fits] = s
-    step = COUNTS[selector].tolist()
+        while span < count:
+            step = min(span, count - span)
+            wide = np.maximum(wide[:-step], wide[step:])
+            span += step
+        fits = wide <= BITS[s]
+        if not fits.any():
+            break  # larger counts of narrower ids fit nowhere either
+        selector[:len(fits)] -= fits  # who fits a larger count fits all smaller ones, with more bits each
+    step = COUNTS.astype(np.uint8)[selector].tobytes()
     starts, i = [], 0
     while i < n:
         starts.append(i)

@@ -101,8 +101,9 @@ class WordTokenizer:
     Other texts, and those with the start of a special string, are cut at ASCII
     white space, and their chunks go through all of the library if need be."""
 
-    # The file's pattern, its classes cut down to the plain characters.
-    PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\x00-\x20\x7fa-z0-9ß-öø-ÿ]+")
+    # The file's pattern, its classes cut down to the plain characters
+    # (runs of letters first: no other alternative starts with one).
+    PARTS = re.compile("[a-zß-öø-ÿ]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\x00-\x20\x7fa-z0-9ß-öø-ÿ]+")
     PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
     PLAIN_TEXT = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
     WHITE = re.compile("[\t-\r ]")

@@ -98,7 +98,7 @@ def margins(texts: list[str], weights: np.ndarray) -> np.ndarray:
 
 @F.pandas_udf(BinaryType())
 def features_of(texts: pd.Series) -> pd.Series:
-    return pd.Series([x.tobytes() for part in in_slices(texts) for x in features(part)], dtype=object)
+    return pd.Series([x.tobytes() for part in in_slices(texts, 2_000_000) for x in features(part)], dtype=object)
 
 
 class Ftrl:
@@ -202,7 +202,7 @@ def with_scores(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> D
             if "constant" in model:
                 yield pd.Series(np.full(len(texts), model["constant"]))
             else:
-                made = [margins(part, weights) for part in in_slices(texts)]
+                made = [margins(part, weights) for part in in_slices(texts, 2_000_000)]
                 yield pd.Series(1 / (1 + np.exp(-np.concatenate([*made, np.zeros(0)]) - model["base"])))
 
     return (docs.withColumn("score", score_of(text_of()))
