@@ -107,6 +107,63 @@ def scd2_from_history(history: DataFrame, keys, attrs: list[str], date_col: str)
             .drop(date_col))
 
 
+def apply_image(table: DataFrame | None, images: DataFrame | None, image: DataFrame, keys, attrs: list[str] | None,
+                date: str, date_col: str) -> DataFrame:
+    """C11/C12 for images in any order: the next version table after the image of
+    ``date``, equal to ``scd2_from_history`` over all images so far.
+
+    ``images`` holds the earlier images with their ``date_col`` (the landed
+    dimension, partitioned by it), an image of the same date being replaced. Keys
+    whose image says what the version in force on ``date`` says are left alone. Of
+    the others, those without a later image take the ordinary step; the rest came
+    late, and only their versions are built anew from their own images. The later
+    images are found by a partition filter. Columns that are not tracked keep the
+    values of the image that opened the version.
+    """
+    keys = column_list(keys)
+    attrs = tracked(image, keys, attrs)
+    if table is None or images is None:
+        return apply_scd2(table, image, keys, attrs, date)
+    d = F.lit(date).cast("date")
+    src = image.withColumn("scd_hash", scd_hash(attrs))
+    in_force = dim_as_of(table, date).select(*keys, F.col("scd_hash").alias("__in_force"))
+    changed = src.join(in_force, keys, "left").where(~F.col("scd_hash").eqNullSafe(F.col("__in_force"))).select(*keys)
+    at = F.col(date_col).cast("date")
+    # An image of this date opened a version that the new one replaces: rebuilt as well.
+    opened = table.where(F.col("effective_from") == d).select(*keys)
+    since = images.where(at > d).select(*keys).unionByName(opened).distinct()
+    late = changed.join(since, keys, "left_semi")
+    own = images.where(at != d).join(late, keys, "left_semi").unionByName(
+        image.join(late, keys, "left_semi").withColumn(date_col, d.cast(images.schema[date_col].dataType)))
+    rebuilt = scd2_from_history(own, keys, attrs, date_col)
+    on_time = changed.join(since, keys, "left_anti")
+    rest = table.join(late, keys, "left_anti")
+    step = apply_scd2(rest, image.join(on_time, keys, "left_semi"), keys, attrs, date)
+    return step.unionByName(rebuilt.select(*step.columns))
+
+
+def restate_keys(fact: DataFrame, old: DataFrame, new: DataFrame, fact_key: str, date_col: str, short: str,
+                 dim_key: str | None = None) -> DataFrame:
+    """E01 after versions changed: the fact rows that lie in a version interval
+    that is new or has moved, with the surrogate keys of the new versions; all
+    other rows keep theirs and are not read beyond the key and the date.
+
+    An interval is the same when key, start, end and surrogate key agree, so the
+    rows of keys with unchanged versions never enter the join.
+    """
+    dim_key, sk = dim_key or fact_key, f"{short}_sk"
+    cols = [dim_key, "effective_from", "effective_to", sk]
+    moved = new.select(*cols).exceptAll(old.select(*cols))
+    gone = old.select(*cols).exceptAll(new.select(*cols))
+    # A row needs a new key when it lies in an interval that is gone or in one that is new.
+    spans = (moved.unionByName(gone).groupBy(F.col(dim_key).alias("__id"))
+             .agg(F.min("effective_from").alias("__a"), F.max("effective_to").alias("__z")))
+    d = F.col(date_col)
+    hit = fact.join(spans, (F.col(fact_key) == F.col("__id")) & (d >= F.col("__a")) & (d < F.col("__z")), "left_semi")
+    now = effective_join(hit.withColumnRenamed(sk, "__old_sk"), new, fact_key, date_col, short, dim_key)
+    return now.where(~F.col(sk).eqNullSafe(F.col("__old_sk"))).select(*fact.columns)
+
+
 def dim_as_of(versions: DataFrame, date: str) -> DataFrame:
     """The dimension image in force on ``date``."""
     d = F.lit(date).cast("date")

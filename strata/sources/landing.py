@@ -169,7 +169,8 @@ def upsert_partitions(spark: SparkSession, target_path: str, source: DataFrame,
 
     With ``with_changes`` the staged batch is returned, as the table now holds its
     keys: the next layer is fed from it, not from a difference that a retry after
-    a failure would find empty. Repeating a batch gives the same table.
+    a failure would find empty. Repeating a batch gives the same table, also after
+    a run that failed at any step (NULL keys aside, which match nothing).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     base = staging or os.path.join(checkpoint_dir(spark), "staging", f"u-{uuid.uuid4().hex}")
@@ -198,7 +199,11 @@ def upsert_partitions(spark: SparkSession, target_path: str, source: DataFrame,
     affected = target.join(touched.where(F.col(part_col).isNotNull()), part_col, "left_semi")
     if n_null:
         affected = affected.unionByName(target.where(F.col(part_col).isNull()))
-    merged = merge_upsert(affected, source, keys, assume_unique=True).select(*schema.names)
+    # A row of the batch replaces every target row of its key, so a key that an
+    # interrupted run left in two partitions stands once afterwards.
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in source.columns}
+    kept = affected.join(source.select(*keys), keys, "left_anti")
+    merged = kept.select(*schema.names).unionByName(source.withColumns(missing).select(*schema.names))
     merged.write.mode("overwrite").partitionBy(part_col).parquet(os.path.join(base, "merged"))
     staged = spark.read.schema(schema).parquet(os.path.join(base, "merged"))
     _swap_in(staged, target_path, part_col, grown=len(schema) > len(known))
