@@ -13,6 +13,7 @@ from strata.catalog.history_queries import FIX_CTES, ORDER_COLS, OC
 from strata.catalog.prelude import oracle
 from strata.catalog.sqlfrag import cents, divide, money_avg, msum, ratio, round6
 from strata.operators import merge as MG
+from strata.operators import quality as DQ
 from strata.operators import security as S
 from strata.plans import kpi as K
 from strata.plans import metrics as M
@@ -541,3 +542,160 @@ SELECT o_orderkey AS transaction_id, o_custkey AS customer_id, CAST(o_orderdate
        v.effective_from AS customer_version_from
 FROM orders LEFT JOIN cust_versions v ON o_custkey = v.customer_id AND CAST(o_orderdate AS DATE) >= v.effective_from
   AND CAST(o_orderdate AS DATE) < v.effective_to""", FIX_CTES)
+
+
+# --- B02, B05, B09: registry-driven run ----------------------------------------------------
+# Fixed values of the fixture: bulk boundary, the two days, the day of the attribute changes.
+RUN_DAYS = ("2001-01-31", "2001-02-28")
+RUN_TABLES = ("dim_banner", "dim_store", "dim_product", "fact_sales_transaction", "fact_inventory_snapshot")
+RUN_KEYS = {"fact_sales_transaction": ["transaction_id"], "fact_inventory_snapshot": ["snapshot_date", "store_id", "product_id"]}
+_RUNS: dict = {}
+
+
+def _registry_run(spark, sf):
+    """The bulk load and two days over three dimensions and two facts. One
+    dimension has no readable source: its failure is audited and stays alone."""
+    from strata.plans.registry_run import Plan, run_registry
+    key = (spark.sparkContext.applicationId, sf)
+    if key in _RUNS:
+        return _RUNS[key]
+    star = _star(spark, sf)
+    dates = {"fact_sales_transaction": "transaction_date", "fact_inventory_snapshot": "snapshot_date"}
+
+    def source(name, day):
+        if name == "dim_changes":
+            return None if day != RUN_DAYS[0] else FX.product_changes(read_table(spark, sf, "part")).drop("Processing_Date")
+        if name == "dim_store":
+            raise FileNotFoundError("no source of dim_store")
+        df = star.table(name)
+        if name == "fact_inventory_snapshot":  # some rows without a quantity
+            df = df.withColumn("quantity", F.when(F.col("is_out_of_stock") == 0, F.col("on_hand_units")))
+        if name in dates:
+            d = F.col(dates[name])
+            df = df.where(d < F.lit("2001-01-01").cast("date") if day is None else d == F.lit(day).cast("date"))
+            df = df.withColumn("year", F.date_format(d, "yyyy"))
+        return df
+
+    reg = C.registry(spark).where(F.col("table_name").isin(*RUN_TABLES))
+    own = F.create_map(*[x for k, v in RUN_KEYS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+    reg = reg.withColumn("business_keys", F.coalesce(F.try_element_at(own, "table_name"), "business_keys"))
+    reg = reg.withColumn("track_attrs", F.when(F.col("table_name") == "dim_product", F.array(
+        F.lit("product_name"), F.lit("list_price_cad"), F.lit("cost_price_cad"))).otherwise(F.col("track_attrs")))
+    plan = Plan(_scratch(spark), source, rules={"dim_product": DQ.RULES["dim_product"],
+                                                      "fact_inventory_snapshot": DQ.RULES["fact_sales_line_item"]},
+                partitions=dict.fromkeys(RUN_KEYS, "year"),
+                versions={"fact_inventory_snapshot": [("product", "dim_product", "product_id", "snapshot_date")]}, buckets=2)
+    run = run_registry(spark, plan, reg, "bulk", "2000-12-31")
+    for day in RUN_DAYS:
+        run.run("daily", day)
+    _RUNS[key] = run
+    return run
+
+
+Q["run_audit"] = lambda spark, sf: _registry_run(spark, sf).audit_table().drop("run_ts")
+Q["run_watermarks"] = lambda spark, sf: _registry_run(spark, sf).watermarks().select(
+    "table_name", F.col("last_processing_date").cast("string").alias("last_processing_date"), "last_rows_affected")
+
+
+def _run_gold(spark, sf):
+    """The stock fact's surrogate keys joined back to the gold dimension."""
+    run = _registry_run(spark, sf)
+    v = run.read("gold", "dim_product").select("product_sk", F.col("effective_from").alias("product_version_from"))
+    return run.read("gold", "fact_inventory_snapshot").join(v, "product_sk", "left").select(
+        "snapshot_date", "store_id", "product_id", "product_version_from")
+
+
+Q["run_gold_inventory"] = _run_gold
+_RUN_DAYS_SQL = ", ".join(f"DATE '{d}'" for d in RUN_DAYS)
+_CHG = ("(o.product_name IS DISTINCT FROM p.product_name OR o.list_price_cad IS DISTINCT FROM p.list_price_cad "
+        "OR o.cost_price_cad IS DISTINCT FROM p.cost_price_cad)")
+_RUN_CTES = FIX_CTES + f""",
+stock AS (SELECT *, CASE WHEN is_out_of_stock = 0 THEN on_hand_units END AS q,
+  CASE WHEN snapshot_date < DATE '2001-01-01' THEN DATE '2000-12-31' ELSE snapshot_date END AS pd
+  FROM fact_inventory_snapshot WHERE snapshot_date < DATE '2001-01-01' OR snapshot_date IN ({_RUN_DAYS_SQL})),
+txns AS (SELECT *, CASE WHEN transaction_date < DATE '2001-01-01' THEN DATE '2000-12-31' ELSE transaction_date END AS pd
+  FROM fact_sales_transaction WHERE transaction_date < DATE '2001-01-01' OR transaction_date IN ({_RUN_DAYS_SQL})),
+prod AS (SELECT p.product_id, p.cost_price_cad <= p.list_price_cad AS was_ok, o.cost_price_cad <= o.list_price_cad AS now_ok,
+  {_CHG} AS changed FROM dim_product p JOIN overlay o ON p.sku = o.sku),
+pn AS (SELECT count(*) AS n, count(*) FILTER (was_ok) AS ok, count(*) FILTER (NOT now_ok) AS bad2,
+  count(*) FILTER (now_ok AND (changed OR NOT was_ok)) AS ins2, count(*) FILTER (now_ok AND changed AND was_ok) AS shut2
+  FROM prod),
+tc AS (SELECT pd, count(*) AS n FROM txns GROUP BY pd),
+lc AS (SELECT pd, count(*) AS n, count(*) FILTER (q <> 0) AS ok, count(*) FILTER (q IS NULL OR q = 0) AS bad FROM stock GROUP BY pd),
+days AS (SELECT unnest([DATE '2000-12-31', {_RUN_DAYS_SQL}]) AS pd)"""
+
+
+def _ins(n, upd="0"):
+    return f"'ins=' || ({n}) || ' upd=' || ({upd})"
+
+
+SQL["run_audit"] = oracle(f"""
+SELECT 'land' AS notebook, 'landing' AS layer, t AS table_name, n AS rows_affected, 'OK' AS status,
+       'pd=' || CAST(pd AS VARCHAR) AS message
+FROM (SELECT 'fact_sales_transaction' AS t, days.pd, coalesce(n, 0) AS n FROM days LEFT JOIN tc USING (pd)
+      UNION ALL SELECT 'fact_inventory_snapshot', days.pd, coalesce(n, 0) FROM days LEFT JOIN lc USING (pd)
+      UNION ALL SELECT 'dim_banner', DATE '2000-12-31', count(*) FROM dim_banner
+      UNION ALL SELECT 'dim_product', DATE '2000-12-31', n FROM pn
+      UNION ALL SELECT 'dim_changes', DATE '{RUN_DAYS[0]}', count(*) FROM pchg)
+UNION ALL SELECT 'landing 2000-12-31', 'landing', 'dim_store', 0, 'FAILED', 'FileNotFoundError: no source of dim_store'
+UNION ALL SELECT layer, layer, 'dim_banner', n, 'OK', {_ins('n')}
+  FROM (SELECT count(*) AS n FROM dim_banner), (SELECT unnest(['bronze', 'silver', 'gold']) AS layer)
+UNION ALL SELECT layer, layer, 'fact_sales_transaction', n, 'OK', {_ins('n')}
+  FROM tc, (SELECT unnest(['bronze', 'silver', 'gold']) AS layer)
+UNION ALL SELECT 'bronze', 'bronze', 'fact_inventory_snapshot', n, 'OK', {_ins('n')} FROM lc
+UNION ALL SELECT layer, layer, 'fact_inventory_snapshot', ok, 'OK', {_ins('ok')}
+  FROM lc, (SELECT unnest(['silver', 'gold']) AS layer)
+UNION ALL SELECT 'quality', 'quarantine', 'fact_inventory_snapshot', bad, 'QUARANTINE', 'zero_quantity' FROM lc WHERE bad > 0
+UNION ALL SELECT 'bronze', 'bronze', 'dim_product', n, 'OK', {_ins('n')} FROM pn
+UNION ALL SELECT 'quality', 'quarantine', 'dim_product', n - ok, 'QUARANTINE', 'cost_gt_list' FROM pn WHERE n > ok
+UNION ALL SELECT 'silver', 'silver', 'dim_product', ok, 'OK', 'scd2 ins=' || ok || ' closed=0' FROM pn
+UNION ALL SELECT 'gold', 'gold', 'dim_product', ok, 'OK', {_ins('ok')} FROM pn
+UNION ALL SELECT 'quality', 'quarantine', 'dim_product', bad2, 'QUARANTINE', 'cost_gt_list' FROM pn WHERE bad2 > 0
+UNION ALL SELECT 'silver', 'silver', 'dim_product', ins2 + shut2, 'OK', 'scd2 ins=' || ins2 || ' closed=' || shut2 FROM pn
+UNION ALL SELECT 'gold', 'gold', 'dim_product', ins2 + shut2, 'OK', {_ins('ins2', 'shut2')} FROM pn""", _RUN_CTES)
+
+SQL["run_watermarks"] = oracle(f"""
+SELECT 'dim_banner' AS table_name, '2000-12-31' AS last_processing_date, count(*) AS last_rows_affected FROM dim_banner
+UNION ALL SELECT 'dim_product', '{RUN_DAYS[0]}', CAST(0 AS BIGINT)
+UNION ALL SELECT 'fact_sales_transaction', CAST(max(pd) AS VARCHAR), arg_max(n, pd) FROM tc
+UNION ALL SELECT 'fact_inventory_snapshot', CAST(max(pd) AS VARCHAR), arg_max(n, pd) FROM lc""", _RUN_CTES)
+
+SQL["run_gold_inventory"] = oracle(f"""
+SELECT l.snapshot_date, l.store_id, l.product_id,
+       CASE WHEN l.snapshot_date >= DATE '{RUN_DAYS[0]}' AND now_ok AND (changed OR NOT was_ok)
+            THEN DATE '{RUN_DAYS[0]}' WHEN was_ok THEN DATE '1900-01-01' END AS product_version_from
+FROM stock l LEFT JOIN prod p ON l.product_id = p.product_id WHERE l.q <> 0""", _RUN_CTES)
+
+# --- A08 / C06: two consumers at different positions ------------------------------------------
+
+
+def _changes_since(spark, sf):
+    """Three versions of the orders: loaded, upserted, some deleted. One consumer
+    has taken over the first version, one the second, one nothing yet."""
+    from strata.catalog.history_queries import _merged, _newv
+    from strata.sources.changes import ChangeReader, commit_changes
+    base, o = _scratch(spark), _orders(spark, sf)
+    first, second = FX.upsert_target(o), L.publish(_merged(spark, sf), "orders_v1", spark=spark)
+    third, reader = _newv(second), ChangeReader(spark, "orders", f"{base}/orders_changes", f"{base}/control")
+    for version, (old, new) in enumerate(((None, first), (first, second), (second, third))):
+        commit_changes(MG.change_feed(old, new, "o_orderkey"), reader.path, version, F.lit(f"2001-02-0{version + 1}"))
+    reader.advance("after_load", 0)
+    reader.advance("after_upsert", 1)
+    out = None
+    for consumer in ("after_load", "after_upsert", "newcomer"):
+        got, _ = reader.read(consumer, third)
+        got = got.select(F.lit(consumer).alias("consumer"), *ORDER_COLS, "_change_type", "_commit_version")
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+Q["changes_since"] = _changes_since
+_ODIFF = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in ORDER_COLS[1:])
+SQL["changes_since"] = oracle(f"""
+SELECT 'after_load' AS consumer, n.*, 'insert' AS _change_type, CAST(1 AS BIGINT) AS _commit_version FROM merged n
+WHERE NOT EXISTS (SELECT 1 FROM tgt o WHERE o.o_orderkey = n.o_orderkey)
+UNION ALL SELECT 'after_load', n.*, 'update_postimage', 1 FROM tgt o JOIN merged n ON o.o_orderkey = n.o_orderkey
+WHERE {_ODIFF}
+UNION ALL SELECT c, m.*, 'delete', 2 FROM merged m, (SELECT unnest(['after_load', 'after_upsert']) AS c)
+WHERE NOT EXISTS (SELECT 1 FROM newv n WHERE n.o_orderkey = m.o_orderkey)
+UNION ALL SELECT 'newcomer', n.*, 'insert', 2 FROM newv n""", FIX_CTES)

@@ -14,7 +14,7 @@ import json
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 from pyspark.sql.types import StringType, StructField, StructType
@@ -87,7 +87,6 @@ def land(df: DataFrame, path: str, proc_date: str) -> int:
     The count comes from an ``Observation`` on the write itself (one pass over
     the data, not a second ``count()`` job); an empty batch writes nothing.
     """
-    from pyspark.sql import Observation
     obs = Observation("landed")
     write_landing(stamp(df, proc_date).observe(obs, F.count(F.lit(1)).alias("rows")), path)
     return int(obs.get.get("rows", 0))
@@ -149,12 +148,26 @@ def _swap_in(df: DataFrame, path: str, part_col: str, grown: bool = True) -> Non
     if grown:
         spark.createDataFrame([(df.schema.json(),)], "schema string").coalesce(1).write.mode("overwrite").parquet(
             os.path.join(path, "_schema"))
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path))
+    (df.hint("rebalance", part_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part_col).parquet(path))
+
+
+def replace_partitions(df: DataFrame, path: str, part_col: str, staging: str | None = None,
+                       observe: tuple[Observation, list] | None = None) -> DataFrame:
+    """Replace the partitions that ``df`` has rows in by its rows, also where it
+    was read from the same table: it is staged first. Returns the staged rows."""
+    base = staging or os.path.join(checkpoint_dir(df.sparkSession), "staging", f"r-{uuid.uuid4().hex}")
+    out = df if observe is None else df.observe(observe[0], *observe[1])
+    out.hint("rebalance", part_col).write.mode("overwrite").partitionBy(part_col).parquet(base)
+    staged = df.sparkSession.read.schema(df.schema).parquet(base)
+    _swap_in(staged, path, part_col)
+    return staged
 
 
 def upsert_partitions(spark: SparkSession, target_path: str, source: DataFrame, keys, part_col: str,
                       order_by: list[str] | str | None = None, staging: str | None = None,
-                      with_changes: bool = False, keys_stay: bool = False) -> DataFrame | None:
+                      with_changes: bool = False, keys_stay: bool = False,
+                      metrics: dict | None = None) -> DataFrame | None:
     """C01 at scale: upsert into a Parquet table partitioned by ``part_col``,
     reading and rewriting only the partitions the batch touches.
 
@@ -167,7 +180,8 @@ def upsert_partitions(spark: SparkSession, target_path: str, source: DataFrame,
     it is read) and swapped in; a partition that lost its last row is emptied.
     Columns new in the batch are added to the table. An empty batch changes nothing.
 
-    With ``with_changes`` the staged batch is returned, as the table now holds its
+    ``metrics`` receives the rows ``inserted`` and ``updated`` (C03), observed on the
+    writes themselves. With ``with_changes`` the staged batch is returned, as the table now holds its
     keys: the next layer is fed from it, not from a difference that a retry after
     a failure would find empty. Repeating a batch gives the same table, also after
     a run that failed at any step (NULL keys aside, which match nothing).
@@ -178,6 +192,8 @@ def upsert_partitions(spark: SparkSession, target_path: str, source: DataFrame,
     source.write.mode("overwrite").parquet(os.path.join(base, "source"))
     source = spark.read.schema(source.schema).parquet(os.path.join(base, "source"))
     n, n_null = source.agg(F.count(F.lit(1)), F.count_if(F.col(part_col).isNull())).first()
+    metrics = {} if metrics is None else metrics
+    metrics.update(inserted=n, updated=0)
     if n == 0:
         return source if with_changes else None
     target = read_partitioned(spark, target_path)
@@ -202,9 +218,14 @@ def upsert_partitions(spark: SparkSession, target_path: str, source: DataFrame,
     # A row of the batch replaces every target row of its key, so a key that an
     # interrupted run left in two partitions stands once afterwards.
     missing = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in source.columns}
-    kept = affected.join(source.select(*keys), keys, "left_anti")
+    there, stay = Observation(), Observation()
+    kept = affected.observe(there, F.count(F.lit(1)).alias("n")).join(source.select(*keys), keys, "left_anti")
+    kept = kept.observe(stay, F.count(F.lit(1)).alias("n"))
     merged = kept.select(*schema.names).unionByName(source.withColumns(missing).select(*schema.names))
-    merged.write.mode("overwrite").partitionBy(part_col).parquet(os.path.join(base, "merged"))
+    # Rows of a partition meet before they are written: few files, large partitions split by their size.
+    merged.hint("rebalance", part_col).write.mode("overwrite").partitionBy(part_col).parquet(os.path.join(base, "merged"))
+    metrics["updated"] = min(n, there.get["n"] - stay.get["n"])
+    metrics["inserted"] = n - metrics["updated"]
     staged = spark.read.schema(schema).parquet(os.path.join(base, "merged"))
     _swap_in(staged, target_path, part_col, grown=len(schema) > len(known))
     if keys_stay:  # no partition can have lost its rows
