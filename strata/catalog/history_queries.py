@@ -263,6 +263,56 @@ Q["scd2_from_history"] = _versions
 SQL["scd2_from_history"] = fx_oracle(f"""
 SELECT {V_COLS}, effective_to = DATE '9999-12-31' AS is_current FROM cust_versions""")
 
+LATE_YEARS = (1997, 2000)  # fixed values of the fixture: images that come after all others
+
+
+def _late(spark, sf):
+    """Versions from all images but two, then these two, late; with the fact rows
+    whose key they change."""
+    from strata.sources.landing import publish
+    cy = publish(_cy(spark, sf).select("customer_id", "loyalty_tier", "image_date"), "customer_images", spark=spark)
+    is_late = F.year("image_date").isin(*LATE_YEARS)
+    seen = cy.where(~is_late)
+    table = publish(H.scd2_from_history(seen, "customer_id", ["loyalty_tier"], "image_date"), "late_0", spark=spark)
+    first = table
+    for year in sorted(LATE_YEARS, reverse=True):
+        image = cy.where(F.year("image_date") == year)
+        table = publish(H.apply_image(table, seen, image.drop("image_date"), "customer_id", ["loyalty_tier"],
+                                      f"{year}-01-01", "image_date"), f"late_{year}", spark=spark)
+        seen = seen.unionByName(image)
+    return first, table
+
+
+Q["scd2_late_image"] = lambda spark, sf: _late(spark, sf)[1]
+SQL["scd2_late_image"] = fx_oracle(f"""
+SELECT {V_COLS}, effective_to = DATE '9999-12-31' AS is_current FROM cust_versions""")
+
+
+def _restated(spark, sf):
+    first, table = (H.gold_dim_scd2(v, "customer", "customer_id") for v in _late(spark, sf))
+    t = _star(spark, sf).table("fact_sales_transaction").select("transaction_id", "customer_id", "transaction_date")
+    keyed = H.effective_join(t, first, "customer_id", "transaction_date", "customer")
+    out = H.restate_keys(keyed, first, table, "customer_id", "transaction_date", "customer")
+    start = table.select("customer_sk", F.col("effective_from").alias("customer_version_from"))
+    return out.join(start, "customer_sk", "left").drop("customer_sk")
+
+
+Q["gold_restated"] = _restated
+_LATE_SQL = ", ".join(map(str, LATE_YEARS))
+SQL["gold_restated"] = fx_oracle("""
+SELECT t.transaction_id, t.customer_id, t.transaction_date, v.effective_from AS customer_version_from
+FROM fact_sales_transaction t
+LEFT JOIN cust_versions v ON t.customer_id = v.customer_id AND t.transaction_date >= v.effective_from
+  AND t.transaction_date < v.effective_to
+LEFT JOIN early e ON t.customer_id = e.customer_id AND t.transaction_date >= e.effective_from
+  AND t.transaction_date < e.effective_to
+WHERE v.effective_from IS DISTINCT FROM e.effective_from""", f"""
+early AS (
+  SELECT customer_id, image_date AS effective_from,
+         coalesce(lead(image_date) OVER (PARTITION BY customer_id ORDER BY image_date), DATE '9999-12-31') AS effective_to
+  FROM (SELECT *, lag(scd_hash) OVER (PARTITION BY customer_id ORDER BY image_date) AS before FROM cy_hash
+        WHERE yr NOT IN ({_LATE_SQL})) WHERE before IS NULL OR before <> scd_hash)""")
+
 Q["dim_as_of"] = lambda spark, sf: H.dim_as_of(_versions(spark, sf), "1998-06-30")
 SQL["dim_as_of"] = fx_oracle(f"""
 SELECT {V_COLS}, effective_to = DATE '9999-12-31' AS is_current FROM cust_versions
@@ -469,12 +519,7 @@ def _cust_v(spark, sf):
 
 def _store_v(spark, sf):
     s = _star(spark, sf).table("dim_store")
-    return H.scd2_initial(s, "store_number", None, "1900-01-01").withColumn("store_version_from",
-                                                                             F.col("effective_from"))
-
-
-def _prod_v(spark, sf):
-    return _product_versions(spark, sf).withColumn("product_version_from", F.col("effective_from"))
+    return H.scd2_initial(s, "store_number", None, "1900-01-01")
 
 
 def _ej(spark, sf):
@@ -490,13 +535,21 @@ FROM fact_sales_transaction t LEFT JOIN cust_versions v ON t.customer_id = v.cus
   AND t.transaction_date >= v.effective_from AND t.transaction_date < v.effective_to""")
 
 
+def _keyed(fact, versions, fact_key, date_col, short, dim_key):
+    """E01 with C15: the fact gets ``<short>_sk`` of the version in force; the
+    version start shown is read from the gold dimension by that key."""
+    dim = H.gold_dim_scd2(versions, short, dim_key)
+    out = H.effective_join(fact, dim, fact_key, date_col, short)
+    sk = f"{short}_sk"
+    start = dim.select(sk, F.col("effective_from").alias(f"{short}_version_from"))
+    return out.join(start, sk, "left").drop(sk)
+
+
 def _gold_txn(spark, sf):
     t = _star(spark, sf).table("fact_sales_transaction").select("transaction_id", "store_id", "customer_id",
                                                                 "transaction_date")
-    t = H.effective_join(t, _store_v(spark, sf), "store_id", "transaction_date", "store",
-                         carry=["store_version_from"])
-    return H.effective_join(t, _cust_v(spark, sf), "customer_id", "transaction_date", "customer",
-                            carry=["customer_version_from"])
+    t = _keyed(t, _store_v(spark, sf), "store_id", "transaction_date", "store", "store_number")
+    return _keyed(t, _versions(spark, sf), "customer_id", "transaction_date", "customer", "customer_id")
 
 
 _SV = "(SELECT store_id, DATE '1900-01-01' AS ef, DATE '9999-12-31' AS et FROM dim_store)"
@@ -521,11 +574,9 @@ _PV = f"""pv AS (
 def _gold_line(spark, sf):
     f = _star(spark, sf).table("fact_sales_line_item").select(
         "transaction_id", "line_number", "product_id", "store_id", "customer_id", "transaction_date")
-    f = H.effective_join(f, _store_v(spark, sf), "store_id", "transaction_date", "store", carry=["store_version_from"])
-    f = H.effective_join(f, _prod_v(spark, sf), "product_id", "transaction_date", "product",
-                         carry=["product_version_from"])
-    return H.effective_join(f, _cust_v(spark, sf), "customer_id", "transaction_date", "customer",
-                            carry=["customer_version_from"])
+    f = _keyed(f, _store_v(spark, sf), "store_id", "transaction_date", "store", "store_number")
+    f = _keyed(f, _product_versions(spark, sf), "product_id", "transaction_date", "product", "sku")
+    return _keyed(f, _versions(spark, sf), "customer_id", "transaction_date", "customer", "customer_id")
 
 
 Q["gold_line_item"] = _gold_line
@@ -542,9 +593,8 @@ LEFT JOIN cust_versions v ON l.customer_id = v.customer_id AND l.transaction_dat
 def _gold_inv(spark, sf):
     f = _star(spark, sf).table("fact_inventory_snapshot").select("snapshot_date", "store_id", "product_id",
                                                                  "on_hand_units")
-    f = H.effective_join(f, _store_v(spark, sf), "store_id", "snapshot_date", "store", carry=["store_version_from"])
-    return H.effective_join(f, _prod_v(spark, sf), "product_id", "snapshot_date", "product",
-                            carry=["product_version_from"])
+    f = _keyed(f, _store_v(spark, sf), "store_id", "snapshot_date", "store", "store_number")
+    return _keyed(f, _product_versions(spark, sf), "product_id", "snapshot_date", "product", "sku")
 
 
 Q["gold_inventory"] = _gold_inv
@@ -559,8 +609,7 @@ LEFT JOIN pv p ON i.product_id = p.product_id AND i.snapshot_date >= p.ef AND i.
 def _gold_loy(spark, sf):
     f = _star(spark, sf).table("fact_loyalty_event").select("loyalty_event_id", "customer_id", "event_date",
                                                             "points_delta")
-    return H.effective_join(f, _cust_v(spark, sf), "customer_id", "event_date", "customer",
-                            carry=["customer_version_from"])
+    return _keyed(f, _versions(spark, sf), "customer_id", "event_date", "customer", "customer_id")
 
 
 Q["gold_loyalty"] = _gold_loy

@@ -100,13 +100,27 @@ def share_of_total(star: Star, by: list[str], release: list[str], metric_base: s
 
 # --- M40: dense rank of banners, blank at totals ----------------------------------------
 def sales_rank(star: Star, member: str, where: Column | None = None) -> DataFrame:
-    """Dense rank by net sales, desc; the ROLLUP total row has no rank.
-    The rank window runs over one row per member."""
+    """Dense rank by net sales, desc; the ROLLUP total row has no rank."""
     agg = M.aggregate_bases(star, ["s_net"], [member], where, grouping="rollup")
-    detail = F.col("grouping_id") == 0
-    w = Window.partitionBy("grouping_id").orderBy(F.col("s_net").desc())
-    return agg.select(member, "grouping_id", cents("s_net").alias("net_sales"),
-                      F.when(detail, F.dense_rank().over(w).cast("bigint")).alias("sales_rank"))
+    detail = dense_ranked(agg.where("grouping_id = 0"), "s_net", "sales_rank")
+    total = agg.where("grouping_id <> 0").withColumn("sales_rank", F.lit(None).cast("bigint"))
+    return detail.unionByName(total).select(member, "grouping_id", cents("s_net").alias("net_sales"), "sales_rank")
+
+
+def dense_ranked(values: DataFrame, value_col: str, name: str) -> DataFrame:
+    """Dense rank by ``value_col``, descending, NULL last, without a window
+    over all rows: distinct values are numbered inside value buckets, and a bucket
+    starts behind the distinct values of the buckets above it (at most 32,768
+    rows, broadcast by construction; hot ties are one row)."""
+    v = F.col(value_col)
+    vals = values.select(v).distinct().withColumn("__b", _bucket(v))
+    inside = vals.withColumn("__r", F.dense_rank().over(Window.partitionBy("__b").orderBy(v.desc())))
+    above = Window.orderBy(F.col("__b2").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    starts = vals.groupBy(F.col("__b").alias("__b2")).agg(F.count(F.lit(1)).alias("__n")).select(
+        "__b2", F.coalesce(F.sum("__n").over(above), F.lit(0)).alias("__off"))
+    ranks = inside.join(F.broadcast(starts), F.col("__b").eqNullSafe(F.col("__b2"))).select(
+        v.alias("__v"), (F.col("__off") + F.col("__r")).cast("bigint").alias(name))
+    return values.join(ranks, v.eqNullSafe(F.col("__v"))).drop("__v")
 
 
 # --- M43 / M56: top-N with ties ------------------------------------------------------
@@ -175,10 +189,11 @@ def running_share(values: DataFrame, value_col: str) -> DataFrame:
     Rows are first reduced to distinct values (a hot tie collapses to one
     row), prefix sums run inside value buckets, and each bucket is offset by
     the totals of the buckets above it (at most 32,768 rows, broadcast by
-    construction).
+    construction). A row without a value stays and stands where 0 stands.
     """
-    v = F.col(value_col)
-    vals = values.groupBy(value_col).agg(F.sum(v).alias("__tot")).withColumn("__b", _bucket(v))
+    v = F.col("__v")
+    values = values.withColumn("__v", F.coalesce(F.col(value_col), F.lit(0)))
+    vals = values.groupBy(v).agg(F.sum(v).alias("__tot")).withColumn("__b", _bucket(v))
     w_in = Window.partitionBy("__b").orderBy(v.desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     vals = vals.withColumn("__cum_in", F.sum("__tot").over(w_in))
     bt = vals.groupBy("__b").agg(F.sum("__tot").alias("__bt"))
@@ -186,9 +201,9 @@ def running_share(values: DataFrame, value_col: str) -> DataFrame:
     bt = bt.select("__b", F.coalesce(F.sum("__bt").over(w_b), F.lit(0)).alias("__off"),
                    F.sum("__bt").over(Window.partitionBy(F.lit(1))).alias("__all"))
     vals = vals.join(F.broadcast(bt), "__b").select(
-        value_col, (F.col("__off") + F.col("__cum_in")).alias("__cum"), "__all")
-    return values.join(vals, value_col).withColumn(
-        "running_share", ratio(F.col("__cum"), F.col("__all"))).drop("__cum", "__all")
+        v, (F.col("__off") + F.col("__cum_in")).alias("__cum"), "__all")
+    return values.join(vals, "__v").withColumn(
+        "running_share", ratio(F.col("__cum"), F.col("__all"))).drop("__cum", "__all", "__v")
 
 
 def pareto(star: Star, member: str, where: Column | None = None) -> DataFrame:
