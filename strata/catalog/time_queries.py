@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from strata.catalog.prelude import oracle
 from strata.catalog.sqlfrag import cents, divide, money_avg, msum, ratio, round6
 from strata.plans import analysis as A
+from strata.plans import context as X
+from strata.plans import metrics as M
 from strata.plans import timecalc as T
 from strata.plans.star import Where
 from strata.sources.fixtures import retail_star
@@ -453,3 +455,78 @@ SELECT t.channel, g.month, {cents(msum('t.total_amount_cad'))} AS revenue_incl_t
 FROM (SELECT DISTINCT month FROM cal WHERE month(month) = 6) g
 JOIN fact_sales_transaction t ON year(t.transaction_date) = year(g.month) AND month(t.transaction_date) <= 6
 WHERE isodow(t.transaction_date) >= 6 GROUP BY 1, 2""")
+
+
+# --- M31 in context, rolling distinct counts, same-store and bridge by banner ------------------
+_STOCK = f"""stock AS (SELECT s.banner_name, year(i.snapshot_date) AS year, i.snapshot_date AS d,
+       {MONTH.format(d='i.snapshot_date')} AS month, {msum('i.inventory_value_cad')} AS v
+FROM fact_inventory_snapshot i LEFT JOIN dim_store s ON i.store_id = s.store_id GROUP BY 1, 2, 3, 4)"""
+
+Q["inventory_value_rollup"] = lambda spark, sf: X.stock_rollup(star(spark, sf), ["banner_name", "year"])
+SQL["inventory_value_rollup"] = oracle(f"""
+SELECT banner_name, year, CAST(0 AS BIGINT) AS grouping_id, {cents('arg_max(v, d)')} AS inventory_value FROM stock GROUP BY 1, 2
+UNION ALL SELECT banner_name, NULL, 1, {cents('arg_max(v, d)')}
+FROM (SELECT banner_name, d, sum(v) AS v FROM stock GROUP BY 1, 2) GROUP BY 1
+UNION ALL SELECT NULL, NULL, 3, {cents('arg_max(v, d)')} FROM (SELECT d, sum(v) AS v FROM stock GROUP BY 1)""", _STOCK)
+
+Q["inventory_value_py"] = lambda spark, sf: X.stock_with_prior_year(star(spark, sf), ["banner_name"])
+SQL["inventory_value_py"] = oracle(f"""
+SELECT coalesce(c.banner_name, p.banner_name) AS banner_name, coalesce(c.year, p.year + 1) AS year,
+       {cents('c.v')} AS inventory_value, {cents('p.v')} AS inventory_value_py
+FROM ends c FULL JOIN ends p ON c.banner_name IS NOT DISTINCT FROM p.banner_name AND c.year = p.year + 1
+WHERE c.year IS NOT NULL OR p.year + 1 <= (SELECT year(last_day) FROM cal_ends)""", _STOCK + """,
+ends AS (SELECT banner_name, year, arg_max(v, d) AS v FROM stock GROUP BY 1, 2)""")
+
+Q["inventory_value_ytd"] = lambda spark, sf: X.stock_to_date(star(spark, sf), ["banner_name"])
+SQL["inventory_value_ytd"] = oracle(f"""
+SELECT b.banner_name, m.month, {cents('(SELECT arg_max(v, d) FROM stock k WHERE k.banner_name IS NOT DISTINCT FROM b.banner_name AND k.year = year(m.month) AND k.month <= m.month)')}
+       AS inventory_value_to_date
+FROM (SELECT DISTINCT banner_name FROM stock) b, (SELECT DISTINCT month FROM cal) m
+WHERE EXISTS (SELECT 1 FROM stock k WHERE k.banner_name IS NOT DISTINCT FROM b.banner_name AND k.year = year(m.month)
+              AND k.month <= m.month)""", _STOCK)
+
+
+def _rolling_sql(fact, col, name, by=None):
+    b, on = (f"b.{by}, ", f"f.{by} IS NOT DISTINCT FROM b.{by} AND ") if by else ("", "")
+    groups = f", (SELECT DISTINCT {by} FROM f WHERE member IS NOT NULL) b" if by else ""
+    return oracle(f"""
+SELECT {b}m.month, count(DISTINCT f.member) AS {name}
+FROM (SELECT DISTINCT month FROM cal) m {groups}
+LEFT JOIN f ON {on}f.month <= m.month AND f.month > m.month - INTERVAL 3 MONTH GROUP BY ALL""", f"""
+f AS (SELECT {'s.banner_name, ' if by else ''}{MONTH.format(d='t.transaction_date')} AS month, t.{col} AS member
+      FROM {fact} t {'LEFT JOIN dim_store s ON t.store_id = s.store_id' if by else ''})""")
+
+
+Q["rolling_active_customers"] = lambda spark, sf: X.rolling_distinct(
+    star(spark, sf), M.TXN, "customer_id", [], 3, "active_customers_3m")
+SQL["rolling_active_customers"] = _rolling_sql("fact_sales_transaction", "customer_id", "active_customers_3m")
+Q["rolling_skus_by_banner"] = lambda spark, sf: X.rolling_distinct(
+    star(spark, sf), M.LINE, "product_id", ["banner_name"], 3, "skus_3m")
+SQL["rolling_skus_by_banner"] = _rolling_sql("fact_sales_line_item", "product_id", "skus_3m", "banner_name")
+
+Q["same_store_by_banner"] = lambda spark, sf: A.same_store(star(spark, sf), by=["banner_name"])
+SQL["same_store_by_banner"] = oracle(f"""
+SELECT s.banner_name, c.year, {cents('sum(c.s)')} AS same_store_sales, {cents('sum(p.s)')} AS same_store_sales_py,
+       {ratio('sum(c.s) - sum(p.s)', 'sum(p.s)')} AS same_store_growth
+FROM sy c JOIN sy p ON p.store_id = c.store_id AND p.year = c.year - 1 LEFT JOIN dim_store s ON s.store_id = c.store_id
+GROUP BY 1, 2""", _SSY)
+
+Q["gm_bridge_by_banner"] = lambda spark, sf: A.gm_bridge_rounded(star(spark, sf), by=["banner_name"])
+_BRB = (_BR.replace("SELECT product_id, year(transaction_date)", "SELECT s.banner_name, product_id, year(transaction_date)")
+        .replace("FROM fact_sales_line_item GROUP BY 1, 2)",
+                 "FROM fact_sales_line_item l LEFT JOIN dim_store s ON l.store_id = s.store_id GROUP BY 1, 2, 3)")
+        .replace("t AS (SELECT coalesce", "t AS (SELECT coalesce(c.banner_name, p.banner_name) AS banner_name, coalesce")
+        .replace("ON c.product_id = p.product_id", "ON c.banner_name IS NOT DISTINCT FROM p.banner_name AND c.product_id = p.product_id")
+        .replace("agg AS (SELECT year,", "agg AS (SELECT banner_name, year,")
+        .replace("FROM t GROUP BY 1)", "FROM t GROUP BY 1, 2 HAVING count(gm2) > 0)")
+        .replace("br AS (SELECT year,", "br AS (SELECT banner_name, year,"))
+SQL["gm_bridge_by_banner"] = oracle(f"""
+SELECT banner_name, year, {", ".join(f"{_c2(c)} AS {c}" for c in ("gm", "gm_py", "volume", "mix", "price", "markdown", "cost"))}
+FROM br""", _BRB)
+Q["pareto_filtered"] = lambda spark, sf: A.pareto(star(spark, sf), "product_name", where=Where(
+    ("banner_name",), F.col("banner_name").isin("NATION_01", "NATION_02") | (F.col("banner_name") > "N")))
+SQL["pareto_filtered"] = oracle(f"""
+SELECT product_name, {cents('sn')} AS net_sales, {ratio('sum(sn) OVER (ORDER BY sn DESC RANGE UNBOUNDED PRECEDING)', 'sum(sn) OVER ()')}
+  AS running_share
+FROM (SELECT p.product_name, {N_NET} AS sn FROM {LINE_PROD} LEFT JOIN dim_store s ON l.store_id = s.store_id
+      WHERE s.banner_name IN ('NATION_01', 'NATION_02') OR s.banner_name > 'N' GROUP BY 1)""")

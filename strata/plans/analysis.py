@@ -63,20 +63,18 @@ def _nsjoin(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left
 
 
 # --- M10 / M11: same-store sales ---------------------------------------------------
-def _store_year(star: Star, where: Column | None, store_key: str = "store_id") -> DataFrame:
-    f = star.frame(M.LINE, ["year"], where)
-    return f.groupBy(store_key, "year").agg(money_sum("line_subtotal_cad").alias("s"))
-
-
-def same_store(star: Star, where: Column | None = None, store_key: str = "store_id") -> DataFrame:
-    """M10/M11 per year: sales of stores that sold in the year and the year
-    before (a semi-join of (store, year) with the shifted set), their prior
-    year sales, and the growth."""
-    sy = _store_year(star, where, store_key)
-    prev = sy.select(store_key, (F.col("year") + 1).alias("year"), F.col("s").alias("s_py"))
-    both = sy.join(prev, [store_key, "year"], "inner")
-    agg = both.groupBy("year").agg(F.sum("s").alias("cur"), F.sum("s_py").alias("prior"))
-    return agg.select("year", cents("cur").alias("same_store_sales"), cents("prior").alias("same_store_sales_py"),
+def same_store(star: Star, where: Column | None = None, store_key: str = "store_id",
+               by: list[str] | tuple = ()) -> DataFrame:
+    """M10/M11 per year (and ``by``): sales of stores that sold in the year and
+    the year before, their prior year sales, and the growth. Whether a store sold
+    in both years is asked within the same ``by`` values; the fact is aggregated
+    once and met with itself a year later."""
+    by = list(by)
+    sy = star.frame(M.LINE, [*by, "year"], where).groupBy(*by, store_key, "year").agg(money_sum("line_subtotal_cad").alias("s"))
+    prev = sy.select(*by, store_key, (F.col("year") + 1).alias("year"), F.col("s").alias("s_py"))
+    both = _nsjoin(sy, prev, [*by, store_key, "year"], "inner")
+    agg = both.groupBy(*by, "year").agg(F.sum("s").alias("cur"), F.sum("s_py").alias("prior"))
+    return agg.select(*by, "year", cents("cur").alias("same_store_sales"), cents("prior").alias("same_store_sales_py"),
                       ratio(F.col("cur") - F.col("prior"), F.col("prior")).alias("same_store_growth"))
 
 
@@ -232,36 +230,43 @@ def cohort_retention(star: Star, period: str = "year", where: Column | None = No
 BRIDGE_STEPS = [("GM PY", 0), ("Volume", 1), ("Mix", 2), ("Price", 3), ("Markdown", 4), ("Cost", 5)]
 
 
-def gm_bridge(star: Star, product_key: str = "product_id", where: Column | None = None) -> DataFrame:
-    """M47-M52, M54 per year against the year before.
+def gm_bridge(star: Star, product_key: str = "product_id", where: Column | None = None,
+              by: list[str] | tuple = ()) -> DataFrame:
+    """M47-M52, M54 per year (and ``by``) against the year before.
 
     Per (product, year) bases are aggregated once; the prior year is the same
     table shifted by one year and full-outer joined per product; the bridge
     sums run per year over that product table.
     """
-    f = star.frame(M.LINE, ["year"], where)
-    py_ = f.groupBy(product_key, "year").agg(
+    by = list(by)
+    f = star.frame(M.LINE, [*by, "year"], where)
+    py_ = f.groupBy(*by, product_key, "year").agg(
         F.sum("quantity").alias("q"), money_sum("line_subtotal_cad").alias("net"),
         money_sum("line_cost_cad").alias("cost"),
         money_sum(F.col("quantity") * F.col("unit_list_price_cad")).alias("lst"),
         money_sum(F.col("quantity") * F.col("unit_discount_cad")).alias("dsc"))
-    cur = py_.select(product_key, "year", *[F.col(c).alias(f"{c}2") for c in ("q", "net", "cost", "lst", "dsc")])
-    prv = py_.select(product_key, (F.col("year") + 1).alias("year"),
+    cur = py_.select(*by, product_key, "year", *[F.col(c).alias(f"{c}2") for c in ("q", "net", "cost", "lst", "dsc")])
+    prv = py_.select(*by, product_key, (F.col("year") + 1).alias("year"),
                      *[F.col(c).alias(f"{c}1") for c in ("q", "net", "cost", "lst", "dsc")])
-    t = cur.join(prv, [product_key, "year"], "full")
+    # Both sides to one row per key by an aggregate: keys may be NULL, and no side is lost.
+    own = [f"{c}{i}" for i in (2, 1) for c in ("q", "net", "cost", "lst", "dsc")]
+    t = (cur.unionByName(prv, allowMissingColumns=True).groupBy(*by, product_key, "year")
+         .agg(*[F.max(c).alias(c) for c in own]))
     d = lambda c: F.col(c).cast("double")
     q1, q2 = F.coalesce(d("q1"), F.lit(0.0)), F.coalesce(d("q2"), F.lit(0.0))
     m1u = F.coalesce(divide(F.col("net1") - F.col("cost1"), F.col("q1")), F.lit(0.0))
     unit = lambda a, q: F.coalesce(divide(F.col(a), F.col(q)), F.lit(0.0))
-    per = t.select("year", q1.alias("q1"), q2.alias("q2"), m1u.alias("m1u"),
+    # Sums of decimals do not depend on the order of the partitions, those of doubles do.
+    exact = lambda x: F.sum(x.cast("decimal(28,6)")).cast("double")
+    per = t.select(*by, "year", q1.alias("q1"), q2.alias("q2"), m1u.alias("m1u"),
                    (F.col("net1") - F.col("cost1")).alias("gm1"), (F.col("net2") - F.col("cost2")).alias("gm2"),
                    (q2 * (unit("lst2", "q2") - unit("lst1", "q1"))).alias("price"),
                    (q2 * (unit("dsc2", "q2") - unit("dsc1", "q1"))).alias("markdown"),
                    (q2 * (unit("cost2", "q2") - unit("cost1", "q1"))).alias("costfx"))
-    agg = per.groupBy("year").agg(
+    agg = per.groupBy(*by, "year").agg(
         F.sum("q1").alias("Q1"), F.sum("q2").alias("Q2"), F.sum("gm1").alias("GM1"), F.sum("gm2").alias("GM2"),
-        F.sum(F.col("q2") * F.col("m1u")).alias("A"), F.sum(F.col("q1") * F.col("m1u")).alias("B"),
-        F.sum("price").alias("P"), F.sum("markdown").alias("MD"), F.sum("costfx").alias("C"),
+        exact(F.col("q2") * F.col("m1u")).alias("A"), exact(F.col("q1") * F.col("m1u")).alias("B"),
+        exact(F.col("price")).alias("P"), exact(F.col("markdown")).alias("MD"), exact(F.col("costfx")).alias("C"),
         F.count_if(F.col("gm1").isNotNull()).alias("n_py"), F.count_if(F.col("gm2").isNotNull()).alias("n_cy"))
     # only years with current-year sales (the shifted side also yields the
     # year after the last one); a filter on the per-year result, no extra scan
@@ -275,7 +280,7 @@ def gm_bridge(star: Star, product_key: str = "product_id", where: Column | None
     mkd = F.when(has_py, -F.col("MD") / F.lit(MONEY_SCALE))
     cst = F.when(has_py, -F.col("C") / F.lit(MONEY_SCALE))
     gm = F.col("GM2") / F.lit(MONEY_SCALE)
-    out = agg.select("year", gm.alias("gm"), gm1.alias("gm_py"), vol.alias("volume"), mix.alias("mix"),
+    out = agg.select(*by, "year", gm.alias("gm"), gm1.alias("gm_py"), vol.alias("volume"), mix.alias("mix"),
                      price.alias("price"), mkd.alias("markdown"), cst.alias("cost"))
     return out
 
@@ -286,7 +291,7 @@ def _c2(x: Column) -> Column:
 
 def gm_bridge_rounded(star: Star, **kw) -> DataFrame:
     b = gm_bridge(star, **kw)
-    return b.select("year", *[_c2(F.col(c)).alias(c) for c in
+    return b.select(*kw.get("by", ()), "year", *[_c2(F.col(c)).alias(c) for c in
                               ("gm", "gm_py", "volume", "mix", "price", "markdown", "cost")])
 
 
