@@ -188,13 +188,16 @@ class LineIndex:
         """``docs`` with the new ``text``, ``n_lines``, ``n_dropped`` and
         ``kept_sha256``."""
         drops = (self.may_drop(docs).join(self.counts.select("digest", "keep_doc"), "digest")
-                 .filter("doc_id <> keep_doc").groupBy(F.col("doc_id").alias("_doc"))
-                 .agg(F.collect_set("digest").alias("_drops")))
-        both = docs.join(drops.hint("merge"), F.col("doc_id").cast("long") == F.col("_doc"), "left")
-        made = _rewrite(self.min_chars)(text_of(), F.col("_drops"))
+                 .filter("doc_id <> keep_doc").groupBy(F.col("doc_id").alias("doc"))
+                 .agg(F.collect_set("digest").alias("drops")))
+        # The row is packed, so that no column of the input can clash with those here.
+        row = F.col("row")
+        both = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc")).join(
+            drops.hint("merge"), "doc", "left")
+        made = both.select("row", _rewrite(self.min_chars)(text_of(row["text"]), F.col("drops")).alias("made"))
         names = ("text", "n_lines", "n_dropped", "kept_sha256")
-        return (both.withColumn("_made", made)
-                .withColumns({n: F.col(f"_made.{n}") for n in names}).drop("_made", "_doc", "_drops"))
+        kept = [(F.col("made")[c] if c in names else row[c]).alias(c) for c in docs.columns]
+        return made.select(*kept, *[F.col("made")[c].alias(c) for c in names if c not in docs.columns])
 
 
 def shards_for(docs: DataFrame) -> int:

@@ -9,16 +9,19 @@ first, so a bucket holds different sets only.
 
 Pairs are bounded by stars: each bucket member is compared with the bucket's
 smallest document only, on the full sets. Links between two members that are
-not the centre could be lost that way, so buckets whose members are still in
-different components are gone through again: their sets are packed into blocks
-of about ``BLOCK`` members and ``BLOCK_SHINGLES`` shingles at most (a longer set
-has its own). Members of a bucket's largest component need no comparing with each
-other, so only blocks of the other members meet all blocks of the bucket as
-tiles; a task compares what lies in different components and hands on a link only
-where it joins two of them. No join emits the pairs of a group, and a task holds
-two blocks. In a tile, pairs whose sizes rule out the limit are
-left out, and so are those whose signatures agree in so few places that the limit
-is ``SIGMAS`` standard errors away; the rest are compared on the full sets.
+not the centre could be lost that way, so the members of buckets that still hold
+several components are gone through again. Two sets at or above the limit share
+one of their rarest shingles: with all shingles in one order by how many of these
+documents have them, the rarest ``n - ceil(limit * n) + 1`` of a set of n are
+enough to find it (prefix filter). Shingles that stand in one document only drop
+out there, so documents on a common template, whose own words are the rare ones,
+do not meet at all. Documents that share such a shingle are candidates if their
+components differ, their sizes allow the limit, and their signatures agree in as
+many places as the limit asks for, less ``SIGMAS`` standard errors. Groups of up
+to ``SMALL`` documents are joined; in larger ones signatures alone are compared,
+in blocks of ``BLOCK``, and only the pairs that pass come out. Candidates are made
+distinct before any set is fetched for the exact comparison. No join emits the
+pairs of a large group, and no row holds more than a block of signatures.
 
 Defined results: null or empty texts have n_shingles 0 and are their own
 component. Rows with a repeated doc_id are one document with several sets: each
@@ -32,7 +35,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
@@ -41,7 +44,7 @@ from strata.llm.components import connected_components
 
 BANDS, ROWS = 36, 7
 BINS = BANDS * ROWS
-BLOCK, BLOCK_SHINGLES, SIGMAS = 512, 500_000, 6
+BLOCK, SMALL, SIGMAS = 512, 32, 6
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _DRAWS = np.random.default_rng(7).integers(0, BINS, (4096, BINS), dtype=np.int16)
 _SEEDS = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -135,7 +138,10 @@ def _sets(k: int):
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (u, v) with ``inter`` and ``whole``: sizes of intersection and
-    union of the full sets. The set travels with the pair only where needed."""
+    union of the full sets. The set travels with the pair only where needed. Sets
+    of similar documents take far less room in a file than in memory, so their file
+    size does not prove that they may be broadcast: they are always sorted."""
+    sets = sets.hint("merge")
     a = sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv"))
     b = sets.select(F.col("node").alias("u"), F.col("shingles").alias("su"))
     inter = F.size(F.array_intersect("su", "sv"))
@@ -143,68 +149,92 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .select("u", "v", "inter", (F.size("su") + F.size("sv") - F.col("inter")).alias("whole")))
 
 
-_PACKED = "bucket long, apart boolean, block int, nodes binary, components binary, sizes binary, sets binary, marks binary"
+def may_link(size_a, marks_a, size_b, marks_b, percent: int) -> np.ndarray:
+    """Which pairs (row by row) sizes and signatures leave possible. Marks are the
+    lowest bytes of the signature values (chance agreement only adds pairs)."""
+    small, large = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
+    share = percent / 100
+    error = np.sqrt(share * (1 - share) / np.minimum(large, BINS))
+    agree = np.count_nonzero(marks_a == marks_b, axis=-1) / BINS
+    return (100 * small >= percent * large) & (agree >= share - SIGMAS * error)
+
+
+def _marks(column: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint8).reshape(len(column), BINS)
+
+
+def _possible(percent: int):
+    @F.pandas_udf("boolean")
+    def possible(n: pd.Series, marks: pd.Series, n2: pd.Series, marks2: pd.Series) -> pd.Series:
+        return pd.Series(may_link(n.to_numpy(), _marks(marks), n2.to_numpy(), _marks(marks2), percent))
+
+    return possible
+
+
+_PACKED = "s long, block int, nodes binary, components binary, sizes binary, marks binary"
 
 
 def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One block of a bucket in a row. Marks are the lowest bytes of the signature
-    values (chance agreement only adds pairs to compare)."""
+    """One block of a large group in a row: signatures, no sets."""
     pdf = pdf.sort_values("u")
-    sets = [np.asarray(x, np.int64).view(np.uint64) for x in pdf["shingles"]]
-    return pd.DataFrame([(*pdf[["bucket", "apart", "block"]].iloc[0], pdf["u"].to_numpy(np.int64).tobytes(),
-                          pdf["component"].to_numpy(np.int64).tobytes(), np.array([len(x) for x in sets]).tobytes(),
-                          np.concatenate(sets).tobytes(), b"".join(pdf["marks"]))],
+    numbers = [pdf[c].to_numpy(np.int64).tobytes() for c in ("u", "component", "n")]
+    return pd.DataFrame([(*pdf[["s", "block"]].iloc[0], *numbers, b"".join(pdf["marks"]))],
                         columns=[c.split()[0] for c in _PACKED.split(", ")])
 
 
-def _unpack(row, side: str):
-    sizes = np.frombuffer(row[f"sizes{side}"], np.int64)
-    sets = np.split(np.frombuffer(row[f"sets{side}"], np.uint64), np.cumsum(sizes)[:-1])
-    return (np.frombuffer(row[f"nodes{side}"], np.int64), np.frombuffer(row[f"components{side}"], np.int64).copy(),
-            sizes, sets, np.frombuffer(row[f"marks{side}"], np.uint8).reshape(len(sizes), BINS))
-
-
-def joining_links(a, b, same: bool, percent: int) -> list[tuple[int, int]]:
-    """Pairs of components (u, v) that links between blocks ``a`` and ``b`` join;
-    components joined in this tile count as one from then on."""
-    _, comp_a, size_a, sets_a, marks_a = a
-    _, comp_b, size_b, sets_b, marks_b = b
-    share, out = percent / 100, []
-    for i in range(len(size_a)):
-        todo = np.flatnonzero(comp_b != comp_a[i])
-        if same:
-            todo = todo[todo > i]
-        small, large = np.minimum(size_b[todo], size_a[i]), np.maximum(size_b[todo], size_a[i])
-        todo, large = (x[100 * small >= percent * large] for x in (todo, large))
-        if not len(todo):
-            continue
-        agree = np.count_nonzero(marks_b[todo] == marks_a[i], axis=1) / BINS
-        error = np.sqrt(share * (1 - share) / np.minimum(large, BINS))
-        near = agree >= share - SIGMAS * error
-        for j in todo[near][np.argsort(-agree[near], kind="stable")]:
-            u, v = int(comp_a[i]), int(comp_b[j])
-            if u == v:
-                continue
-            inter = len(np.intersect1d(sets_a[i], sets_b[j], assume_unique=True))
-            if 100 * inter >= percent * (size_a[i] + size_b[j] - inter):
-                out.append((u, v))
-                for comps in (comp_a,) if same else (comp_a, comp_b):
-                    comps[comps == max(u, v)] = min(u, v)
-    return out
-
-
-def _tile_links(percent: int):
+def _tile_pairs(percent: int):
     def run(batches):
         for pdf in batches:
             for row in pdf.to_dict("records"):
-                a, same = _unpack(row, ""), (row["apart"], row["block"]) == (row["apart2"], row["block2"])
-                links = joining_links(a, a if same else _unpack(row, "2"), same, percent)
-                if links:
-                    yield pd.DataFrame(links, columns=["u", "v"])
+                a, b = ([np.frombuffer(row[f"{c}{side}"], np.int64) for c in ("nodes", "components", "sizes")]
+                        + [np.frombuffer(row[f"marks{side}"], np.uint8).reshape(-1, BINS)] for side in ("", "2"))
+                for i in range(len(a[0])):
+                    todo = np.flatnonzero(a[1][i] != b[1])
+                    if row["block"] == row["block2"]:
+                        todo = todo[todo > i]
+                    todo = todo[may_link(a[2][i], a[3][i], b[2][todo], b[3][todo], percent)]
+                    if len(todo):
+                        yield pd.DataFrame({"u": np.minimum(a[0][i], b[0][todo]), "v": np.maximum(a[0][i], b[0][todo])})
 
     return run
 
 
+def rare_shingles(members: DataFrame, percent: int) -> DataFrame:
+    """(u, s, df): the shingles in which a set must meet another one that reaches
+    the limit, ``df`` being the number of ``members`` (u, n, shingles) with it."""
+    # Exploded sets are far larger than their files say: never broadcast.
+    each = members.select("u", "n", F.explode("shingles").alias("s")).hint("merge")
+    df = each.groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    # A shingle of one member only comes first in the order and meets nobody: counted, not kept.
+    shared = each.join(df, "s")
+    place = F.row_number().over(Window.partitionBy("u").orderBy("df", "s"))
+    held = shared.groupBy("u").agg(F.count(F.lit(1)).alias("held"))
+    alone = F.col("n") - F.col("held")
+    needed = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    return (shared.withColumn("place", place).hint("merge").join(held, "u").filter(F.col("place") + alone <= needed)
+            .select("u", "s", "df"))
+
+
+def open_links(members: DataFrame, percent: int) -> DataFrame:
+    """(u, v): pairs of ``members`` (u, component, n, shingles, marks) in different
+    components that sizes and signatures leave possible, each once."""
+    rare = materialise(rare_shingles(members, percent), "rare-shingles")
+    who = members.select("u", "component", F.col("n").cast("long").alias("n"))
+    small = rare.filter(F.col("df") <= SMALL).select("u", "s").join(who, "u")
+    other = small.select("s", *[F.col(c).alias(f"{c}2") for c in ("u", "component", "n")])
+    met = (small.join(other, "s").filter("u < u2 and component <> component2")
+           .filter(f"100 * least(n, n2) >= {percent} * greatest(n, n2)").select("u", "n", "u2", "n2").distinct())
+    marks = members.select("u", "marks")
+    near = (met.join(marks, "u").join(marks.select(F.col("u").alias("u2"), F.col("marks").alias("marks2")), "u2")
+            .filter(_possible(percent)("n", "marks", "n2", "marks2")).select("u", F.col("u2").alias("v")))
+    large = (rare.filter(F.col("df") > SMALL).withColumn("block", F.expr(
+        f"cast(pmod(xxhash64(u), ceil(df / {BLOCK})) as int)")).join(who, "u").join(marks, "u"))
+    packed = materialise(large.groupBy("s", "block").applyInPandas(_pack, _PACKED), "open-blocks")
+    right = packed.select("s", *[F.col(c).alias(f"{c}2") for c in packed.columns if c != "s"])
+    tiles = packed.join(right, "s").filter("block <= block2").mapInPandas(_tile_pairs(percent), "u long, v long")
+    return near.unionByName(tiles).distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``; links
     are pairs with 100 * intersection >= percent * union."""
@@ -233,9 +263,8 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
         asked = asked.join(of_least, "node").select("doc_id").distinct()
     else:
         asked = asked.withColumnRenamed("node", "doc_id")
-    # One plan at every size: the texts are the large side, the nodes grow with them.
     sets = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-            .join(asked.hint("merge"), "doc_id", "left_semi").select("doc_id", _sets(k)("text").alias("s"))
+            .join(asked, "doc_id", "left_semi").select("doc_id", _sets(k)("text").alias("s"))
             .select("doc_id", "s.*"))
     if repeated:  # each node's own set, once
         sets = (sets.join(of_least, ["doc_id", "digest"])
@@ -252,21 +281,15 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     comp = first.select(F.col("node").alias("u"), "component")
     at = (buckets.join(comp, "u", "left").withColumn("component", F.coalesce("component", "u"))
           .select("bucket", "u", "n", "component"))
-    # Blocks that a number of members needs; summed by component, then by bucket.
-    fill = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)
-    split = (at.groupBy("bucket", "component").agg(fill.alias("fill")).groupBy("bucket")
-             .agg(F.max(F.struct("fill", "component")).alias("main"), F.sum("fill").alias("fill"),
-                  F.count(F.lit(1)).alias("components")).filter("components > 1")
-             .select("bucket", F.col("main.component").alias("main"), F.ceil("main.fill").alias("blocks"),
-                     F.ceil(F.col("fill") - F.col("main.fill")).alias("blocks_apart")))
-    open_ = (at.join(split, "bucket").withColumn("apart", F.col("component") != F.col("main"))
-             .withColumn("block", F.expr(
-                 "cast(pmod(xxhash64(u), greatest(1, if(apart, blocks_apart, blocks))) as int)"))
-             .select("bucket", "u", "component", "apart", "block").join(sets.withColumnRenamed("node", "u"), "u"))
-    packed = materialise(open_.groupBy("bucket", "apart", "block").applyInPandas(_pack, _PACKED), "open-blocks")
-    right = packed.select("bucket", *[F.col(c).alias(f"{c}2") for c in packed.columns if c != "bucket"])
-    late = (packed.filter("apart").join(right, "bucket").filter("not apart2 or block <= block2")
-            .mapInPandas(_tile_links(percent), "u long, v long").distinct())
+    several = (at.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("z"))
+               .filter("a <> z").select("bucket"))
+    open_ = materialise(at.join(several, "bucket", "left_semi").select("u", "n", "component").distinct()
+                        .join(sets.withColumnRenamed("node", "u").hint("merge"), "u"), "open")
+    pairs = materialise(open_links(open_, percent), "open-links")
+    linked = _overlaps(pairs, sets).filter(f"100 * inter >= {percent} * whole")
+    of = open_.select("u", "component")
+    late = (linked.join(of, "u").join(of.select(F.col("u").alias("v"), F.col("component").alias("component2")), "v")
+            .select(F.col("component").alias("u"), F.col("component2").alias("v")).distinct())
     second = connected_components(late)
 
     whole = (first.withColumnRenamed("component", "mid")
@@ -309,12 +332,13 @@ def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFram
     """The documents that stay, with the input's columns; of rows equal in doc_id
     and text one stays."""
     stay = materialise(near_duplicates(docs, k, percent).filter("kept and doc_id is not null")
-                       .groupBy(F.col("doc_id").alias("_stay")).agg(F.count(F.lit(1)).alias("_rows")), "stay")
-    out = docs.join(stay.hint("merge"), F.col("doc_id").cast("long") == F.col("_stay"), "left").filter(
-        "_stay is not null or doc_id is null")
-    if not stay.filter("_rows > 1").isEmpty():
-        several = F.coalesce(F.col("_rows") > 1, F.lit(False))
-        once = (out.filter(several).withColumn("_text", F.unhex(F.sha2(text_of(), 256)))
-                .dropDuplicates(["_stay", "_text"]).drop("_text"))
+                       .groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "stay")
+    # The row is packed, so that no column of the input can clash with those here.
+    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    out = packed.join(stay, "doc_id", "left").filter("rows is not null or doc_id is null")
+    if not stay.filter("rows > 1").isEmpty():
+        several = F.coalesce(F.col("rows") > 1, F.lit(False))
+        once = (out.filter(several).withColumn("digest", F.unhex(F.sha2(text_of(F.col("row")["text"]), 256)))
+                .dropDuplicates(["doc_id", "digest"]).drop("digest"))
         out = out.filter(~several).unionByName(once)
-    return out.drop("_stay", "_rows")
+    return out.select("row.*")

@@ -79,6 +79,44 @@ def test_line_dedup(docs):
     assert any(v[1] for v in want.values())
 
 
+def test_columns_named_like_those_inside(spark):
+    line = "a line of more than forty characters, for certain"
+    names = ["_doc", "_drops", "_made", "row", "drops", "made", "_stay", "_rows", "rows", "digest", "n_lines"]
+    docs = spark.createDataFrame([(i, line + "\nown %d" % i, *names) for i in range(6)] * 2,
+                                 "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    got = line_dedup.dedup_lines(docs).collect()
+    assert {(r.doc_id, r.n_dropped, r._doc, r._made, r.row, r.made) for r in got} == {
+        (i, int(i < 5), "_doc", "_made", "row", "made") for i in range(6)}
+    stay = minhash_dedup.keep_one_of_each(docs)
+    assert stay.columns == docs.columns
+    assert sorted((r.doc_id, *(r[n] for n in names)) for r in stay.collect()) == [(i, *names) for i in range(6)]
+
+
+def test_near_dup_of_documents_on_a_template(spark):
+    """Many documents that share most buckets and are not linked, a few that are."""
+    r = random.Random(8)
+    base = ["w%d" % r.randint(0, 5000) for _ in range(300)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for p in r.sample(range(300), 22):
+            words[p] = "e%d_%d" % (i, p)
+        if i % 50 == 7:  # a near copy of the document before
+            words = rows[-1][1].split(" ")
+            words[5] = "other"
+        rows.append((i, " ".join(words)))
+    sets = {i: {tuple(t.split()[k:k + 4]) for k in range(len(t.split()) - 3)} for i, t in rows}
+    want = {i: i for i in sets}
+    for i in sets:
+        for j in range(i):
+            x = len(sets[i] & sets[j])
+            if 100 * x >= 80 * (len(sets[i]) + len(sets[j]) - x):
+                want[i] = min(want[i], want[j])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(docs, 4).collect()} == want
+    assert len(set(want.values())) == 392
+
+
 def test_line_dedup_is_reversible(spark, docs):
     first, rest = docs.filter("doc_id < 70"), docs.filter("doc_id >= 70")
     index = line_dedup.LineIndex(spark, 4).insert(first)
