@@ -19,9 +19,11 @@ do not meet at all. Documents that share such a shingle are candidates if their
 components differ, their sizes allow the limit, and their signatures agree in as
 many places as the limit asks for, less ``SIGMAS`` standard errors. Groups of up
 to ``SMALL`` documents are joined; in larger ones signatures alone are compared,
-in blocks of ``BLOCK``, and only the pairs that pass come out. Candidates are made
-distinct before any set is fetched for the exact comparison. No join emits the
-pairs of a large group, and no row holds more than a block of signatures.
+in blocks of ``BLOCK``, and only the pairs that pass come out. In large groups every
+document first offers its few best agreements, twice, and components are joined;
+only what is then still apart is compared in full. Candidates are made distinct
+before any set is fetched for the exact comparison. No join emits the pairs of a
+large group, and no row holds more than a block of signatures.
 
 Defined results: null or empty texts have n_shingles 0 and are their own
 component. Rows with a repeated doc_id are one document with several sets: each
@@ -45,6 +47,7 @@ from strata.llm.components import connected_components
 BANDS, ROWS = 36, 7
 BINS = BANDS * ROWS
 BLOCK, SMALL, SIGMAS = 512, 32, 6
+BEST, GROUPS = 4, 2
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _DRAWS = np.random.default_rng(7).integers(0, BINS, (4096, BINS), dtype=np.int16)
 _SEEDS = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -149,14 +152,15 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .select("u", "v", "inter", (F.size("su") + F.size("sv") - F.col("inter")).alias("whole")))
 
 
-def may_link(size_a, marks_a, size_b, marks_b, percent: int) -> np.ndarray:
-    """Which pairs (row by row) sizes and signatures leave possible. Marks are the
-    lowest bytes of the signature values (chance agreement only adds pairs)."""
+def agreement(size_a, marks_a, size_b, marks_b, percent: int) -> np.ndarray:
+    """Share of equal places in the signatures of pairs (row by row), -1 where sizes
+    or signatures rule a link out. Marks are the lowest bytes of the signature
+    values (chance agreement only adds pairs)."""
     small, large = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
     share = percent / 100
     error = np.sqrt(share * (1 - share) / np.minimum(large, BINS))
     agree = np.count_nonzero(marks_a == marks_b, axis=-1) / BINS
-    return (100 * small >= percent * large) & (agree >= share - SIGMAS * error)
+    return np.where((100 * small >= percent * large) & (agree >= share - SIGMAS * error), agree, -1)
 
 
 def _marks(column: pd.Series) -> np.ndarray:
@@ -166,7 +170,7 @@ def _marks(column: pd.Series) -> np.ndarray:
 def _possible(percent: int):
     @F.pandas_udf("boolean")
     def possible(n: pd.Series, marks: pd.Series, n2: pd.Series, marks2: pd.Series) -> pd.Series:
-        return pd.Series(may_link(n.to_numpy(), _marks(marks), n2.to_numpy(), _marks(marks2), percent))
+        return pd.Series(agreement(n.to_numpy(), _marks(marks), n2.to_numpy(), _marks(marks2), percent) >= 0)
 
     return possible
 
@@ -182,7 +186,7 @@ def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
                         columns=[c.split()[0] for c in _PACKED.split(", ")])
 
 
-def _tile_pairs(percent: int):
+def _tile_pairs(percent: int, best: int | None):
     def run(batches):
         for pdf in batches:
             for row in pdf.to_dict("records"):
@@ -192,7 +196,8 @@ def _tile_pairs(percent: int):
                     todo = np.flatnonzero(a[1][i] != b[1])
                     if row["block"] == row["block2"]:
                         todo = todo[todo > i]
-                    todo = todo[may_link(a[2][i], a[3][i], b[2][todo], b[3][todo], percent)]
+                    agree = agreement(a[2][i], a[3][i], b[2][todo], b[3][todo], percent)
+                    todo = todo[agree >= 0] if best is None else todo[np.argsort(-agree)[:min(best, (agree >= 0).sum())]]
                     if len(todo):
                         yield pd.DataFrame({"u": np.minimum(a[0][i], b[0][todo]), "v": np.maximum(a[0][i], b[0][todo])})
 
@@ -215,24 +220,63 @@ def rare_shingles(members: DataFrame, percent: int) -> DataFrame:
             .select("u", "s", "df"))
 
 
-def open_links(members: DataFrame, percent: int) -> DataFrame:
-    """(u, v): pairs of ``members`` (u, component, n, shingles, marks) in different
-    components that sizes and signatures leave possible, each once."""
-    rare = materialise(rare_shingles(members, percent), "rare-shingles")
+def small_group_links(members: DataFrame, rare: DataFrame, percent: int) -> DataFrame:
+    """(u, v): pairs of ``members`` (u, component, n, marks) in different components
+    that share a rare shingle of ``SMALL`` members at most and that sizes and
+    signatures leave possible, each once."""
     who = members.select("u", "component", F.col("n").cast("long").alias("n"))
     small = rare.filter(F.col("df") <= SMALL).select("u", "s").join(who, "u")
     other = small.select("s", *[F.col(c).alias(f"{c}2") for c in ("u", "component", "n")])
     met = (small.join(other, "s").filter("u < u2 and component <> component2")
            .filter(f"100 * least(n, n2) >= {percent} * greatest(n, n2)").select("u", "n", "u2", "n2").distinct())
     marks = members.select("u", "marks")
-    near = (met.join(marks, "u").join(marks.select(F.col("u").alias("u2"), F.col("marks").alias("marks2")), "u2")
+    return (met.join(marks, "u").join(marks.select(F.col("u").alias("u2"), F.col("marks").alias("marks2")), "u2")
             .filter(_possible(percent)("n", "marks", "n2", "marks2")).select("u", F.col("u2").alias("v")))
-    large = (rare.filter(F.col("df") > SMALL).withColumn("block", F.expr(
-        f"cast(pmod(xxhash64(u), ceil(df / {BLOCK})) as int)")).join(who, "u").join(marks, "u"))
+
+
+def large_group_links(members: DataFrame, rare: DataFrame, percent: int, best: int | None) -> DataFrame:
+    """The same for larger groups. With ``best`` a member meets the others in its
+    ``GROUPS`` rarest groups only, and only its best agreements per block come out."""
+    large = rare.filter(F.col("df") > SMALL).join(
+        members.select("u", "component", F.col("n").cast("long").alias("n"), "marks"), "u")
+    if best is not None:
+        place = F.row_number().over(Window.partitionBy("u").orderBy("df", "s"))
+        large = large.withColumn("place", place).filter(F.col("place") <= GROUPS).drop("place")
+    several = large.groupBy("s").agg(F.min("component").alias("a"), F.max("component").alias("z")).filter("a <> z")
+    large = large.join(several.select("s"), "s", "left_semi").withColumn(
+        "block", F.expr(f"cast(pmod(xxhash64(u), ceil(df / {BLOCK})) as int)"))
     packed = materialise(large.groupBy("s", "block").applyInPandas(_pack, _PACKED), "open-blocks")
     right = packed.select("s", *[F.col(c).alias(f"{c}2") for c in packed.columns if c != "s"])
-    tiles = packed.join(right, "s").filter("block <= block2").mapInPandas(_tile_pairs(percent), "u long, v long")
-    return near.unionByName(tiles).distinct()
+    return (packed.join(right, "s").filter("block <= block2")
+            .mapInPandas(_tile_pairs(percent, best), "u long, v long").distinct())
+
+
+def join_open(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(u, component): ``open_`` (u, n, component, shingles, marks) with the
+    components joined that links between them join.
+
+    Small groups are gone through once. In large groups a member first offers its
+    best agreements only, twice, which joins what belongs together with few pairs;
+    then all pairs between components that are still apart are compared."""
+    rare = materialise(rare_shingles(open_, percent), "rare-shingles")
+    marks, now = open_.select("u", "n", "marks"), open_.select("u", "component")
+    pairs = materialise(small_group_links(open_, rare, percent), "open-links")
+    now = _joined(now, pairs, sets, percent)
+    for best in (BEST, BEST, None):
+        pairs = materialise(large_group_links(marks.join(now, "u"), rare, percent, best), "open-links")
+        if not pairs.isEmpty():
+            now = _joined(now, pairs, sets, percent)
+    return now
+
+
+def _joined(now: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``now`` (u, component) after the links among ``pairs``, confirmed on the sets."""
+    linked = _overlaps(pairs, sets).filter(f"100 * inter >= {percent} * whole")
+    late = (linked.join(now, "u").join(now.select(F.col("u").alias("v"), F.col("component").alias("component2")), "v")
+            .select(F.col("component").alias("u"), F.col("component2").alias("v")).distinct())
+    joined = connected_components(late).select(F.col("node").alias("component"), F.col("component").alias("end"))
+    return materialise(now.join(joined, "component", "left").select("u", F.coalesce("end", "component").alias("component")),
+                       "open-components")
 
 
 def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame:
@@ -285,12 +329,10 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
                .filter("a <> z").select("bucket"))
     open_ = materialise(at.join(several, "bucket", "left_semi").select("u", "n", "component").distinct()
                         .join(sets.withColumnRenamed("node", "u").hint("merge"), "u"), "open")
-    pairs = materialise(open_links(open_, percent), "open-links")
-    linked = _overlaps(pairs, sets).filter(f"100 * inter >= {percent} * whole")
-    of = open_.select("u", "component")
-    late = (linked.join(of, "u").join(of.select(F.col("u").alias("v"), F.col("component").alias("component2")), "v")
-            .select(F.col("component").alias("u"), F.col("component2").alias("v")).distinct())
-    second = connected_components(late)
+    ends = join_open(open_, sets, percent)
+    # (old component, new component) of the components that stood in an open bucket.
+    second = materialise(open_.select("u", F.col("component").alias("node")).join(ends, "u").filter("node <> component")
+                         .select("node", "component").distinct(), "joined")
 
     whole = (first.withColumnRenamed("component", "mid")
              .join(second.select(F.col("node").alias("mid"), F.col("component").alias("end")), "mid", "left")
