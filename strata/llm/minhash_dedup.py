@@ -47,7 +47,7 @@ from strata.llm.components import connected_components
 BANDS, ROWS = 36, 7
 BINS = BANDS * ROWS
 BLOCK, SMALL, SIGMAS = 512, 32, 6
-BEST, GROUPS = 4, 2
+BEST, GROUPS, FIRSTS = 4, 2, 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _DRAWS = np.random.default_rng(7).integers(0, BINS, (4096, BINS), dtype=np.int16)
 _SEEDS = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -175,14 +175,18 @@ def _possible(percent: int):
     return possible
 
 
-_PACKED = "s long, block int, nodes binary, components binary, sizes binary, marks binary"
+_PACKED = "s long, block int, nodes binary, components binary, sizes binary, marks binary, firsts binary"
 
 
 def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
     """One block of a large group in a row: signatures, no sets."""
     pdf = pdf.sort_values("u")
     numbers = [pdf[c].to_numpy(np.int64).tobytes() for c in ("u", "component", "n")]
-    return pd.DataFrame([(*pdf[["s", "block"]].iloc[0], *numbers, b"".join(pdf["marks"]))],
+    firsts = np.zeros((len(pdf), FIRSTS), np.int64)
+    for i, x in enumerate(pdf["firsts"]):
+        firsts[i, :len(x)] = x
+        firsts[i, len(x):] = x[0]  # repeated, no further group
+    return pd.DataFrame([(*pdf[["s", "block"]].iloc[0], *numbers, b"".join(pdf["marks"]), firsts.tobytes())],
                         columns=[c.split()[0] for c in _PACKED.split(", ")])
 
 
@@ -191,11 +195,19 @@ def _tile_pairs(percent: int, best: int | None):
         for pdf in batches:
             for row in pdf.to_dict("records"):
                 a, b = ([np.frombuffer(row[f"{c}{side}"], np.int64) for c in ("nodes", "components", "sizes")]
-                        + [np.frombuffer(row[f"marks{side}"], np.uint8).reshape(-1, BINS)] for side in ("", "2"))
+                        + [np.frombuffer(row[f"marks{side}"], np.uint8).reshape(-1, BINS),
+                           np.frombuffer(row[f"firsts{side}"], np.int64).reshape(-1, FIRSTS)] for side in ("", "2"))
                 for i in range(len(a[0])):
                     todo = np.flatnonzero(a[1][i] != b[1])
                     if row["block"] == row["block2"]:
                         todo = todo[todo > i]
+                    # Who shares an earlier group with this member has met it there.
+                    own = a[4][i]
+                    at = np.flatnonzero(own == row["s"])
+                    for earlier in own[:at[0] if len(at) else FIRSTS]:
+                        todo = todo[~(b[4][todo] == earlier).any(1)]
+                    if not len(todo):
+                        continue
                     agree = agreement(a[2][i], a[3][i], b[2][todo], b[3][todo], percent)
                     todo = todo[agree >= 0] if best is None else todo[np.argsort(-agree)[:min(best, (agree >= 0).sum())]]
                     if len(todo):
@@ -242,6 +254,9 @@ def large_group_links(members: DataFrame, rare: DataFrame, percent: int, best: i
     if best is not None:
         place = F.row_number().over(Window.partitionBy("u").orderBy("df", "s"))
         large = large.withColumn("place", place).filter(F.col("place") <= GROUPS).drop("place")
+    # The first groups of each member, in the order that all members share.
+    firsts = large.groupBy("u").agg(F.slice(F.sort_array(F.collect_list(F.struct("df", "s"))), 1, FIRSTS).alias("x"))
+    large = large.join(firsts.select("u", F.col("x.s").alias("firsts")), "u")
     several = large.groupBy("s").agg(F.min("component").alias("a"), F.max("component").alias("z")).filter("a <> z")
     large = large.join(several.select("s"), "s", "left_semi").withColumn(
         "block", F.expr(f"cast(pmod(xxhash64(u), ceil(df / {BLOCK})) as int)"))
