@@ -16,14 +16,15 @@ documents have them, the rarest ``n - ceil(limit * n) + 1`` of a set of n are
 enough to find it (prefix filter). Shingles that stand in one document only drop
 out there, so documents on a common template, whose own words are the rare ones,
 do not meet at all. Documents that share such a shingle are candidates if their
-components differ, their sizes allow the limit, and their signatures agree in as
-many places as the limit asks for, less ``SIGMAS`` standard errors. Groups of up
-to ``SMALL`` documents are joined; in larger ones signatures alone are compared,
-in blocks of ``BLOCK``, and only the pairs that pass come out. In large groups every
-document first offers its few best agreements, twice, and components are joined;
-only what is then still apart is compared in full. Candidates are made distinct
-before any set is fetched for the exact comparison. No join emits the pairs of a
-large group, and no row holds more than a block of signatures.
+components differ, their sizes allow the limit, and their sketches agree as far as
+the limit asks for, less ``SIGMAS`` standard errors. Groups of up to ``SMALL``
+documents are joined, and signatures are compared. In larger ones heads are, the
+``HEAD`` smallest hashes of a set, in blocks of ``BLOCK``: they hold all of a shorter
+document, so that almost no pair comes out that is not a link. In large groups every
+document first offers its few best ones, twice, and components are joined; only
+what is then still apart is compared in full. Candidates are made distinct before
+any set is fetched for the exact comparison. No join emits the pairs of a large
+group, and no row holds more than a block of heads (half a megabyte).
 
 Defined results: null or empty texts have n_shingles 0 and are their own
 component. Rows with a repeated doc_id are one document with several sets: each
@@ -46,7 +47,7 @@ from strata.llm.components import connected_components
 
 BANDS, ROWS = 36, 7
 BINS = BANDS * ROWS
-BLOCK, SMALL, SIGMAS = 512, 32, 6
+BLOCK, SMALL, SIGMAS, HEAD = 256, 32, 6, 512
 BEST, GROUPS, FIRSTS = 4, 2, 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _DRAWS = np.random.default_rng(7).integers(0, BINS, (4096, BINS), dtype=np.int16)
@@ -175,43 +176,113 @@ def _possible(percent: int):
     return possible
 
 
-_PACKED = "s long, block int, nodes binary, components binary, sizes binary, marks binary, firsts binary"
+def _heads():
+    """The smallest hashes of a set, their upper halves: all of a set of up to ``HEAD``."""
+    @F.pandas_udf("binary")
+    def head(smallest: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(x.view(np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for x in smallest])
+
+    return head
+
+
+def _shared(a: list[np.ndarray], b: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """How many values each sorted array of ``a`` has in common with each of ``b``."""
+    values, place = np.unique(np.concatenate(a + b), return_inverse=True)
+    row = np.repeat(np.arange(len(a) + len(b)), [len(x) for x in a + b])
+    left = row < len(a)
+    both = np.zeros((2, len(values)), bool)
+    both[0, place[left]] = both[1, place[~left]] = True
+    both = both.all(0)
+    keep = both[place]
+    row, column = row[keep], (np.cumsum(both) - 1)[place[keep]]
+    out = np.zeros((len(a), len(b)), np.float32)
+    for start in range(0, int(both.sum()), width):
+        at = (column >= start) & (column < start + width)
+        held = np.zeros((len(a) + len(b), width), np.float32)
+        held[row[at], column[at] - start] = 1
+        out += held[:len(a)] @ held[len(a):].T
+    return out
+
+
+def likeness(a: list[np.ndarray], size_a: np.ndarray, b: list[np.ndarray], size_b: np.ndarray,
+             percent: int) -> np.ndarray:
+    """Similarity of each head of ``a`` with each of ``b``, -1 where sizes or heads rule
+    a link out. Up to the smaller last value of two heads both sets are known: a
+    sample without replacement of their union, the whole of it for small sets, where
+    the limit decides alone. Elements of a set with equal halves, which its head holds
+    as one, are allowed for."""
+    share, most = percent / 100, np.uint32(2**32 - 1)
+    top_a = np.array([x[-1] if n > HEAD else most for x, n in zip(a, size_a)], np.uint32)
+    top_b = np.array([x[-1] if n > HEAD else most for x, n in zip(b, size_b)], np.uint32)
+    known_a = np.array([np.searchsorted(x, top_b, side="right") for x in a])
+    known_b = np.array([np.searchsorted(x, top_a, side="right") for x in b]).T
+    shared = _shared(a, b)
+    seen = known_a + known_b - shared
+    union = (size_a[:, None] + size_b) / (1 + share)  # the union at the limit
+    error = np.sqrt(share * (1 - share) / seen * np.clip(1 - seen / union, 0, 1))
+    alike = shared / seen
+    lost_a, lost_b = (np.minimum(n, HEAD) - [len(x) for x in h] for h, n in ((a, size_a), (b, size_b)))
+    slack = np.minimum(lost_a[:, None], lost_b) / seen + 1e-9
+    small, large = np.minimum(size_a[:, None], size_b), np.maximum(size_a[:, None], size_b)
+    return np.where((100 * small >= percent * large) & (alike >= share - SIGMAS * error - slack), alike, -1)
+
+
+_PACKED = "s long, block int, nodes binary, components binary, sizes binary, firsts binary, lengths binary, heads binary"
 
 
 def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One block of a large group in a row: signatures, no sets."""
+    """One block of a large group in a row: heads, no sets."""
     pdf = pdf.sort_values("u")
     numbers = [pdf[c].to_numpy(np.int64).tobytes() for c in ("u", "component", "n")]
     firsts = np.zeros((len(pdf), FIRSTS), np.int64)
     for i, x in enumerate(pdf["firsts"]):
         firsts[i, :len(x)] = x
         firsts[i, len(x):] = x[0]  # repeated, no further group
-    return pd.DataFrame([(*pdf[["s", "block"]].iloc[0], *numbers, b"".join(pdf["marks"]), firsts.tobytes())],
-                        columns=[c.split()[0] for c in _PACKED.split(", ")])
+    lengths = np.array([len(x) // 4 for x in pdf["head"]], np.int64)
+    return pd.DataFrame([(*pdf[["s", "block"]].iloc[0], *numbers, firsts.tobytes(), lengths.tobytes(),
+                          b"".join(pdf["head"]))], columns=[c.split()[0] for c in _PACKED.split(", ")])
+
+
+def _unpack(row: dict, side: str):
+    nodes, components, sizes, firsts, lengths = (
+        np.frombuffer(row[c + side], np.int64) for c in ("nodes", "components", "sizes", "firsts", "lengths"))
+    heads = np.split(np.frombuffer(row["heads" + side], np.uint32), np.cumsum(lengths)[:-1])
+    return nodes, components, sizes, firsts.reshape(-1, FIRSTS), heads
+
+
+def _apart(a, b, s: int, same: bool) -> np.ndarray:
+    """Which members of two blocks of group ``s`` are to be compared: of different
+    components, and without an earlier group in common, where they have met."""
+    todo = a[1][:, None] != b[1]
+    if same:
+        todo &= np.arange(len(a[0]))[:, None] < np.arange(len(b[0]))
+    here = a[3] == s
+    before = np.where(here.any(1), here.argmax(1), FIRSTS)
+    for p in range(int(before.max())):
+        own = np.flatnonzero(before > p)
+        for q in range(FIRSTS):
+            todo[own] &= a[3][own, p, None] != b[3][:, q]
+    return todo
 
 
 def _tile_pairs(percent: int, best: int | None):
     def run(batches):
         for pdf in batches:
             for row in pdf.to_dict("records"):
-                a, b = ([np.frombuffer(row[f"{c}{side}"], np.int64) for c in ("nodes", "components", "sizes")]
-                        + [np.frombuffer(row[f"marks{side}"], np.uint8).reshape(-1, BINS),
-                           np.frombuffer(row[f"firsts{side}"], np.int64).reshape(-1, FIRSTS)] for side in ("", "2"))
-                for i in range(len(a[0])):
-                    todo = np.flatnonzero(a[1][i] != b[1])
-                    if row["block"] == row["block2"]:
-                        todo = todo[todo > i]
-                    # Who shares an earlier group with this member has met it there.
-                    own = a[4][i]
-                    at = np.flatnonzero(own == row["s"])
-                    for earlier in own[:at[0] if len(at) else FIRSTS]:
-                        todo = todo[~(b[4][todo] == earlier).any(1)]
-                    if not len(todo):
-                        continue
-                    agree = agreement(a[2][i], a[3][i], b[2][todo], b[3][todo], percent)
-                    todo = todo[agree >= 0] if best is None else todo[np.argsort(-agree)[:min(best, (agree >= 0).sum())]]
-                    if len(todo):
-                        yield pd.DataFrame({"u": np.minimum(a[0][i], b[0][todo]), "v": np.maximum(a[0][i], b[0][todo])})
+                a, b = _unpack(row, ""), _unpack(row, "2")
+                todo = _apart(a, b, row["s"], row["block"] == row["block2"])
+                left, right = np.flatnonzero(todo.any(1)), np.flatnonzero(todo.any(0))
+                if not len(left):
+                    continue
+                alike = likeness([a[4][i] for i in left], a[2][left], [b[4][i] for i in right], b[2][right], percent)
+                alike = np.where(todo[np.ix_(left, right)], alike, -1)
+                if best is not None and best < len(right):  # each member's best ones only
+                    order = np.argsort(-alike, axis=1, kind="stable")
+                    np.put_along_axis(alike, order[:, best:], -1, axis=1)
+                i, j = np.nonzero(alike >= 0)
+                if len(i):
+                    u, v = a[0][left[i]], b[0][right[j]]
+                    yield pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)})
 
     return run
 
@@ -247,10 +318,11 @@ def small_group_links(members: DataFrame, rare: DataFrame, percent: int) -> Data
 
 
 def large_group_links(members: DataFrame, rare: DataFrame, percent: int, best: int | None) -> DataFrame:
-    """The same for larger groups. With ``best`` a member meets the others in its
-    ``GROUPS`` rarest groups only, and only its best agreements per block come out."""
+    """The same for larger groups, ``members`` being (u, component, n, head). With
+    ``best`` a member meets the others in its ``GROUPS`` rarest groups only, and only
+    its best ones per block come out."""
     large = rare.filter(F.col("df") > SMALL).join(
-        members.select("u", "component", F.col("n").cast("long").alias("n"), "marks"), "u")
+        members.select("u", "component", F.col("n").cast("long").alias("n"), "head"), "u")
     if best is not None:
         place = F.row_number().over(Window.partitionBy("u").orderBy("df", "s"))
         large = large.withColumn("place", place).filter(F.col("place") <= GROUPS).drop("place")
@@ -274,11 +346,14 @@ def join_open(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     best agreements only, twice, which joins what belongs together with few pairs;
     then all pairs between components that are still apart are compared."""
     rare = materialise(rare_shingles(open_, percent), "rare-shingles")
-    marks, now = open_.select("u", "n", "marks"), open_.select("u", "component")
+    now = open_.select("u", "component")
+    in_large = rare.filter(F.col("df") > SMALL).select("u").distinct()
+    heads = materialise(open_.join(in_large, "u", "left_semi").select(
+        "u", "n", _heads()(F.slice("shingles", 1, HEAD)).alias("head")), "heads")
     pairs = materialise(small_group_links(open_, rare, percent), "open-links")
     now = _joined(now, pairs, sets, percent)
     for best in (BEST, BEST, None):
-        pairs = materialise(large_group_links(marks.join(now, "u"), rare, percent, best), "open-links")
+        pairs = materialise(large_group_links(heads.join(now, "u"), rare, percent, best), "open-links")
         if not pairs.isEmpty():
             now = _joined(now, pairs, sets, percent)
     return now

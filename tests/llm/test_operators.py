@@ -117,6 +117,49 @@ def test_near_dup_of_documents_on_a_template(spark):
     assert len(set(want.values())) == 392
 
 
+def test_heads_rule_out_no_link():
+    """Heads of sets of up to HEAD hashes tell links exactly; larger ones rule no
+    pair at the limit out."""
+    rng = np.random.default_rng(5)
+    sets = []
+    for n in (1, 40, 150, 500, 3000):
+        base = rng.integers(0, 2**64, n, dtype=np.uint64)
+        for other in (0, 0, n // 20, n // 10, n // 8, n // 3, n):
+            sets.append(np.unique(np.concatenate([base[other:], rng.integers(0, 2**64, other, dtype=np.uint64)])))
+    heads = [np.unique(s[:minhash_dedup.HEAD] >> np.uint64(32)).astype(np.uint32) for s in sets]
+    sizes = np.array([len(s) for s in sets])
+    true = np.array([[len(np.intersect1d(x, y)) / len(np.union1d(x, y)) for y in sets] for x in sets])
+    got = minhash_dedup.likeness(heads, sizes, heads, sizes, 80)
+    assert (got[true >= 0.8] >= 0).all()
+    small = sizes <= minhash_dedup.HEAD
+    both = small[:, None] & small
+    assert (got[both & (true < 0.8)] < 0).all()
+    assert np.allclose(got[both & (got >= 0)], true[both & (got >= 0)])
+    assert (got[true < 0.65] < 0).all()
+    # Two elements of both sets with equal halves leave the heads one short.
+    three, four = [np.arange(3, dtype=np.uint32)], [np.arange(4, dtype=np.uint32)]
+    assert minhash_dedup.likeness(three, np.array([3]), four, np.array([4]), 80) < 0
+    assert minhash_dedup.likeness(three, np.array([4]), four, np.array([5]), 80) >= 0
+
+
+def test_members_meet_in_their_first_common_group():
+    width = minhash_dedup.FIRSTS
+
+    def block(ids, groups):
+        firsts = np.array([g + [g[0]] * (width - len(g)) for g in groups], np.int64)
+        return np.array(ids), np.array(ids), np.ones(len(ids), int), firsts, None
+
+    a, b = block([1, 2], [[4, 7, 9], [7, 9]]), block([3, 4, 5], [[4, 9], [7, 9], [9]])
+    at = {s: minhash_dedup._apart(a, b, s, False).tolist() for s in (4, 7, 9)}
+    # In group 4 every pair of its blocks may meet; its blocks hold members of group 4 only.
+    assert at[7] == [[False, True, True], [True, True, True]]
+    assert at[9] == [[False, False, True], [True, False, True]]
+    # A group beyond the first ones of a member: pairs that share one of those have met.
+    assert minhash_dedup._apart(a, b, 11, False).tolist() == [[False, False, False], [False, False, False]]
+    same = minhash_dedup._apart(a, a, 7, True)
+    assert same.tolist() == [[False, True], [False, False]]
+
+
 def test_line_dedup_is_reversible(spark, docs):
     first, rest = docs.filter("doc_id < 70"), docs.filter("doc_id >= 70")
     index = line_dedup.LineIndex(spark, 4).insert(first)
