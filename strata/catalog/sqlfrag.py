@@ -23,6 +23,16 @@ def money_avg(s: str, n: str) -> str:
     return f"(round(CAST({s} AS DOUBLE) / (NULLIF({n}, 0) * 100.0{D})) / 100.0{D})"
 
 
+def money(s: str) -> str:
+    """Unrounded money."""
+    return f"(CAST({s} AS DOUBLE) / 10000.0{D})"
+
+
+def money_mean(s: str, n: str) -> str:
+    """Unrounded money per count."""
+    return f"(CAST({s} AS DOUBLE) / NULLIF({n} * 10000.0{D}, 0))"
+
+
 def round6(x: str) -> str:
     return f"(round(({x}) * 1000000.0{D}) / 1000000.0{D})"
 

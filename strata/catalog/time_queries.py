@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.catalog.prelude import oracle
-from strata.catalog.sqlfrag import cents, divide, money_avg, msum, ratio, round6
+from strata.catalog.sqlfrag import cents, divide, money, money_mean, msum, ratio, round6
 from strata.plans import analysis as A
 from strata.plans import context as X
 from strata.plans import metrics as M
@@ -76,24 +76,22 @@ b AS (SELECT s.banner_name, year(l.transaction_date) AS year, {N_NET} AS sn, {N_
 
 # --- T03: YoY absolute -----------------------------------------------------------------
 def _time_yoy(spark, sf):
-    d = T.with_prior_year(star(spark, sf), ["net_sales"], ["category_name"], "year")
-    return d.select("category_name", "year", "net_sales", "net_sales_py",
-                    T.yoy(F.col("net_sales"), F.col("net_sales_py")).alias("net_sales_yoy"))
+    return T.with_prior_year(star(spark, sf), ["net_sales"], ["category_name"], "year",
+                             changes={"net_sales_yoy": ("net_sales", T.yoy)})
 
 
 Q["time_yoy"] = _time_yoy
 SQL["time_yoy"] = oracle(f"""
 SELECT {_CATEGORY_NAME_YEAR_B[0]}, {cents('c.sn')} AS net_sales, {cents('p.sn')} AS net_sales_py,
-       {_yoy(cents('c.sn'), cents('p.sn'))} AS net_sales_yoy
+       {_yoy(money('c.sn'), money('p.sn'))} AS net_sales_yoy
 {_CATEGORY_NAME_YEAR_B[1]}""", f"""
 b AS (SELECT p.category_name, year(l.transaction_date) AS year, {N_NET} AS sn FROM {LINE_PROD} GROUP BY 1, 2)""")
 
 
 # --- T04: YoY % of a distinct count, month grain ---------------------------------------
 def _time_yoy_pct(spark, sf):
-    d = T.with_prior_year(star(spark, sf), ["transactions"], ["channel"], "month")
-    return d.select("channel", "month", "transactions", "transactions_py",
-                    T.yoy_pct(F.col("transactions"), F.col("transactions_py")).alias("transactions_yoy_pct"))
+    return T.with_prior_year(star(spark, sf), ["transactions"], ["channel"], "month",
+                             changes={"transactions_yoy_pct": ("transactions", T.yoy_pct)})
 
 
 Q["time_yoy_pct"] = _time_yoy_pct
@@ -176,8 +174,8 @@ Q["time_calc"] = _time_calc
 _CUR, _PY = cents("c.sn"), cents("p.sn")
 SQL["time_calc"] = oracle(f"""
 SELECT month, time_calc, ordinal, value FROM (
-  SELECT g.month, CAST({_CUR} AS DOUBLE) AS v0, CAST({_PY} AS DOUBLE) AS v1, {_yoy(_CUR, _PY)} AS v2,
-         {_yoy_pct(_CUR, _PY)} AS v3,
+  SELECT g.month, CAST({_CUR} AS DOUBLE) AS v0, CAST({_PY} AS DOUBLE) AS v1, {_yoy(money('c.sn'), money('p.sn'))} AS v2,
+         {_yoy_pct(money('c.sn'), money('p.sn'))} AS v3,
          CAST({cents('sum(c.sn) OVER (PARTITION BY year(g.month) ORDER BY g.month ROWS UNBOUNDED PRECEDING)')} AS DOUBLE) AS v4,
          CAST({_CUR} AS DOUBLE) AS v5,
          CAST({cents('sum(c.sn) OVER (PARTITION BY year(g.month), quarter(g.month) ORDER BY g.month ROWS UNBOUNDED PRECEDING)')} AS DOUBLE) AS v6
@@ -191,46 +189,41 @@ m AS (SELECT {MONTH.format(d='transaction_date')} AS month, {msum('line_subtotal
 
 
 # --- M34-M39: YoY measures ---------------------------------------------------------------
-def _py_sel(metrics, by, grain, out):
+def _change(name, metric, by, how):
     def fn(spark, sf):
-        d = T.with_prior_year(star(spark, sf), metrics, by, grain)
-        return d.select(*by, grain, *out(d))
+        return T.with_prior_year(star(spark, sf), [metric], by, "year", changes={name: (metric, how)}).select(
+            *by, "year", name)
     return fn
 
 
-Q["net_sales_yoy"] = _py_sel(["net_sales"], [], "year",
-                             lambda d: [T.yoy_pct(F.col("net_sales"), F.col("net_sales_py")).alias("net_sales_yoy")])
+Q["net_sales_yoy"] = _change("net_sales_yoy", "net_sales", [], T.yoy_pct)
 SQL["net_sales_yoy"] = oracle(f"""
-SELECT {_YEAR_Y[0]}, {_yoy_pct(cents('c.sn'), cents('p.sn'))} AS net_sales_yoy
+SELECT {_YEAR_Y[0]}, {_yoy_pct(money('c.sn'), money('p.sn'))} AS net_sales_yoy
 {_YEAR_Y[1]}""", f"""
 y AS (SELECT year(transaction_date) AS year, {msum('line_subtotal_cad')} AS sn FROM fact_sales_line_item GROUP BY 1)""")
 
-Q["gm_pct_delta"] = _py_sel(["gross_margin_pct"], ["banner_name"], "year", lambda d: [
-    T.delta_points(F.col("gross_margin_pct"), F.col("gross_margin_pct_py")).alias("gm_pct_delta")])
-_GMC, _GMP = ratio("c.sn - c.sc", "c.sn"), ratio("p.sn - p.sc", "p.sn")
+Q["gm_pct_delta"] = _change("gm_pct_delta", "gross_margin_pct", ["banner_name"], T.delta_points)
+_GMC, _GMP = divide("(c.sn - c.sc)", "c.sn"), divide("(p.sn - p.sc)", "p.sn")
 SQL["gm_pct_delta"] = oracle(f"""
 SELECT {_BANNER_NAME_YEAR_B[0]}, {_points(_GMC, _GMP)} AS gm_pct_delta
 {_BANNER_NAME_YEAR_B[1]}""", f"""
 b AS (SELECT s.banner_name, year(l.transaction_date) AS year, {N_NET} AS sn, {N_COST} AS sc
       FROM {LINE_STORE} GROUP BY 1, 2)""")
 
-Q["transactions_yoy"] = _py_sel(["transactions"], [], "year", lambda d: [
-    T.yoy_pct(F.col("transactions"), F.col("transactions_py")).alias("transactions_yoy")])
+Q["transactions_yoy"] = _change("transactions_yoy", "transactions", [], T.yoy_pct)
 SQL["transactions_yoy"] = oracle(f"""
 SELECT {_YEAR_Y[0]}, {_yoy_pct('c.n', 'p.n')} AS transactions_yoy {_YEAR_Y[1]}""", """
 y AS (SELECT year(transaction_date) AS year, count(DISTINCT transaction_id) AS n FROM fact_sales_transaction GROUP BY 1)""")
 
-Q["atv_yoy"] = _py_sel(["avg_txn_value"], ["channel"], "year", lambda d: [
-    T.yoy_pct(F.col("avg_txn_value"), F.col("avg_txn_value_py")).alias("atv_yoy")])
+Q["atv_yoy"] = _change("atv_yoy", "avg_txn_value", ["channel"], T.yoy_pct)
 SQL["atv_yoy"] = oracle(f"""
-SELECT {_CHANNEL_YEAR_Y[0]}, {_yoy_pct(money_avg('c.sr', 'c.n'), money_avg('p.sr', 'p.n'))} AS atv_yoy
+SELECT {_CHANNEL_YEAR_Y[0]}, {_yoy_pct(money_mean('c.sr', 'c.n'), money_mean('p.sr', 'p.n'))} AS atv_yoy
 {_CHANNEL_YEAR_Y[1]}""", f"""
 y AS (SELECT channel, year(transaction_date) AS year, {msum('total_amount_cad')} AS sr,
              count(DISTINCT transaction_id) AS n FROM fact_sales_transaction GROUP BY 1, 2)""")
 
-Q["loyalty_pen_delta"] = _py_sel(["loyalty_txn_pct"], [], "year", lambda d: [
-    T.delta_points(F.col("loyalty_txn_pct"), F.col("loyalty_txn_pct_py")).alias("loyalty_pen_delta")])
-_LC, _LP = ratio("c.nl", "c.n"), ratio("p.nl", "p.n")
+Q["loyalty_pen_delta"] = _change("loyalty_pen_delta", "loyalty_txn_pct", [], T.delta_points)
+_LC, _LP = divide("c.nl", "c.n"), divide("p.nl", "p.n")
 SQL["loyalty_pen_delta"] = oracle(f"""
 SELECT {_YEAR_Y[0]}, {_points(_LC, _LP)} AS loyalty_pen_delta
 {_YEAR_Y[1]}""", """
@@ -238,10 +231,9 @@ y AS (SELECT year(transaction_date) AS year, count(DISTINCT transaction_id) AS n
              count(DISTINCT CASE WHEN is_loyalty_transaction = 1 THEN transaction_id END) AS nl
       FROM fact_sales_transaction GROUP BY 1)""")
 
-Q["upt_yoy"] = _py_sel(["units_per_txn"], [], "year", lambda d: [
-    T.yoy_pct(F.col("units_per_txn"), F.col("units_per_txn_py")).alias("upt_yoy")])
+Q["upt_yoy"] = _change("upt_yoy", "units_per_txn", [], T.yoy_pct)
 SQL["upt_yoy"] = oracle(f"""
-SELECT {_YEAR_Y[0]}, {_yoy_pct(ratio('c.u', 'c.n'), ratio('p.u', 'p.n'))} AS upt_yoy
+SELECT {_YEAR_Y[0]}, {_yoy_pct(divide('c.u', 'c.n'), divide('p.u', 'p.n'))} AS upt_yoy
 {_YEAR_Y[1]}""", """
 y AS (SELECT coalesce(a.year, b.year) AS year, a.u, b.n FROM
         (SELECT year(transaction_date) AS year, sum(quantity) AS u FROM fact_sales_line_item GROUP BY 1) a

@@ -21,7 +21,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.numeric import cents, divide, money_avg, money_sum, ratio, round6
+from strata.functions.numeric import MONEY_SCALE, cents, divide, money_avg, money_sum, ratio, round6
 from strata.plans.star import Star, Where
 
 LINE = "fact_sales_line_item"
@@ -106,47 +106,67 @@ BASES: dict[str, Base] = {
 
 @dataclass(frozen=True)
 class Metric:
+    """``final`` is the value shown, rounded; ``exact`` the same unrounded, for
+    measures computed from this one, which round once at their own end."""
+
     name: str
     inputs: tuple[str, ...]
     final: Callable[..., Column]
-    label: str = ""
+    label: str
+    exact: Callable[..., Column]
+
+
+def _m(name, inputs, final, label="", exact=None):
+    return Metric(name, tuple(inputs), final, label, exact or final)
+
+
+def _money(name, inputs, total, label):
+    return _m(name, inputs, lambda *b: cents(total(*b)), label, lambda *b: total(*b) / F.lit(MONEY_SCALE))
+
+
+def _average(name, inputs, label):
+    return _m(name, inputs, money_avg, label, lambda s, n: F.try_divide(s, n * F.lit(MONEY_SCALE)))
+
+
+def _ratio(name, inputs, parts, label):
+    return _m(name, inputs, lambda *b: ratio(*parts(*b)), label, lambda *b: divide(*parts(*b)))
 
 
-def _m(name, inputs, final, label=""):
-    return Metric(name, tuple(inputs), final, label)
+def _multiple(s1, n1, s0, n0):
+    return divide(divide(s1, n1), divide(s0, n0))
 
 
 METRICS: dict[str, Metric] = {m.name: m for m in [
-    _m("net_sales", ["s_net"], lambda s: cents(s), "Net Sales"),
-    _m("total_cost", ["s_cost"], lambda s: cents(s), "Total Cost"),
-    _m("gross_margin", ["s_net", "s_cost"], lambda n, c: cents(n - c), "Gross Margin"),
-    _m("gross_margin_pct", ["s_net", "s_cost"], lambda n, c: ratio(n - c, n), "Gross Margin %"),
-    _m("revenue_incl_tax", ["s_rev"], lambda s: cents(s), "Total Revenue (incl tax)"),
+    _money("net_sales", ["s_net"], lambda s: s, "Net Sales"),
+    _money("total_cost", ["s_cost"], lambda s: s, "Total Cost"),
+    _money("gross_margin", ["s_net", "s_cost"], lambda n, c: n - c, "Gross Margin"),
+    _ratio("gross_margin_pct", ["s_net", "s_cost"], lambda n, c: (n - c, n), "Gross Margin %"),
+    _money("revenue_incl_tax", ["s_rev"], lambda s: s, "Total Revenue (incl tax)"),
     _m("transactions", ["n_txn"], lambda n: n, "Total Transactions"),
     _m("units", ["n_units"], lambda n: n, "Total Units"),
-    _m("avg_txn_value", ["s_rev", "n_txn"], lambda s, n: money_avg(s, n), "Avg Transaction Value"),
-    _m("units_per_txn", ["n_units", "n_txn"], lambda u, n: ratio(u, n), "Units per Transaction"),
+    _average("avg_txn_value", ["s_rev", "n_txn"], "Avg Transaction Value"),
+    _ratio("units_per_txn", ["n_units", "n_txn"], lambda u, n: (u, n), "Units per Transaction"),
     _m("active_customers", ["n_active"], lambda n: n, "Active Customers"),
     _m("loyalty_txns", ["n_loyal"], lambda n: n, "Loyalty Transactions"),
-    _m("loyalty_txn_pct", ["n_loyal", "n_txn"], lambda a, b: ratio(a, b), "Loyalty Transaction %"),
+    _ratio("loyalty_txn_pct", ["n_loyal", "n_txn"], lambda a, b: (a, b), "Loyalty Transaction %"),
     _m("loyalty_members", ["n_members"], lambda n: n, "Loyalty Members"),
     _m("points_earned", ["n_earn"], lambda n: n, "Points Earned"),
     _m("points_redeemed", ["n_burn"], lambda n: n, "Points Redeemed"),
-    _m("redemption_rate", ["n_burn", "n_earn"], lambda a, b: ratio(a, b), "Redemption Rate"),
-    _m("avg_lifetime_spend", ["s_spend", "n_spend"], lambda s, n: money_avg(s, n), "Avg Customer Lifetime Spend"),
-    _m("cross_shop_pct", ["n_x_members", "n_members"], lambda a, b: ratio(a, b), "Cross-Shop %"),
+    _ratio("redemption_rate", ["n_burn", "n_earn"], lambda a, b: (a, b), "Redemption Rate"),
+    _average("avg_lifetime_spend", ["s_spend", "n_spend"], "Avg Customer Lifetime Spend"),
+    _ratio("cross_shop_pct", ["n_x_members", "n_members"], lambda a, b: (a, b), "Cross-Shop %"),
     _m("cross_shop_multiple", ["s_spend_x1", "n_spend_x1", "s_spend_x0", "n_spend_x0"],
-       lambda s1, n1, s0, n0: round6(divide(divide(s1, n1), divide(s0, n0))), "Cross-Shop Spend Multiple"),
-    _m("own_brand_sales", ["s_own"], lambda s: cents(s), "Own-Brand Sales"),
-    _m("own_brand_mix", ["s_own", "s_net"], lambda a, b: ratio(a, b), "Own-Brand Mix %"),
+       lambda *b: round6(_multiple(*b)), "Cross-Shop Spend Multiple", _multiple),
+    _money("own_brand_sales", ["s_own"], lambda s: s, "Own-Brand Sales"),
+    _ratio("own_brand_mix", ["s_own", "s_net"], lambda a, b: (a, b), "Own-Brand Mix %"),
     _m("distinct_skus", ["n_skus"], lambda n: n, "Distinct SKUs Sold"),
-    _m("discount_amount", ["s_disc"], lambda s: cents(s), "Discount Amount"),
-    _m("promo_sales", ["s_promo"], lambda s: cents(s), "Promo Sales"),
-    _m("markdown_rate", ["s_disc", "s_net"], lambda d, n: ratio(d, n + d), "Markdown Rate"),
-    _m("list_amount", ["s_list"], lambda s: cents(s), "List Amount"),
+    _money("discount_amount", ["s_disc"], lambda s: s, "Discount Amount"),
+    _money("promo_sales", ["s_promo"], lambda s: s, "Promo Sales"),
+    _ratio("markdown_rate", ["s_disc", "s_net"], lambda d, n: (d, n + d), "Markdown Rate"),
+    _money("list_amount", ["s_list"], lambda s: s, "List Amount"),
     _m("on_hand_units", ["n_onhand"], lambda n: n, "On-Hand Units"),
-    _m("out_of_stock_rate", ["n_oos", "n_inv_rows"], lambda a, b: ratio(a, b), "Out-of-Stock Rate"),
-    _m("avg_days_supply", ["n_dos_sum", "n_dos_cnt"], lambda a, b: ratio(a, b), "Avg Days of Supply"),
+    _ratio("out_of_stock_rate", ["n_oos", "n_inv_rows"], lambda a, b: (a, b), "Out-of-Stock Rate"),
+    _ratio("avg_days_supply", ["n_dos_sum", "n_dos_cnt"], lambda a, b: (a, b), "Avg Days of Supply"),
 ]}
 
 

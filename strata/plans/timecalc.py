@@ -16,6 +16,7 @@ fact rows twice:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,6 +42,11 @@ def _finals(df: DataFrame, metrics: list[str], suffix: str = "") -> list[Column]
             for m in metrics]
 
 
+def _exact(metric: str, suffix: str = "") -> Column:
+    m = M.METRICS[metric]
+    return m.exact(*[F.col(f"{i}{suffix}") for i in m.inputs])
+
+
 def _next_year(grain: str, col: Column) -> Column:
     """Array of the periods whose prior period is ``col``. Each period has one
     prior period (2025-02-28 -> 2024-02-28, 2024-02-29 -> 2023-02-28), so a day
@@ -54,10 +60,13 @@ def _next_year(grain: str, col: Column) -> Column:
 
 
 def with_prior_year(star: Star, metrics: list[str], by: list[str], grain: str = "year",
-                    where: Column | Where | list | None = None, shown: Column | None = None) -> DataFrame:
+                    where: Column | Where | list | None = None, shown: Column | None = None,
+                    changes: dict[str, tuple[str, Callable]] | None = None) -> DataFrame:
     """Metrics and their prior-year values per (by, grain).
 
-    Output columns: by, grain, <m>, <m>_py for each metric. A cell with a prior
+    Output columns: by, grain, <m>, <m>_py for each metric, then ``changes``
+    (name -> (metric, function of its current and prior value), for instance
+    ``yoy_pct``), computed from unrounded values and rounded once. A cell with a prior
     year only is kept when the calendar has its period. A filter on dates
     belongs in ``shown``, a condition over the output's keys: it chooses the
     cells reported and does not reach the prior year.
@@ -83,7 +92,8 @@ def with_prior_year(star: Star, metrics: list[str], by: list[str], grain: str =
              .where(F.col("__now") | F.col("__known")))
     if shown is not None:
         cells = cells.where(shown)
-    return cells.select(*keys, *_finals(cells, metrics), *_finals(cells, metrics, "_py"))
+    return cells.select(*keys, *_finals(cells, metrics), *_finals(cells, metrics, "_py"),
+                        *[change(_exact(m), _exact(m, "_py")).alias(n) for n, (m, change) in (changes or {}).items()])
 
 
 def yoy(cur: Column, py: Column) -> Column:
@@ -186,13 +196,14 @@ def rolling(star: Star, metric: str, by: list[str], months: int = 3, where: Colu
 def time_items(star: Star, metric: str, by: list[str], where: Column | None = None) -> DataFrame:
     """Every calculation item of one metric as rows at month grain:
     (by, month, time_calc, ordinal, value). MTD at month grain is the month."""
-    py = with_prior_year(star, [metric], by, "month", where)
+    py = with_prior_year(star, [metric], by, "month", where,
+                         changes={"__yoy": (metric, yoy), "__yoy_pct": (metric, yoy_pct)})
     ytd = to_date(star, [metric], by, "year", "month", where).withColumnRenamed(metric, "__ytd")
     qtd = to_date(star, [metric], by, "quarter", "month", where).withColumnRenamed(metric, "__qtd")
     keys = list(by) + ["month"]
     j = reduce(lambda a, b: M._drill_across(a, b, keys), [py, ytd, qtd])
     cur, p = F.col(metric).cast("double"), F.col(f"{metric}_py").cast("double")
-    vals = [cur, p, yoy(cur, p), yoy_pct(cur, p), F.col("__ytd").cast("double"), cur, F.col("__qtd").cast("double")]
+    vals = [cur, p, F.col("__yoy"), F.col("__yoy_pct"), F.col("__ytd").cast("double"), cur, F.col("__qtd").cast("double")]
     arr = F.array(*[F.struct(F.lit(n).alias("time_calc"), F.lit(i).alias("ordinal"), v.alias("value"))
                     for i, (n, v) in enumerate(zip(TIME_ITEMS, vals))])
     return j.select(*keys, F.inline(arr))

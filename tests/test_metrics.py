@@ -74,6 +74,18 @@ def test_leap_day_prior_year_at_month_grain(star):
     assert got[d("2023-02-01")] == (10.0, None)  # no prior year -> blank
 
 
+def test_changes_are_rounded_once(spark, star):
+    txn = spark.createDataFrame(
+        [(i, d("2023-05-01"), 100, 1, "web", x, 0) for i, x in enumerate([0.33, 0.33, 0.34])]
+        + [(9, d("2024-05-01"), 100, 1, "web", 0.5, 1)], TXN_SCHEMA)
+    s = star.with_table("fact_sales_transaction", txn)
+    out = T.with_prior_year(s, ["avg_txn_value", "loyalty_txn_pct"], [], "year", shown=F.col("year") == 2024, changes={
+        "pct": ("avg_txn_value", T.yoy_pct), "abs": ("avg_txn_value", T.yoy),
+        "points": ("loyalty_txn_pct", T.delta_points)}).collect()[0]
+    assert (out["avg_txn_value"], out["avg_txn_value_py"]) == (0.5, 0.33)
+    assert (out["pct"], out["abs"], out["points"]) == (0.5, 0.166667, 100.0)  # of 1/3, not of 0.33
+
+
 def test_yoy_pct_blank_without_prior(star):
     out = T.with_prior_year(star, ["net_sales"], [], "year")
     assert {r["year"] for r in out.collect()} == {2023, 2024}
