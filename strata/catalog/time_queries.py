@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.catalog.prelude import oracle
-from strata.catalog.sqlfrag import cents, divide, money, money_mean, msum, ratio, round6
+from strata.catalog.sqlfrag import cents, divide, money, money_avg, money_mean, msum, ratio, round6
 from strata.plans import analysis as A
 from strata.plans import context as X
 from strata.plans import metrics as M
@@ -461,6 +461,44 @@ UNION ALL SELECT banner_name, NULL, 1, {cents('arg_max(v, d)')}
 FROM (SELECT banner_name, d, sum(v) AS v FROM stock GROUP BY 1, 2) GROUP BY 1
 UNION ALL SELECT NULL, NULL, 3, {cents('arg_max(v, d)')} FROM (SELECT d, sum(v) AS v FROM stock GROUP BY 1)""", _STOCK)
 
+# --- M16, M20-M22 beside the calendar: no period reaches the customer dimension ------------------
+_MEMBERS = ["active_customers", "loyalty_members", "avg_lifetime_spend", "cross_shop_pct", "cross_shop_multiple"]
+Q["loyalty_members_by_year"] = lambda spark, sf: X.over_months(star(spark, sf), _MEMBERS, ["loyalty_tier"], "year")
+Q["loyalty_members_by_month"] = lambda spark, sf: X.over_months(
+    star(spark, sf), ["loyalty_txns", "loyalty_members"], ["segment"], "month",
+    Where(("loyalty_tier",), F.col("loyalty_tier") != "Bronze"))
+
+
+def _avg_spend(flag):
+    part = "lifetime_spend_cad" if flag is None else f"CASE WHEN {flag} THEN lifetime_spend_cad END"
+    return msum(part), f"count({part})"
+
+
+_ALL, _ONE, _NONE = _avg_spend(None), _avg_spend("is_cross_category = 1"), _avg_spend("coalesce(is_cross_category, 0) = 0")
+SQL["loyalty_members_by_year"] = oracle(f"""
+SELECT coalesce(g.loyalty_tier, a.loyalty_tier) AS loyalty_tier, coalesce(g.year, a.year) AS year, a.active_customers,
+       g.loyalty_members, g.avg_lifetime_spend, g.cross_shop_pct, g.cross_shop_multiple
+FROM (SELECT * FROM members CROSS JOIN (SELECT DISTINCT year(date) AS year FROM cal)) g
+FULL JOIN active a ON g.loyalty_tier IS NOT DISTINCT FROM a.loyalty_tier AND g.year = a.year""", f"""
+members AS (SELECT loyalty_tier, count(DISTINCT customer_business_key) AS loyalty_members,
+    {money_avg(*_ALL)} AS avg_lifetime_spend,
+    {ratio('count(DISTINCT CASE WHEN is_cross_category = 1 THEN customer_business_key END)',
+           'count(DISTINCT customer_business_key)')} AS cross_shop_pct,
+    {round6(divide(divide(*_ONE), divide(*_NONE)))} AS cross_shop_multiple
+  FROM dim_customer GROUP BY 1),
+active AS (SELECT c.loyalty_tier, year(t.transaction_date) AS year, count(DISTINCT t.customer_id) AS active_customers
+  FROM fact_sales_transaction t LEFT JOIN dim_customer c ON t.customer_id = c.customer_id GROUP BY 1, 2)""")
+SQL["loyalty_members_by_month"] = oracle(f"""
+SELECT coalesce(g.segment, a.segment) AS segment, coalesce(g.month, a.month) AS month, a.loyalty_txns, g.loyalty_members
+FROM (SELECT * FROM members CROSS JOIN (SELECT DISTINCT month FROM cal)) g
+FULL JOIN txns a ON g.segment IS NOT DISTINCT FROM a.segment AND g.month = a.month""", f"""
+members AS (SELECT segment, count(DISTINCT customer_business_key) AS loyalty_members
+  FROM dim_customer WHERE loyalty_tier <> 'Bronze' GROUP BY 1),
+txns AS (SELECT c.segment, {MONTH.format(d='t.transaction_date')} AS month,
+    count(DISTINCT CASE WHEN is_loyalty_transaction = 1 THEN transaction_id END) AS loyalty_txns
+  FROM fact_sales_transaction t JOIN dim_customer c ON t.customer_id = c.customer_id
+  WHERE c.loyalty_tier <> 'Bronze' GROUP BY 1, 2)""")
+
 Q["inventory_value_py"] = lambda spark, sf: X.stock_with_prior_year(star(spark, sf), ["banner_name"])
 SQL["inventory_value_py"] = oracle(f"""
 SELECT coalesce(c.banner_name, p.banner_name) AS banner_name, coalesce(c.year, p.year + 1) AS year,

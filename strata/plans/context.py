@@ -48,6 +48,30 @@ def _month_grid(star: Star, groups: DataFrame | None) -> DataFrame:
     return groups.select("*", months)
 
 
+def over_months(star: Star, metrics: list[str], by: list[str], grain: str = "month", where=None) -> DataFrame:
+    """Metrics per (by, grain), ``grain`` being ``month`` or ``year``, in which
+    measures of a dimension (M16, M20-M22) stand as in the model: no relationship
+    leads from the calendar to them, so each period of the calendar shows the same
+    value. The dimension is aggregated once over ``by`` and its few rows are spread
+    over the periods; the facts' measures join them.
+    """
+    free = [m for m in metrics if not any(star.fact_keys.get(M.BASES[b].fact) for b in M.METRICS[m].inputs)]
+    dated = [m for m in metrics if m not in free]
+    undated = Star(star.tables, {f: c for f, c in star.fact_dates.items() if star.fact_keys.get(f)}, star.fact_keys,
+                   star.attrs, star.hops, star.unique)
+    keys = [*by, grain]
+    parts = []
+    if free:
+        spread = _month_grid(star, M.evaluate(undated, free, by, where))
+        if grain == "year":
+            spread = spread.select(*by, F.year("month").cast("bigint").alias("year"), *free).distinct()
+        parts.append(spread.select(*keys, *free))
+    if dated:
+        parts.append(M.evaluate(star, dated, keys, where))
+    out = parts[0] if len(parts) == 1 else M._drill_across(*parts, keys)
+    return out.select(*keys, *metrics)
+
+
 def _last_in(star: Star, by: list[str], grain: str, where=None) -> DataFrame:
     """(by, grain, d, v): the last snapshot date of a period and the stock on it."""
     per = _stock_per_date(star, by, where).withColumn(grain, PERIODS[grain](F.col("snapshot_date")))

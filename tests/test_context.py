@@ -1,6 +1,7 @@
 """Stock at the last snapshot in its context and rolling distinct counts, on a
 star small enough to work out by hand; the bridge under two partitionings."""
 
+import datetime as dt
 import random
 
 import pytest
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 from strata.plans import analysis as A
 from strata.plans import context as X
 from strata.plans import metrics as M
-from strata.plans.star import Star
+from strata.plans.star import Star, Where
+from strata.sources import fixtures as FX
 from tests.conftest import rows
 
 
@@ -91,3 +93,27 @@ def test_bridge_is_the_same_to_the_bit_under_two_partitionings(spark):
         star = Star({M.LINE: df.repartition(n, order)}, {M.LINE: "transaction_date"}, {M.LINE: {}}, {})
         out.append(rows(A.gm_bridge(star)))
     assert out[0] == out[1]
+
+
+def test_customer_measures_are_the_same_in_every_period(spark):
+    """No period reaches the customers: all years of the calendar show their total,
+    also those in which a tier bought nothing; a filter on an attribute does reach."""
+    d = dt.date.fromisoformat
+    txn = spark.createDataFrame([(1, d("2022-05-01"), 1, 1, "web", 1.0, 1), (2, d("2024-02-01"), 2, 1, "web", 1.0, 0),
+                                 (3, d("2024-03-01"), None, 1, "web", 1.0, 0)],
+                                "transaction_id long, transaction_date date, customer_id long, store_id long, "
+                                "channel string, total_amount_cad double, is_loyalty_transaction int")
+    cust = spark.createDataFrame([(1, "a", "Gold", d("2022-05-01")), (2, "b", "Gold", None), (3, "c", None, None)],
+                                 "customer_id long, customer_business_key string, loyalty_tier string, enrollment_date date")
+    star = Star({"fact_sales_transaction": txn, "dim_customer": cust}, FX.FACT_DATES, FX.FACT_KEYS, FX.ATTRS, FX.HOPS)
+    names = ["loyalty_members", "active_customers"]
+    assert {tuple(r) for r in X.over_months(star, names, ["loyalty_tier"], "year").collect()} == {
+        ("Gold", 2022, 2, 1), ("Gold", 2023, 2, None), ("Gold", 2024, 2, 1),
+        (None, 2022, 1, None), (None, 2023, 1, None), (None, 2024, 1, 0)}
+    months = X.over_months(star, ["loyalty_members"], [], "month").collect()
+    assert len(months) == 23 and {r.loyalty_members for r in months} == {3}
+    gold = Where(("loyalty_tier",), F.col("loyalty_tier") == "Gold")
+    assert {tuple(r) for r in X.over_months(star, names, [], "year", gold).collect()} == {
+        (2022, 2, 1), (2023, 2, None), (2024, 2, 1)}
+    none = star.with_table("fact_sales_transaction", txn.limit(0))
+    assert X.over_months(none, names, ["loyalty_tier"], "year").count() == 0
