@@ -6,7 +6,9 @@ from __future__ import annotations
 
 import os
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.catalog.history_queries import FIX_CTES, ORDER_COLS, OC
@@ -21,7 +23,7 @@ from strata.sources import control as C
 from strata.sources import fixtures as FX
 from strata.sources import landing as L
 from strata.sources.calendar import calendar_for
-from strata.sources.tables import read_source, read_table, table_path
+from strata.sources.tables import read_if_exists, read_source, read_table, table_path
 
 Q: dict = {}
 SQL: dict = {}
@@ -73,6 +75,19 @@ def _land_batch(spark, sf):
 Q["land_batch"] = _land_batch
 SQL["land_batch"] = f"WITH {LANDED_SQL} SELECT Processing_Date, count(*) AS rows FROM landed GROUP BY 1"
 
+def _guarded_scan(spark, sf):
+    """Tables that exist and hold rows of the year asked for; a table that
+    does not exist yet, or a year without rows, yields nothing and no failure."""
+    found = [(n, y, read_if_exists(spark, table_path(sf, n))) for n in ("orders", "returns") for y in (1995, 2050)]
+    parts = [t.where(F.year("o_orderdate") == y).groupBy(F.lit(n).alias("table_name"), F.year("o_orderdate").alias("year"))
+             .agg(F.count(F.lit(1)).alias("n_rows")) for n, y, t in found if t is not None]
+    return reduce(DataFrame.unionByName, parts)
+
+
+Q["guarded_scan"] = _guarded_scan
+SQL["guarded_scan"] = """SELECT 'orders' AS table_name, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_rows
+FROM orders WHERE year(o_orderdate) IN (1995, 2050) GROUP BY 2"""
+
 Q["land_daily"] = lambda spark, sf: L.land_daily(_orders(spark, sf), "o_orderdate", "1998-06-15")
 SQL["land_daily"] = f"""SELECT {OC}, DATE '1998-06-15' AS Processing_Date FROM orders
 WHERE CAST(o_orderdate AS DATE) = DATE '1998-06-15'"""
@@ -192,11 +207,11 @@ SQL["audit_log"] = f"SELECT notebook, layer, table_name, rows_affected, status,
 def _load_summary(spark, sf):
     landed = _landed(spark, sf)
     audit = C.audit_rows(landed, "01_land", "landing", "orders", run_ts=F.col("Processing_Date").cast("timestamp_ntz"))
-    return C.load_summary(audit, 5)
+    return C.load_summary(audit)
 
 
 Q["load_summary"] = _load_summary
-SQL["load_summary"] = f"SELECT * FROM ({_AUDIT_SQL}) ORDER BY run_ts DESC LIMIT 5"
+SQL["load_summary"] = f"SELECT * FROM ({_AUDIT_SQL}) ORDER BY run_ts DESC LIMIT 25"
 
 
 def _next_day(spark, sf):
