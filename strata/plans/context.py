@@ -44,7 +44,7 @@ def _month_grid(star: Star, groups: DataFrame | None) -> DataFrame:
             *(groups.columns if groups is not None else []), F.col("date").alias("month")).limit(0)
     month = lambda d: F.trunc(F.lit(d), "month")
     months = F.explode(F.sequence(month(first), month(last), F.expr("INTERVAL 1 MONTH"))).alias("month")
-    groups = star.tables[M.INV].sparkSession.range(1).select() if groups is None else groups
+    groups = star.calendar().sparkSession.range(1).select() if groups is None else groups
     return groups.select("*", months)
 
 
