@@ -14,8 +14,12 @@ annuli for the other leaves: positives (the best of the same label, no window),
 then, with a window per positive, negatives (the best of other labels within it).
 
 Leaves are cut into blocks of about ``BLOCK_BYTES`` by a hash of the id, so a leaf
-with very many rows is many blocks; anchors travel in packs to the blocks they
-need, and only the best of each block come back.
+with very many rows is many blocks. Blocks, in the order of their leaves, form
+about ``SLABS`` slabs. Anchors travel in packs, once to each slab that has a leaf
+they need: an anchor is copied ``SLABS`` times at most, however many blocks there
+are. A task holds the blocks of its slab and lets the packs pass, and only the
+best of a slab come back. Blocks and packs meet in one shuffle, not in a join, so
+neither is ever broadcast, and the driver holds the sample and the tree alone.
 
 Defined results: rows with a null id, label or vector, with a null or non-finite
 component, of another length than the most frequent one (ties: the longer), or of
@@ -38,8 +42,11 @@ N_POSITIVES, N_NEGATIVES, LOW, HIGH = 5, 3, 50, 95
 DEGREE, MAX_DEPTH, LEAF_ROWS = 8, 3, 2048
 FIT_ROWS, FIT_BYTES = 4096, 16_000_000
 BLOCK_BYTES, PACK = 250_000, 512
+#: Slabs, and the bytes of one from which there are more of them.
+SLABS, SLAB_BYTES = 48, 16_000_000
 FAR = 1 << 62
-_QUERIES = "leaf int, part int, ids binary, labels binary, vectors binary, windows binary"
+#: A block (with its leaf) or a pack (leaf -1, windows, bits of the leaves needed).
+_SHIPPED = "slab int, leaf int, ids binary, labels binary, vectors binary, windows binary, leaves binary"
 _FOUND = "anchor_id long, w int, vec_id long, score long"
 
 
@@ -66,6 +73,10 @@ class Tree:
             sample = np.zeros((1, 1))
         self._split(self.lifted(sample), depth, [])
         self.low = self.high = None
+        #: How components are stored and multiplied: no sum of products of parts
+        #: exceeds ``longest`` (Cauchy-Schwarz), so floats are exact where it fits them.
+        self.stored = np.dtype("<i2" if self.longest < 2.0 ** 30 else "<i4")
+        self.number = np.float32 if self.longest < 2.0 ** 24 else np.float64 if self.longest < 2.0 ** 52 else np.int64
 
     def lifted(self, x: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(self.longest - (x * x).sum(1), 0))
@@ -148,7 +159,13 @@ def fit(rows: DataFrame, n: int) -> Tree:
     """A tree on at most ``FIT_ROWS`` rows (and ``FIT_BYTES``), chosen by a hash."""
     longest, dims = rows.select(F.max(F.aggregate("v", F.lit(0.0), lambda a, e: a + e * e)), F.max(F.size("v"))).first()
     limit = max(1, min(FIT_ROWS, FIT_BYTES // (8 * max(dims or 1, 1))))
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(limit).select("v").toPandas()["v"]
+    # Each task hands the driver its first ``limit`` rows; below this hash there are
+    # about twice as many as needed in all, in whatever number of tasks.
+    h, below = F.xxhash64("vec_id"), ((2 * limit + 100 << 64) // max(n, 1)) - (1 << 63)
+    first = lambda d: d.orderBy(h, "vec_id").limit(limit).select("v").toPandas()["v"]
+    sample = first(rows.filter(h <= F.lit(below)) if below < 1 << 63 else rows)
+    if len(sample) < min(limit, n):
+        sample = first(rows)
     depth = 1
     while depth < MAX_DEPTH and DEGREE ** depth * LEAF_ROWS < n:
         depth += 1
@@ -167,43 +184,67 @@ def _leaf_of(tree: Tree):
     return leaf
 
 
-def _pack(tree: Tree):
+class Slabs:
+    """Which slab holds each block: the blocks, in the order of leaf and part, in runs."""
+
+    def __init__(self, parts: dict[int, int], n_leaves: int):
+        per_leaf = np.array([parts.get(leaf, 0) for leaf in range(n_leaves)], np.int64)
+        self.before, self.total = np.append(0, np.cumsum(per_leaf)).tolist(), int(per_leaf.sum())
+        self.n = max(1, min(SLABS, self.total), -(-self.total * BLOCK_BYTES // SLAB_BYTES))
+
+    def of(self, leaf: int, part: int) -> int:
+        return (self.before[leaf] + part) * self.n // self.total
+
+    def leaves(self) -> list[np.ndarray]:
+        """The leaves that each slab has blocks of."""
+        out = [[] for _ in range(self.n)]
+        for leaf, (a, b) in enumerate(zip(self.before, self.before[1:], strict=False)):
+            if a < b:
+                for slab in range(self.of(leaf, 0), self.of(leaf, b - a - 1) + 1):
+                    out[slab].append(leaf)
+        return [np.array(x, np.int64) for x in out]
+
+
+def _pack(tree: Tree, slabs: Slabs):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id")
         x, leaf = _matrix(pdf["v"]), int(pdf["leaf"].iloc[0])
         low, high = tree.path_ranges(leaf, x.astype(float))
-        return pd.DataFrame([(leaf, int(pdf["part"].iloc[0]), pdf["vec_id"].to_numpy(np.int64).tobytes(),
-                              pdf["label"].to_numpy(np.int64).tobytes(), x.astype("<i4").tobytes(), low, high)],
-                            columns=["leaf", "part", "c_ids", "c_labels", "c_vectors", "low", "high"])
+        return pd.DataFrame([(slabs.of(leaf, int(pdf["part"].iloc[0])), leaf, pdf["vec_id"].to_numpy(np.int64).tobytes(),
+                              pdf["label"].to_numpy(np.int64).tobytes(), x.astype(tree.stored).tobytes(), low, high)],
+                            columns=["slab", "leaf", "ids", "labels", "vectors", "low", "high"])
 
     return run
 
 
-def index(rows: DataFrame) -> tuple[Tree, DataFrame, DataFrame, dict[int, int]]:
-    """(tree with ranges, rows with ``leaf``, leaf blocks, blocks of each leaf)."""
+def index(rows: DataFrame) -> tuple[Tree, DataFrame, DataFrame, Slabs]:
+    """(tree with ranges, rows with ``leaf``, leaf blocks, their slabs)."""
     tree = fit(rows, rows.count())
     placed = materialise(rows.withColumn("leaf", _leaf_of(tree)("v")), "gnat-rows")
     # One row per leaf, of which there are DEGREE ** MAX_DEPTH at most.
     sizes = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).collect()
-    parts = {r["leaf"]: -(-r["n"] * (4 * r["d"] + 16) // BLOCK_BYTES) for r in sizes}
+    parts = {r["leaf"]: -(-r["n"] * (tree.stored.itemsize * r["d"] + 16) // BLOCK_BYTES) for r in sizes}
+    slabs = Slabs(parts, len(tree.paths))
     count = F.element_at(F.create_map(*[F.lit(x) for kv in parts.items() for x in kv]), F.col("leaf")) if parts else F.lit(1)
     blocks = materialise(
         placed.withColumn("part", F.pmod(F.xxhash64("vec_id"), count).cast("int")).groupBy("leaf", "part").applyInPandas(
-            _pack(tree), "leaf int, part int, c_ids binary, c_labels binary, c_vectors binary, low array<double>, "
+            _pack(tree, slabs), "slab int, leaf int, ids binary, labels binary, vectors binary, low array<double>, "
             "high array<double>"), "gnat-blocks")
     ranges = (blocks.select("leaf", F.posexplode(F.arrays_zip("low", "high")).alias("at", "r"))
               .groupBy("leaf", "at").agg(F.min("r.low").alias("low"), F.max("r.high").alias("high"))
               .groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("at", "low", "high"))).alias("r")).collect())
     tree.take_ranges({r["leaf"]: ([x["low"] for x in r["r"]], [x["high"] for x in r["r"]]) for r in ranges})
-    return tree, placed, blocks, parts
+    return tree, placed, blocks, slabs
 
 
-def _visits(tree: Tree, parts: dict[int, int], home: bool):
-    """Packs of anchors for the leaf blocks they need: their own leaf's, or all
-    others that an annulus reaches."""
+def _visits(tree: Tree, slabs: Slabs, home: bool):
+    """Packs of anchors for the slabs they need: those with their own leaf, or with
+    any other leaf that an annulus reaches."""
 
     def run(batches):
+        leaves = slabs.leaves()
         for pdf in batches:
+            pdf = pdf.sort_values("leaf")
             for at in range(0, len(pdf), PACK):
                 part = pdf.iloc[at:at + PACK]
                 x = _matrix(part["v"])
@@ -224,51 +265,99 @@ def _visits(tree: Tree, parts: dict[int, int], home: bool):
                     inner = np.where(outer >= 0, radius(windows[:, :, 1]), np.inf)
                     need = tree.reached(xf, inner, outer) & ~own
                 ids, labels = (part[c].to_numpy(np.int64) for c in ("anchor_id", "label"))
-                for leaf in np.flatnonzero(need.any(0)).tolist():
-                    m = need[:, leaf]
-                    pack = (ids[m].tobytes(), labels[m].tobytes(), x[m].astype("<i4").tobytes(), windows[m].tobytes())
-                    yield pd.DataFrame([(leaf, p, *pack) for p in range(parts.get(leaf, 0))],
-                                       columns=[c.split()[0] for c in _QUERIES.split(", ")])
+                stored, bits = x.astype(tree.stored), np.packbits(need, axis=1)
+                packs = []
+                for slab, held in enumerate(leaves):
+                    m = need[:, held].any(1)
+                    if m.any():
+                        packs.append((slab, -1, *(y[m].tobytes() for y in (ids, labels, stored, windows, bits))))
+                yield pd.DataFrame(packs, columns=[c.split()[0] for c in _SHIPPED.split(", ")])
 
     return run
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products; in doubles where every sum fits them."""
-    af, bf = a.astype(float), b.astype(float)
-    if np.sqrt((af * af).sum(1).max() * (bf * bf).sum(1).max()) < 2.0 ** 52:
-        return (af @ bf.T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
-
-
-def best_in_windows(scores, may, windows, ids, k):
-    """(query, window, position in ``ids``) of the ``k`` best of each query and
-    window among the pairs in the mask ``may``."""
+def best_in_windows(scores, may, low, high, k):
+    """(query, window, position) of the ``k`` best of each query and window (``low``
+    and ``high``: queries x windows) among the pairs in the mask ``may``, and of
+    other pairs with the score of the last; of equal scores the first ``k``."""
     out, n = [], scores.shape[1]
-    for w in range(windows.shape[1]):
-        fits = may & (scores >= windows[:, w, :1]) & (scores <= windows[:, w, 1:])
-        held = np.where(fits, scores, -FAR - 1)
+    for w in range(low.shape[1]):
+        fits = may & (scores >= low[:, w, None]) & (scores <= high[:, w, None])
         if n > k:
-            fits &= held >= np.partition(held, n - k, axis=1)[:, n - k][:, None]
+            held = np.where(fits, scores, -FAR)
+            last = np.partition(held, n - k, axis=1)[:, n - k][:, None]
+            ties = fits & (held == last)
+            fits &= held > last
+            fits |= ties & (ties.cumsum(1) <= k)
         i, j = np.nonzero(fits)
-        best = _top(i, ids[j], scores[i, j], k)
-        out.append((i[best], np.full(len(best), w, np.int32), j[best]))
+        out.append((i, np.full(len(i), w, np.int32), j))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _score(same: bool, k: int):
+class Best:
+    """The ``k`` best of each query and window, of the blocks seen so far."""
+
+    def __init__(self, ids: np.ndarray, windows: np.ndarray, k: int):
+        self.ids, self.k, self.low, self.high = ids, k, windows[:, :, 0].copy(), windows[:, :, 1]
+        self.held, self.new = [np.zeros(0, np.int64)] * 3, []  # query and window, id, score
+
+    def see(self, rows, scores, alike, same: bool, c_ids) -> None:
+        """``scores`` (queries x rows of a block) of the queries at ``rows``;
+        ``alike``: which labels agree, of positions of both. A block has its ids in order."""
+        low, high = self.low[rows].astype(scores.dtype), self.high[rows].astype(scores.dtype)
+        near = (scores >= low.min(1)[:, None]) & (scores <= high.max(1)[:, None])
+        if 20 * np.count_nonzero(near) > near.size:
+            i, j = np.indices(scores.shape, sparse=True)
+            may = alike(i, j) & (self.ids[rows][i] != c_ids[j]) if same else ~alike(i, j)
+            i, w, j = best_in_windows(scores, near & may, low, high, self.k)
+        else:
+            i, j = np.nonzero(near)
+            may = alike(i, j) & (self.ids[rows][i] != c_ids[j]) if same else ~alike(i, j)
+            i, j = i[may], j[may]
+            at, w = np.nonzero((scores[i, j][:, None] >= low[i]) & (scores[i, j][:, None] <= high[i]))
+            i, j = i[at], j[at]
+        if len(i):
+            self.new.append((rows[i] * self.low.shape[1] + w, c_ids[j], scores[i, j].astype(np.int64)))
+            if sum(len(x[0]) for x in self.new) > self.low.size * self.k:
+                self.settle()
+
+    def settle(self) -> tuple[np.ndarray, ...]:
+        """(query, window, id, score) of the best; their last is the least that still counts."""
+        at, ids, scores = (np.concatenate(x) for x in zip(self.held, *self.new, strict=True))
+        best = _top(at, ids, scores, self.k)
+        at, ids, scores = self.held = [at[best], ids[best], scores[best]]
+        self.new = []
+        ends = np.flatnonzero(np.append(at[1:] != at[:-1], True)) if len(at) else at
+        full = ends[np.bincount(at, minlength=1)[at[ends]] == self.k]
+        i, w = np.divmod(at[full], self.low.shape[1])
+        self.low[i, w] = np.maximum(self.low[i, w], scores[full])
+        i, w = np.divmod(at, self.low.shape[1])
+        return i, w, ids, scores
+
+
+def _score(tree: Tree, same: bool, k: int):
+    """Over the rows of one slab after another, blocks before packs."""
+
     def run(batches):
+        slab, held = None, []
         for pdf in batches:
             for r in pdf.to_dict("records"):
-                ids, labels, c_ids, c_labels = (np.frombuffer(r[c], np.int64) for c in ("ids", "labels", "c_ids", "c_labels"))
-                q = np.frombuffer(r["vectors"], "<i4").reshape(len(ids), -1)
-                c = np.frombuffer(r["c_vectors"], "<i4").reshape(len(c_ids), -1)
-                scores = products(q, c)
-                alike = labels[:, None] == c_labels[None, :]
-                may = alike & (ids[:, None] != c_ids[None, :]) if same else ~alike
-                windows = np.frombuffer(r["windows"], np.int64).reshape(len(ids), -1, 2)
-                i, w, j = best_in_windows(scores, may, windows, c_ids, k)
-                yield pd.DataFrame({"anchor_id": ids[i], "w": w, "vec_id": c_ids[j], "score": scores[i, j]})
+                if r["slab"] != slab:
+                    slab, held = r["slab"], []
+                ids, labels = (np.frombuffer(r[c], np.int64) for c in ("ids", "labels"))
+                x = np.frombuffer(r["vectors"], tree.stored).reshape(len(ids), -1).astype(tree.number)
+                if r["leaf"] >= 0:
+                    held.append((r["leaf"], ids, labels, x))
+                    continue
+                need = np.unpackbits(np.frombuffer(r["leaves"], np.uint8).reshape(len(ids), -1), axis=1).astype(bool)
+                best = Best(ids, np.frombuffer(r["windows"], np.int64).reshape(len(ids), -1, 2), k)
+                for leaf, c_ids, c_labels, c in held:
+                    rows = np.flatnonzero(need[:, leaf])
+                    if len(rows):
+                        mine_ = labels[rows]
+                        best.see(rows, x[rows] @ c.T, lambda i, j: mine_[i] == c_labels[j], same, c_ids)  # noqa: B023
+                i, w, vec_id, score = best.settle()
+                yield pd.DataFrame({"anchor_id": ids[i], "w": w.astype(np.int32), "vec_id": vec_id, "score": score})
 
     return run
 
@@ -278,19 +367,21 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
-def search(queries: DataFrame, tree: Tree, blocks: DataFrame, parts: dict[int, int], same: bool, k: int) -> DataFrame:
+def search(queries: DataFrame, tree: Tree, blocks: DataFrame, slabs: Slabs, same: bool, k: int) -> DataFrame:
     """(anchor_id, w, vec_id, score, rank): the ``k`` best rows in each window of
     ``queries`` (anchor_id, label, v, leaf, windows), of the same or of other labels."""
     def pass_(q: DataFrame, home: bool, name: str) -> DataFrame:
-        packs = q.select("anchor_id", "label", "v", "leaf", "windows").mapInPandas(_visits(tree, parts, home), _QUERIES)
-        found = packs.join(blocks.drop("low", "high"), ["leaf", "part"]).mapInPandas(_score(same, k), _FOUND)
+        packs = q.select("anchor_id", "label", "v", "leaf", "windows").mapInPandas(_visits(tree, slabs, home), _SHIPPED)
+        shipped = packs.unionByName(blocks.drop("low", "high"), allowMissingColumns=True)
+        found = (shipped.repartition("slab").sortWithinPartitions("slab", F.desc("leaf"))
+                 .mapInPandas(_score(tree, same, k), _FOUND))
         return materialise(found, name)
 
     at_home = _ranked(pass_(queries, True, "gnat-home"), k)
     # The k-th best score found so far is the least that still counts.
     reached = (at_home.filter(F.col("rank") == k).groupBy("anchor_id")
                .agg(F.map_from_entries(F.collect_list(F.struct("w", "score"))).alias("reached")))
-    narrowed = queries.join(reached, "anchor_id", "left").withColumn("windows", F.transform(
+    narrowed = queries.hint("merge").join(reached, "anchor_id", "left").withColumn("windows", F.transform(
         "windows", lambda x, w: F.struct(
             F.greatest(x["low"], F.coalesce(F.try_element_at("reached", w), x["low"])).alias("low"),
             x["high"].alias("high"))))
@@ -306,19 +397,19 @@ def mine(vectors: DataFrame, is_anchor: Column, n_positives: int = N_POSITIVES,
     best rows of the same label the best rows of other labels that score ``low`` to
     ``high`` per cent of the positive. Vectors hold whole numbers."""
     rows = materialise(valid_rows(vectors, id_col, vec_col, label_col), "gnat-valid")
-    tree, placed, blocks, parts = index(rows)
+    tree, placed, blocks, slabs = index(rows)
     anchors = materialise(placed.filter(is_anchor).withColumnRenamed("vec_id", "anchor_id"), "gnat-anchors")
     open_ = F.array(F.struct(F.lit(-FAR).alias("low"), F.lit(FAR).alias("high")))
     positives = materialise(
-        search(anchors.withColumn("windows", open_), tree, blocks, parts, True, n_positives)
+        search(anchors.withColumn("windows", open_), tree, blocks, slabs, True, n_positives)
         .select("anchor_id", (F.col("rank") - 1).alias("w"), F.col("vec_id").alias("positive_id"),
                 F.col("score").alias("positive_score")), "gnat-positives")
     share = lambda p: F.col("positive_score").cast("decimal(20,0)") * F.lit(p) / F.lit(100)
     windows = positives.groupBy("anchor_id").agg(F.sort_array(F.collect_list(F.struct(
         "w", F.ceil(share(low)).cast("long").alias("low"), F.floor(share(high)).cast("long").alias("high")))).alias("x"))
-    asked = anchors.join(windows, "anchor_id").withColumn("windows", F.transform(
+    asked = anchors.hint("merge").join(windows, "anchor_id").withColumn("windows", F.transform(
         "x", lambda e: F.struct(e["low"].alias("low"), e["high"].alias("high"))))
-    found = search(asked, tree, blocks, parts, False, n_negatives)
-    return found.join(positives, ["anchor_id", "w"]).select(
+    found = search(asked, tree, blocks, slabs, False, n_negatives)
+    return found.hint("merge").join(positives, ["anchor_id", "w"]).select(
         "anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias("negative_id"),
         "positive_score", F.col("score").alias("negative_score"))

@@ -4,6 +4,7 @@ import zlib
 from hashlib import sha256
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,6 +191,90 @@ def test_far_subtrees_are_left_out():
     assert need[np.arange(10), leaf[(q @ x.T).argmax(1)]].all() and need.mean() < 0.5
 
 
+def test_hard_negatives_ships_blocks_and_packs_without_broadcast(spark, monkeypatch):
+    """Neither packs of anchors nor blocks pass through the driver, however small they seem."""
+    plans, write = {}, hard_negatives.materialise
+
+    def noted(df, name):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(hard_negatives, "materialise", noted)
+    r = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in r.integers(-40, 40, 6)], i % 3, 1, "x") for i in range(300)]
+    hard_negatives.mine(spark.createDataFrame(rows, NEGATIVES), F.col("vec_id") % 10 == 0).collect()
+    assert len(plans["gnat-home"]) == len(plans["gnat-away"]) == 2
+    assert not [name for name, found in plans.items() if "Broadcast" in "".join(found)]
+
+
+def test_hard_negatives_anchors_are_shipped_once_to_a_slab(monkeypatch):
+    """Copies of an anchor do not grow with the number of blocks."""
+    monkeypatch.setattr(hard_negatives, "BLOCK_BYTES", 100)
+    monkeypatch.setattr(hard_negatives, "SLABS", 5)
+    x = np.random.default_rng(3).integers(-50, 50, (600, 4)).astype(float)
+    tree = hard_negatives.Tree(x, float((x * x).sum(1).max()), 2)
+    leaf = tree.leaves_of(x)
+    tree.take_ranges({k: tree.path_ranges(k, x[leaf == k]) for k in np.unique(leaf)})
+    parts = {int(k): -(-int(n) * 24 // 100) for k, n in zip(*np.unique(leaf, return_counts=True), strict=True)}
+    slabs = hard_negatives.Slabs(parts, len(tree.paths))
+    at = [slabs.of(k, p) for k, n in sorted(parts.items()) for p in range(n)]
+    assert at == sorted(at) and set(at) == set(range(5)) and max(np.bincount(at)) - min(np.bincount(at)) <= 1
+    assert all(set(held) == {k for k, n in parts.items() if s in {slabs.of(k, p) for p in range(n)}}
+               for s, held in enumerate(slabs.leaves()))
+    far = {"low": -hard_negatives.FAR, "high": hard_negatives.FAR}
+    anchors = pd.DataFrame({"anchor_id": range(60), "label": 0, "v": list(x[:60].astype(int)), "leaf": leaf[:60],
+                            "windows": [[far]] * 60})
+    sent = {home: pd.concat(hard_negatives._visits(tree, slabs, home)([anchors])) for home in (True, False)}
+    copies = np.bincount(np.concatenate([np.frombuffer(b, np.int64) for b in sent[False]["ids"]]))
+    assert len(at) > 100 and set(copies.tolist()) <= {4, 5}  # 4: its own leaf fills a slab
+    need = {home: sorted((i, k) for r in f.to_dict("records") for i, bits in zip(
+        np.frombuffer(r["ids"], np.int64).tolist(),
+        np.unpackbits(np.frombuffer(r["leaves"], np.uint8).reshape(len(r["ids"]) // 8, -1), axis=1), strict=True)
+        for k in np.flatnonzero(bits).tolist() if k in slabs.leaves()[r["slab"]]) for home, f in sent.items()}
+    assert {i: k for i, k in need[True]} == dict(enumerate(leaf[:60].tolist()))
+    assert set(need[False]) == {(i, k) for i in range(60) for k in parts if k != leaf[i]}
+
+
+@pytest.mark.parametrize("number", [np.float32, np.float64, np.int64])
+@pytest.mark.parametrize("spread", [30, 60_000])
+@pytest.mark.parametrize("same", [True, False])
+def test_hard_negatives_best_over_blocks(number, spread, same):
+    """Ties, windows that many or few scores fit, and blocks of fewer rows than asked for."""
+    r = np.random.default_rng(spread)
+    ids, labels = np.arange(9) * 7, np.arange(9) % 2
+    low = r.integers(-spread, spread, (9, 3))
+    windows = np.stack([low, low + r.integers(-5, spread, (9, 3))], 2)
+    windows[0], windows[1] = (-hard_negatives.FAR, hard_negatives.FAR), (hard_negatives.FAR, -hard_negatives.FAR)
+    best, pairs = hard_negatives.Best(ids, windows, 3), {(i, w): [] for i in range(9) for w in range(3)}
+    c_all = r.permutation(1500)
+    for size in (2, 400, 3, 700, 395):
+        c_ids, c_all = np.sort(c_all[:size]), c_all[size:]
+        rows = np.flatnonzero(r.random(9) < 0.8)
+        scores = r.integers(-spread, spread, (len(rows), size))
+        best.see(rows, scores.astype(number), lambda i, j: labels[rows][i] == c_ids[j] % 2, same, c_ids)  # noqa: B023
+        for a, i in enumerate(rows.tolist()):
+            for b, c in enumerate(c_ids.tolist()):
+                if (labels[i] == c % 2) == same and c != ids[i]:
+                    for w in range(3):
+                        if windows[i, w, 0] <= scores[a, b] <= windows[i, w, 1]:
+                            pairs[i, w].append((-int(scores[a, b]), c))
+    want = [(i, w, c, -s) for (i, w), found in sorted(pairs.items()) for s, c in sorted(found)[:3]]
+    assert list(zip(*(x.tolist() for x in best.settle()), strict=True)) == want
+
+
+def test_hard_negatives_sample_is_the_least_hashes(spark, monkeypatch):
+    """What the tasks send for the tree follows from its size; the sample is the same."""
+    df = spark.range(3000).select(F.col("id").alias("vec_id"), F.array("id", F.lit(1).cast("long")).alias("v")).repartition(8)
+    want = [r.vec_id for r in df.orderBy(F.xxhash64("vec_id"), "vec_id").limit(64).collect()]
+    taken = []
+    monkeypatch.setattr(hard_negatives, "FIT_ROWS", 64)
+    monkeypatch.setattr(hard_negatives, "Tree", lambda sample, longest, depth: taken.append(sample[:, 0].astype(int).tolist()))
+    hard_negatives.fit(df, 3000)
+    hard_negatives.fit(df.filter("vec_id < 50"), 50)
+    hard_negatives.fit(df, 3_000_000)  # a count that is too high: the hash leaves too few
+    assert taken[0] == taken[2] == want and sorted(taken[1]) == list(range(50))
+
+
 DOCS = "doc_id long, text string, score string, y int"
 
 
